@@ -1,0 +1,48 @@
+"""Lookup joins that pick their form by the measured size of the small side."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 64
+
+
+def within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """TRUE if the frame is proven to stay within both bounds; reads at most ``max_rows + 1`` rows."""
+    sample = df.limit(max_rows + 1).select(F.length(F.to_json(F.struct("*"))).alias("n"))
+    rows, size = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    *,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi join of a large left side with a lookup table.
+
+    The lookup side is broadcast if its size is proven small. Beyond that both
+    sides are shuffled on the keys plus a salt: each lookup row is repeated once
+    per salt and each left row takes one salt from its own content, so rows of a
+    hot key spread over ``salts`` tasks and a recomputed task sends them to the
+    same place again.
+    """
+    if how not in ("left", "inner", "left_semi"):
+        raise ValueError(f"unsupported lookup join {how!r}")
+    if within(right, max_rows, max_bytes):
+        return left.join(F.broadcast(right), list(keys), how)
+    columns = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
+    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
