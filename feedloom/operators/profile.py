@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import SOURCE_COLUMN_INVENTORY, conform
+from ..functions.local import local_frame
+from ..schemas import SOURCE_COLUMN_INVENTORY, conform, struct
 from ..sources.feeds import business_columns, describe_columns, union_feeds
 
-SAMPLE_PROBE_ROWS = 20_000
+SAMPLE_PROBE_ROWS = 5_000
 
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
@@ -38,53 +39,73 @@ def _cell(field: T.StructField) -> tuple[Column, Column, Column]:
     return c, order, c.cast("string")
 
 
-def _smallest(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` smallest distinct values per column; each task keeps only its own first ``k``."""
-    distinct = pairs.groupBy("column_name", "o", "value").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy("column_name").orderBy("o")
-    return distinct.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
-
-
 def sample_values(df: DataFrame, k: int = 5, probe_rows: int = SAMPLE_PROBE_ROWS) -> DataFrame:
     """Up to ``k`` smallest distinct non-NULL values per column as text, in the order of the type.
 
-    A bounded probe gives each column an upper bound: the k-th smallest value of
-    any subset is never below the k-th smallest of the whole. One pass over the
-    whole frame then keeps only cells up to that bound, so a column of unique
-    values sends few cells to the shuffle. The result is exact for every bound.
+    Three steps, exact for every input. A bounded probe finds ``k`` smallest
+    values per column. For the columns with repeated values, one aggregate over
+    the whole frame tells whether a smaller value exists; if not, the probe is the
+    answer. A second pass reads the remaining columns only and keeps cells up to
+    the probe's k-th value, which the true one cannot exceed, so few cells reach
+    the shuffle, and the rank filter keeps the first ``k`` of each task.
     """
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-
-    def pairs(frame: DataFrame, bounds: Mapping[str, object]) -> DataFrame:
-        cells = []
-        for f in fields:
-            value, order, text = _cell(f)
-            wanted = value.isNotNull()
-            if f.name in bounds:
-                ordered = f.dataType if isinstance(f.dataType, (*_WHOLE, *_REAL, *_TIME)) else T.StringType()
-                wanted = wanted & (value <= F.lit(bounds[f.name]).cast(ordered))
-            cell = F.struct(F.lit(f.name).alias("column_name"), order.alias("o"), text.alias("value"))
-            cells.append(F.when(wanted, cell))
-        exploded = frame.select(F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("cell"))
-        return exploded.select("cell.*")
-
-    probe = df.limit(probe_rows)
-    kth = _smallest(pairs(probe, {}), k).filter(F.col("_r") == k).select("column_name", "value").collect()
-    bounds = {row["column_name"]: row["value"] for row in kth}
-    found = _smallest(pairs(df, bounds), k)
-    listed = found.groupBy("column_name").agg(
-        F.array_sort(F.collect_list(F.struct("_r", "value"))).alias("found")
+    if not fields:
+        raise ValueError("the frame has no column of a simple type")
+    ordered = {f.name: f.dataType if isinstance(f.dataType, (*_WHOLE, *_REAL, *_TIME)) else T.StringType() for f in fields}
+
+    def probed(f: T.StructField) -> Column:
+        seen = F.sort_array(F.collect_set(_cell(f)[0]))
+        return F.struct(
+            F.slice(seen, 1, k).cast("array<string>").alias("first"),
+            (F.size(seen) * 2 <= F.count(_cell(f)[0])).alias("repeats"),
+        ).alias(f.name)
+
+    row = df.limit(probe_rows).agg(*[probed(f) for f in fields]).first()
+    probe = {f.name: row[f.name]["first"] for f in fields}
+    coded = [f for f in fields if row[f.name]["repeats"]]
+
+    def bounded(f: T.StructField) -> Column:
+        value = _cell(f)[0]
+        if len(probe[f.name]) < k:
+            return value.isNotNull()
+        return value <= F.lit(probe[f.name][-1]).cast(ordered[f.name])
+
+    def unseen(f: T.StructField) -> Column:
+        known = [F.lit(text).cast(ordered[f.name]) for text in probe[f.name]]
+        return bounded(f) & ~_cell(f)[0].isin(known) if known else bounded(f)
+
+    checks = [F.count_if(unseen(f)).alias(f.name) for f in coded]
+    news = {f.name: True for f in fields} | (df.agg(*checks).first().asDict() if checks else {})
+    settled = local_frame(
+        df.sparkSession,
+        [(f.name, probe[f.name]) for f in fields if not news[f.name] and probe[f.name]],
+        struct("column_name string, sample_values array<string>"),
     )
-    return listed.select("column_name", F.col("found.value").alias("sample_values"))
+    open_fields = [f for f in fields if news[f.name]]
+    if not open_fields:
+        return settled
+
+    cells = []
+    for f in open_fields:
+        _, order, text = _cell(f)
+        cell = F.struct(F.lit(f.name).alias("column_name"), order.alias("o"), text.alias("value"))
+        cells.append(F.when(bounded(f), cell))
+    pairs = df.select(F.explode(F.array(*cells)).alias("cell")).filter(F.col("cell").isNotNull()).select("cell.*")
+    by_column = Window.partitionBy("column_name").orderBy("o")
+    found = pairs.distinct().withColumn("_r", F.row_number().over(by_column)).filter(F.col("_r") <= k)
+    listed = found.groupBy("column_name").agg(F.array_sort(F.collect_list(F.struct("_r", "value"))).alias("found"))
+    return settled.unionByName(listed.select("column_name", F.col("found.value").alias("sample_values")))
 
 
 def inventory_columns(
     df: DataFrame, source_system: str, source_table: str, *, k: int = 5, detected_at: Column | None = None
 ) -> DataFrame:
     """One row per business column: type, samples, position, nullability."""
-    columns = df.sparkSession.createDataFrame(
+    columns = local_frame(
+        df.sparkSession,
         describe_columns(df),
-        "local_column_name string, local_data_type string, ordinal_position int, is_nullable boolean",
+        struct("local_column_name string, local_data_type string, ordinal_position int, is_nullable boolean"),
     )
     samples = sample_values(business_columns(df), k).withColumnRenamed("column_name", "local_column_name")
     joined = columns.join(samples, "local_column_name", "left").withColumns(
@@ -117,16 +138,36 @@ def required_profile(
 ) -> DataFrame:
     """Row count, distinct count per required column and newest timestamp.
 
-    Exact distinct counts of several columns expand each row once per column;
-    ``approximate`` gives the relative error of a sketch that does it in one pass.
+    Exact counts unpivot the columns of each type family to narrow (column,
+    value) rows, which combine before the shuffle; one wide aggregate over many
+    distinct counts would repeat the whole row per column. ``approximate`` gives
+    the relative error of a sketch that needs one pass and no such rows.
     """
     present = [c for c in required if c in df.columns]
-    counted = [
-        (F.count_distinct(c) if approximate is None else F.approx_count_distinct(c, approximate)).alias(f"distinct_{c}")
+    stamped = timestamp in df.columns
+    newest = [F.max(timestamp).alias("latest_harmonization")] if stamped else []
+    if approximate is not None:
+        sketches = [F.approx_count_distinct(c, approximate).alias(f"distinct_{c}") for c in present]
+        return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *sketches, *newest)
+
+    families: dict[str, list[str]] = {}
+    for c in present:
+        kind = df.schema[c].dataType
+        family = "bigint" if isinstance(kind, _WHOLE) else "double" if isinstance(kind, _REAL) else "string"
+        families.setdefault(family, []).append(c)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *newest).withColumn("_c", F.lit("row_count"))
+    for family, columns in families.items():
+        cells = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast(family).alias("_v")) for c in columns])
+        values = df.select(*by, F.inline(cells)).filter(F.col("_v").isNotNull()).distinct()
+        counted = values.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n"))
+        sizes = sizes.unionByName(counted, allowMissingColumns=True)
+    wide = [
+        F.coalesce(F.max(F.when(F.col("_c") == c, F.col("_n"))), F.lit(0).cast("bigint")).alias(f"distinct_{c}")
         for c in present
     ]
-    newest = [F.max(timestamp).alias("latest_harmonization")] if timestamp in df.columns else []
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *counted, *newest)
+    rows = F.max(F.when(F.col("_c") == "row_count", F.col("_n"))).alias("row_count")
+    latest = [F.max("latest_harmonization").alias("latest_harmonization")] if stamped else []
+    return sizes.groupBy(*by).agg(rows, *wide, *latest)
 
 
 def feed_counts(feeds: Mapping[str, DataFrame], file_column: str = "_source_file") -> DataFrame:

@@ -12,10 +12,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import property_model as M
 
-TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-    "pages", "benchmark", "labels", "conversations",
-]
+# The driver tables. A declared schema saves a job per read that would look into the files.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+TABLES = list(SCHEMAS)
 
 
 def _pick(key: str, values: list[str]) -> str:
@@ -301,7 +322,7 @@ def tables_of(text: str) -> list[str]:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

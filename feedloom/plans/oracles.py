@@ -410,7 +410,7 @@ oracle(
 
 def _proposals(inventory: str, samples: str, with_examples: bool) -> str:
     """Scores of every column and target that share a token or an example, best first."""
-    tokens = "list_distinct(list_filter(string_split(regexp_replace(lower({}), '[^a-z0-9]+', '_', 'g'), '_'), x -> x <> ''))"
+    tokens = "list_distinct([x for x in string_split(regexp_replace(lower({}), '[^a-z0-9]+', '_', 'g'), '_') if x <> ''])"
     family = (
         "CASE WHEN lower({0}) IN ('int', 'bigint') THEN 'integer' WHEN lower({0}) = 'double' THEN 'floating' "
         "WHEN lower({0}) LIKE 'timestamp%' THEN 'time' ELSE 'string' END"
@@ -463,7 +463,7 @@ def _feed_inventory() -> str:
         for name, kind, _ in feed:
             values = (
                 "['-']" if kind in ("DOUBLE", "TIMESTAMP")
-                else f"(SELECT list_transform(list_slice(list_sort(list(DISTINCT {name})), 1, 5), x -> CAST(x AS VARCHAR)) "
+                else f"(SELECT [CAST(x AS VARCHAR) for x in list_slice(list_sort(list(DISTINCT {name})), 1, 5)] "
                 f"FROM feed_{code.lower()} WHERE {name} IS NOT NULL)"
             )
             flagged = "TRUE" if name in M.MANDATORY[code] else "FALSE"

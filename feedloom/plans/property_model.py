@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.local import local_frame
 from ..operators.quality import Rule
-from ..schemas import SIMPLE_TYPES, target_model
+from ..schemas import SIMPLE_TYPES, struct, target_model
 
 TABLE = "harmonized_property_monthly"
 
@@ -209,27 +210,40 @@ def dictionary(spark: SparkSession) -> DataFrame:
         for local, _, target in feed
         if target
     ]
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         rows,
-        "source_system string, local_column_name string, global_column_name string, match_type string, "
-        "mapping_version string, active_flag boolean",
+        struct(
+            "source_system string, local_column_name string, global_column_name string, match_type string, "
+            "mapping_version string, active_flag boolean"
+        ),
     )
 
 
 def answer_key(spark: SparkSession) -> DataFrame:
     rows = [(SYSTEMS[code], local, target) for code, feed in FEEDS.items() for local, _, target in feed]
-    return spark.createDataFrame(
-        rows, "source_system string, local_column_name string, expected_global_column_name string"
+    return local_frame(
+        spark,
+        rows,
+        struct(
+            "source_system string, local_column_name string, expected_global_column_name string"
+        ),
     )
 
 
 def mandatory(spark: SparkSession) -> DataFrame:
     rows = [(SYSTEMS[code], local) for code, names in MANDATORY.items() for local in names]
-    return spark.createDataFrame(rows, "source_system string, local_column_name string")
+    return local_frame(
+        spark,
+        rows,
+        struct(
+            "source_system string, local_column_name string"
+        ),
+    )
 
 
 def glossary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(GLOSSARY, "local_token string, global_token string")
+    return local_frame(spark, GLOSSARY, struct("local_token string, global_token string"))
 
 
 def value_glossary(spark: SparkSession) -> DataFrame:
@@ -238,7 +252,7 @@ def value_glossary(spark: SparkSession) -> DataFrame:
         (field, raw, code) for by_field in VALUE_TERMS.values() for field, terms in by_field.items()
         for raw, code in terms.items()
     }
-    return spark.createDataFrame(sorted(pairs), "source_field string, raw_value string, code string")
+    return local_frame(spark, sorted(pairs), struct("source_field string, raw_value string, code string"))
 
 
 def value_dictionary(spark: SparkSession) -> DataFrame:
@@ -248,9 +262,12 @@ def value_dictionary(spark: SparkSession) -> DataFrame:
         for field, terms in by_field.items()
         for raw, value in terms.items()
     ]
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         rows,
-        "source_system string, source_field string, raw_value string, harmonized_value string, active_flag boolean",
+        struct(
+            "source_system string, source_field string, raw_value string, harmonized_value string, active_flag boolean"
+        ),
     )
 
 

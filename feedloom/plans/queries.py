@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.local import local_frame
 from ..functions.scratch import scratch_dir
 from ..operators import dictionary as D
 from ..operators import evaluate as E
@@ -14,8 +15,15 @@ from ..operators import gate as G
 from ..operators import match, merge, ops, profile, quality, review, security, summaries, values
 from ..operators.expectations import expect_rows, expectation_metrics
 from ..operators.harmonize import harmonize, mapping_report, project, resolve_columns
-from ..operators.metrics import PROPERTY_KPIS, last_periods, top_by_measure
-from ..schemas import conform, financial_columns
+from ..operators.metrics import PROPERTY_KPIS, last_periods, top_by_measure, total
+from ..schemas import (
+    COLUMN_MAPPING_CANDIDATES,
+    DATA_QUALITY_RESULTS,
+    WORKFLOW_RUN_METRICS,
+    conform,
+    financial_columns,
+    struct,
+)
 from ..schemas import categorical_targets as model_categories
 from ..sources import feeds as S
 from ..sources import keys, sinks
@@ -64,10 +72,6 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
 
 
-def _as_double(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
-
-
 # KPIs
 
 
@@ -80,10 +84,7 @@ def kpi_combined_ratio_by_source_channel(spark, d):
 @query
 def kpi_by_source(spark, d):
     kpi = PROPERTY_KPIS.query(shared(spark, d), ["country"], list(PROPERTY_KPIS.measures))
-    money = [
-        "gross_written_premium", "net_written_premium", "gross_claims_incurred", "commissions", "management_expenses",
-    ]
-    return _rounded(_as_double(kpi, *money), "loss_ratio", "expense_ratio", "combined_ratio")
+    return _rounded(kpi, "loss_ratio", "expense_ratio", "combined_ratio")
 
 
 @query
@@ -92,7 +93,7 @@ def kpi_all_dimensions(spark, d):
     kpi = PROPERTY_KPIS.query(
         shared(spark, d), dims, ["gross_written_premium", "claims_reported", "loss_ratio"], where="country IN ('ES', 'IT')"
     )
-    return _rounded(_as_double(kpi, "gross_written_premium"), "loss_ratio")
+    return _rounded(kpi, "loss_ratio")
 
 
 @query
@@ -109,8 +110,7 @@ def kpi_top_channel(spark, d):
 
 @query
 def kpi_gwp_month_source(spark, d):
-    kpi = PROPERTY_KPIS.query(shared(spark, d), ["reporting_period", "country"], ["gross_written_premium"])
-    return _as_double(kpi, "gross_written_premium")
+    return PROPERTY_KPIS.query(shared(spark, d), ["reporting_period", "country"], ["gross_written_premium"])
 
 
 @query
@@ -150,10 +150,11 @@ def duplicate_target_first_wins(spark, d):
     raw = frame(spark, d, "orders").select(
         F.col("o_orderstatus").alias("zz_code"), F.col("o_orderpriority").alias("aa_code"), F.col("o_orderkey").alias("id")
     )
-    dictionary = spark.createDataFrame(
+    dictionary = local_frame(
+        spark,
         [("S", "zz_code", "currency", True), ("S", "aa_code", "currency", True), ("S", "id", "record_id", True),
          ("S", "absent", "region", True)],
-        "source_system string, local_column_name string, global_column_name string, active_flag boolean",
+        struct("source_system string, local_column_name string, global_column_name string, active_flag boolean"),
     )
     return project(raw, resolve_columns(raw, dictionary, "S"), {"record_id": "BIGINT", "currency": "STRING", "region": "STRING"})
 
@@ -718,7 +719,6 @@ def log_run(spark, d):
     """Run-log rows from event rows, appended and read back."""
     rows = frame(spark, d, "runs")
     target = scratch_dir(spark, "runs")
-    from ..schemas import WORKFLOW_RUN_METRICS
 
     sinks.append_rows(rows, target, WORKFLOW_RUN_METRICS)
     return S.scan(spark, target).select("run_id", "task_name", "task_status", "row_count", "message")
@@ -748,7 +748,7 @@ def money_totals(spark, d):
     """Totals of the model's money columns over the shared rows."""
     names = [row[0] for row in financial_columns(M.targets(spark)).collect()]
     return shared(spark, d).groupBy("source_country").agg(
-        *[F.sum(F.col(n).cast("decimal(18,4)")).cast("double").alias(n) for n in sorted(names)]
+        *[F.expr(total(n)).alias(n) for n in sorted(names)]
     )
 
 
@@ -854,7 +854,6 @@ def write_monthly(spark, d):
 @query
 def append_rows(spark, d):
     """Two appends of the same rows: an append-only table grows."""
-    from ..schemas import DATA_QUALITY_RESULTS
 
     target = scratch_dir(spark, "quality")
     for _ in range(2):
@@ -884,7 +883,6 @@ def replace_by_key(spark, d):
 @query
 def control_table_schema(spark, d):
     """Candidates written under the fixed control-table schema."""
-    from ..schemas import COLUMN_MAPPING_CANDIDATES
 
     return conform(frame(spark, d, "candidates"), COLUMN_MAPPING_CANDIDATES).select(
         "candidate_id", "source_system", "review_status", "mandatory_flag"

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions.local import local_frame
+
 # Closed vocabularies of the control tables.
 MATCH_TYPES = ("DIRECT", "SEMANTIC_TRANSLATION", "DERIVED", "NO_MATCH")
 CONFIDENCE_LEVELS = ("HIGH", "MEDIUM", "LOW")
@@ -33,21 +35,21 @@ SIMPLE_TYPES: dict[str, T.DataType] = {
 }
 
 
-def _struct(text: str) -> T.StructType:
+def struct(text: str) -> T.StructType:
     """Schema from ``name type, ...``; unlike a DDL parse it needs no running session."""
     pairs = (part.split() for part in text.split(","))
     return T.StructType([T.StructField(name, SIMPLE_TYPES[type_name]) for name, type_name in pairs])
 
 
-SOURCE_COLUMN_INVENTORY = _struct(
+SOURCE_COLUMN_INVENTORY = struct(
     "source_system string, source_table string, local_column_name string, local_data_type string, "
     "sample_values array<string>, ordinal_position int, is_nullable boolean, detected_at timestamp"
 )
-GLOBAL_TARGET_COLUMNS = _struct(
+GLOBAL_TARGET_COLUMNS = struct(
     "target_table string, global_column_name string, global_data_type string, business_definition string, "
     "example_values array<string>, required_flag boolean, semantic_group string, created_at timestamp"
 )
-COLUMN_MAPPING_CANDIDATES = _struct(
+COLUMN_MAPPING_CANDIDATES = struct(
     "candidate_id bigint, source_system string, source_table string, local_column_name string, "
     "local_data_type string, local_sample_values array<string>, proposed_global_column_name string, "
     "proposed_global_data_type string, proposed_match_type string, mapping_rationale string, confidence string, "
@@ -55,43 +57,43 @@ COLUMN_MAPPING_CANDIDATES = _struct(
     "mandatory_flag boolean, reviewed_by string, reviewed_at timestamp, review_comment string, "
     "app_decision_source string, created_at timestamp, updated_at timestamp"
 )
-COLUMN_MAPPING_DICTIONARY = _struct(
+COLUMN_MAPPING_DICTIONARY = struct(
     "source_system string, source_table string, local_column_name string, global_column_name string, "
     "match_type string, approved_by string, approved_at timestamp, mapping_version string, active_flag boolean, "
     "mapping_comment string, created_at timestamp, updated_at timestamp"
 )
-COLUMN_MAPPING_AUDIT = _struct(
+COLUMN_MAPPING_AUDIT = struct(
     "audit_id bigint, source_system string, local_column_name string, old_review_status string, "
     "new_review_status string, old_global_column_name string, new_global_column_name string, "
     "old_match_type string, new_match_type string, action_by string, action_at timestamp, "
     "action_comment string, action_source string"
 )
-VALUE_MAPPING_CANDIDATES = _struct(
+VALUE_MAPPING_CANDIDATES = struct(
     "candidate_id bigint, source_system string, source_field string, raw_value string, "
     "proposed_harmonized_value string, proposed_description string, confidence string, ai_error_status string, "
     "review_status string, final_harmonized_value string, reviewed_by string, reviewed_at timestamp, "
     "review_comment string, created_at timestamp, updated_at timestamp"
 )
-VALUE_MAPPING_DICTIONARY = _struct(
+VALUE_MAPPING_DICTIONARY = struct(
     "source_field string, source_system string, raw_value string, harmonized_value string, "
     "approval_status string, approved_by string, approved_at timestamp, mapping_version string, "
     "active_flag boolean, created_at timestamp, updated_at timestamp"
 )
-WORKFLOW_RUN_METRICS = _struct(
+WORKFLOW_RUN_METRICS = struct(
     "run_id string, workflow_name string, task_name string, task_status string, started_at timestamp, "
     "finished_at timestamp, row_count bigint, message string"
 )
-MAPPING_USAGE_METRICS = _struct(
+MAPPING_USAGE_METRICS = struct(
     "run_id string, source_system string, mapping_type string, source_field_or_column string, "
     "candidate_rows bigint, success_rows bigint, failed_rows bigint, low_confidence_rows bigint, "
     "estimated_prompt_units double, estimated_response_units double, estimated_cost_eur double, "
     "recorded_at timestamp"
 )
-DATA_QUALITY_RESULTS = _struct(
+DATA_QUALITY_RESULTS = struct(
     "run_id string, source_system string, check_name string, check_status string, metric_value double, "
     "recorded_at timestamp, details string"
 )
-MAPPING_EVAL_RESULTS = _struct(
+MAPPING_EVAL_RESULTS = struct(
     "run_id string, source_system string, metric_name string, metric_value double, slice string, "
     "evaluated_at timestamp"
 )
@@ -115,7 +117,7 @@ _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
     """An empty control table."""
-    return spark.createDataFrame([], CONTROL_TABLES[name])
+    return local_frame(spark, [], CONTROL_TABLES[name])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -158,7 +160,7 @@ def target_model(spark: SparkSession, table: str, columns: Iterable[Mapping]) ->
     if repeated:
         raise ValueError(f"target columns declared twice: {repeated}")
     stamped = T.StructType(GLOBAL_TARGET_COLUMNS.fields[:-1])
-    return spark.createDataFrame(rows, stamped).withColumn("created_at", F.current_timestamp())
+    return local_frame(spark, rows, stamped).withColumn("created_at", F.current_timestamp())
 
 
 def financial_columns(targets: DataFrame) -> DataFrame:
