@@ -85,25 +85,33 @@ def eval_errors(scored: DataFrame) -> DataFrame:
 
 
 def eval_metric_rows(scored: DataFrame, run_id: str, *, now: Column | None = None) -> DataFrame:
-    """Scores as ``mapping_eval_results`` rows: three overall metrics and the accuracy per band."""
+    """Scores as ``mapping_eval_results`` rows: three overall metrics and the accuracy per band.
+
+    The counts per band are spread to the metrics they contribute to and added
+    up, so the scored rows are read once.
+    """
     now = F.current_timestamp() if now is None else now
-    metrics = ("accuracy", "auto_accept_rate", "review_load")
-    overall = eval_overall(scored).select(
-        "source_system",
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(m).alias("metric_name"), F.col(m).alias("metric_value")) for m in metrics]
-            )
-        ),
-        F.lit("ALL").alias("slice"),
-    )
-    bands = eval_by_band(scored).select(
-        "source_system",
-        F.lit("accuracy").alias("metric_name"),
-        F.col("accuracy").alias("metric_value"),
-        F.col("band").alias("slice"),
+    n, correct = F.col("n"), F.col("correct")
+    none = F.lit(0).cast("bigint")
+
+    def part(metric: str, slice_: Column, part_: Column, whole: Column) -> Column:
+        return F.struct(
+            F.lit(metric).alias("metric_name"), slice_.alias("slice"), part_.alias("part"), whole.alias("whole")
+        )
+
+    counts = scored.groupBy("source_system", "band").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("correct").alias("correct")
     )
-    return overall.unionByName(bands).select(
+    parts = [
+        part("accuracy", F.lit("ALL"), correct, n),
+        part("auto_accept_rate", F.lit("ALL"), F.when(F.col("band") == "HIGH", correct).otherwise(none), n),
+        part("review_load", F.lit("ALL"), n - correct, n),
+        part("accuracy", F.col("band"), correct, n),
+        *[part("accuracy", F.lit(band), none, none) for band in CONFIDENCE_LEVELS],
+    ]
+    rows = counts.select("source_system", F.inline(F.array(*parts)))
+    value = F.coalesce(F.sum("part") / F.nullif(F.sum("whole"), F.lit(0)), F.lit(0.0))
+    return rows.groupBy("source_system", "metric_name", "slice").agg(value.alias("metric_value")).select(
         F.lit(run_id).alias("run_id"), "source_system", "metric_name", "metric_value", "slice",
         now.alias("evaluated_at"),
     )

@@ -540,15 +540,15 @@ oracle(
     "eval_errors", "wide_key candidates",
     f"SELECT source_system, local_column_name, proposed, expected, confidence FROM {_SCORED} WHERE NOT correct",
 )
-_ALL = f"(SELECT 'ALL' AS source_system, band, correct FROM {_SCORED})"
+_MEAN = "ROUND(AVG(CASE WHEN {} THEN 1.0 ELSE 0.0 END), 6)"
 oracle(
     "eval_metric_rows", "wide_key candidates",
-    f"""SELECT 'run' AS run_id, 'ALL' AS source_system, 'accuracy' AS metric_name, accuracy AS metric_value,
-    band AS slice FROM ({_bands(_ALL)}) UNION ALL
-    SELECT 'run', 'ALL', 'accuracy', ROUND(AVG(CASE WHEN correct THEN 1.0 ELSE 0.0 END), 6), 'ALL' FROM {_ALL} UNION ALL
-    SELECT 'run', 'ALL', 'auto_accept_rate', ROUND(AVG(CASE WHEN correct AND band = 'HIGH' THEN 1.0 ELSE 0.0 END), 6), 'ALL'
-    FROM {_ALL} UNION ALL
-    SELECT 'run', 'ALL', 'review_load', ROUND(AVG(CASE WHEN correct THEN 0.0 ELSE 1.0 END), 6), 'ALL' FROM {_ALL}""",
+    f"""SELECT 'run' AS run_id, source_system, 'accuracy' AS metric_name, accuracy AS metric_value, band AS slice
+    FROM ({_bands(_SCORED)}) UNION ALL
+    SELECT 'run', source_system, 'accuracy', {_MEAN.format('correct')}, 'ALL' FROM {_SCORED} GROUP BY 2 UNION ALL
+    SELECT 'run', source_system, 'auto_accept_rate', {_MEAN.format("correct AND band = 'HIGH'")}, 'ALL'
+    FROM {_SCORED} GROUP BY 2 UNION ALL
+    SELECT 'run', source_system, 'review_load', {_MEAN.format('NOT correct')}, 'ALL' FROM {_SCORED} GROUP BY 2""",
 )
 oracle(
     "latest_metric", "eval_results",

@@ -378,12 +378,12 @@ def propose_mappings(spark, d):
 @query
 def propose_feeds(spark, d):
     """Both feeds from inventory to staged candidates, scored against the answer keys."""
-    staged = []
-    for code in ("ES", "IT"):
-        inventory = profile.inventory_columns(_feed(spark, d, code), M.SYSTEMS[code], f"feed_{code.lower()}")
-        proposals = match.propose_mappings(inventory, M.targets(spark), M.glossary(spark))
-        staged.append(match.stage_candidates(proposals, M.MANDATORY[code]))
-    candidates = staged[0].unionByName(staged[1])
+    es, it = (
+        profile.inventory_columns(_feed(spark, d, code), M.SYSTEMS[code], f"feed_{code.lower()}")
+        for code in ("ES", "IT")
+    )
+    proposals = match.propose_mappings(es.unionByName(it), M.targets(spark), M.glossary(spark))
+    candidates = match.stage_candidates(proposals, M.mandatory(spark))
     scored = E.score_proposals(M.answer_key(spark), candidates)
     mandatory = candidates.select("source_system", "local_column_name", "mandatory_flag", "proposed_match_type")
     return scored.join(mandatory, ["source_system", "local_column_name"])
@@ -418,10 +418,6 @@ def _scored(spark, d) -> DataFrame:
     return E.score_proposals(frame(spark, d, "wide_key"), frame(spark, d, "candidates"))
 
 
-def _one_system(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("source_system", F.lit("ALL"))
-
-
 @query
 def eval_overall(spark, d):
     return _rounded(E.eval_overall(_scored(spark, d)), "accuracy", "auto_accept_rate", "review_load")
@@ -440,7 +436,7 @@ def eval_errors(spark, d):
 
 @query
 def eval_metric_rows(spark, d):
-    rows = E.eval_metric_rows(_one_system(_scored(spark, d)), "run")
+    rows = E.eval_metric_rows(_scored(spark, d), "run")
     return _rounded(rows, "metric_value").drop("evaluated_at")
 
 

@@ -103,17 +103,20 @@ def rescue_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     """
     present = set(df.columns)
     typed, kept = [], []
+    misfit = F.col(CORRUPT).isNotNull() if CORRUPT in present else F.lit(False)
     for field in schema.fields:
         raw = F.col(f"`{field.name}`") if field.name in present else F.lit(None).cast("string")
         value = raw.try_cast(field.dataType)
         typed.append(value.alias(field.name))
-        kept.append(F.when(raw.isNotNull() & value.isNull(), raw).alias(field.name))
+        if not isinstance(field.dataType, T.StringType):
+            lost = raw.isNotNull() & value.isNull()
+            misfit = misfit | lost
+            kept.append(F.when(lost, raw).alias(field.name))
     if CORRUPT in present:
         kept.append(F.col(CORRUPT))
-    misfit = F.to_json(F.struct(*kept))
-    rescued = F.when(misfit != "{}", misfit).alias("_rescued_data")
+    rescued = F.when(misfit, F.to_json(F.struct(*kept))) if kept else F.lit(None).cast("string")
     rest = [F.col(c) for c in METADATA_COLUMNS if c in present and c != "_rescued_data"]
-    return df.select(*typed, *rest, rescued)
+    return df.select(*typed, *rest, rescued.alias("_rescued_data"))
 
 
 def business_columns(df: DataFrame) -> DataFrame:
