@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conditions import null_of
 from ..schemas import COLUMN_MAPPED
 from ..sources.feeds import business_columns
 from .dictionary import active_mappings
@@ -55,14 +54,17 @@ def project(
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', got {on_error!r}")
 
-    def shaped(name: str, type_name: str) -> Column:
-        if name not in mapping:
-            return null_of(type_name)
-        local = F.col(f"`{mapping[name]}`")
-        return local.cast(type_name) if on_error == "fail" else local.try_cast(type_name)
+    cast = "cast" if on_error == "fail" else "try_cast"
 
-    extra = [F.col(f"`{local}`").alias(name) for name, local in sorted(mapping.items()) if name not in model]
-    return feed.select(*[shaped(name, t).alias(name) for name, t in model.items()], *extra)
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    shaped = [
+        f"{cast}({quoted(mapping[name])} AS {t}) AS {quoted(name)}" if name in mapping else f"cast(NULL AS {t}) AS {quoted(name)}"
+        for name, t in model.items()
+    ]
+    extra = [f"{quoted(local)} AS {quoted(name)}" for name, local in sorted(mapping.items()) if name not in model]
+    return feed.selectExpr(*shaped, *extra)
 
 
 def stamp_metadata(

@@ -97,6 +97,31 @@ def apply_decisions(queue: DataFrame, decisions: DataFrame, *, now: Column | Non
     )
 
 
+def _with_previous(df: DataFrame, order: str, span: int, width: int) -> DataFrame:
+    """Add ``_before``: the ``_state`` of the previous row of the same key.
+
+    ``order`` is a whole number, unique per key, over a range of ``span``. A range
+    wider than ``width`` is cut into stretches: rows look back within their
+    stretch, and the last states of the stretches, one row each, are linked in the
+    same way. So no window holds more than ``width`` rows of a key.
+    """
+    if span <= width:
+        by_key = Window.partitionBy(*KEYS).orderBy(order)
+        return df.withColumn("_before", F.lag("_state").over(by_key))
+    stretch = f"_stretch{order}"
+    cut = df.withColumn(stretch, F.floor(F.col(order) / F.lit(width)))
+    inside = Window.partitionBy(*KEYS, stretch).orderBy(order)
+    ends = cut.groupBy(*KEYS, stretch).agg(F.max_by("_state", order).alias("_state"))
+    linked = _with_previous(ends, stretch, span // width + 1, width)
+    carried = linked.select(*KEYS, stretch, F.col("_before").alias("_carried"))
+    return (
+        cut.withColumn("_inside", F.lag("_state").over(inside))
+        .join(carried, [*KEYS, stretch])
+        .withColumn("_before", F.coalesce("_inside", "_carried"))
+        .drop("_inside", "_carried", stretch)
+    )
+
+
 def audit_rows(
     queue: DataFrame,
     decisions: DataFrame,
@@ -108,24 +133,17 @@ def audit_rows(
     """One audit row per applied decision with status and target before and after it.
 
     The state before a decision is what the previous one of the same key set.
-    ``seq`` is a whole number, unique per key: rows are looked up within stretches
-    of ``width`` sequence numbers, and a second, small window over the stretches
-    carries the last state across, so a key with most of the decisions is never
-    in one task as a whole.
+    ``seq`` is a whole number, unique per key; its range is read first and decides
+    how often the look-back is cut into stretches of ``width`` numbers.
     """
     now = F.current_timestamp() if now is None else now
-    effects = _effects(decisions, queue).withColumn("_stretch", F.floor(F.col("seq") / F.lit(width)))
+    lowest, highest = decisions.agg(F.min("seq"), F.max("seq")).first()
+    span = 0 if lowest is None else highest - lowest + 1
     state = F.struct(F.col("new_status").alias("status"), F.col("new_global").alias("target"))
-    stretch_key = [*KEYS, "_stretch"]
-    ends = effects.groupBy(*stretch_key).agg(F.max_by(state, "seq").alias("_end"))
-    before_stretch = ends.withColumn("_carried", F.lag("_end").over(Window.partitionBy(*KEYS).orderBy("_stretch")))
-    inside = Window.partitionBy(*stretch_key).orderBy("seq")
-    traced = effects.withColumn("_previous", F.lag(state).over(inside)).join(
-        before_stretch.select(*stretch_key, "_carried"), stretch_key
-    )
+    effects = _effects(decisions, queue).withColumn("_state", state)
     start = F.struct(F.col("_status").alias("status"), F.col("_final").alias("target"))
-    old = F.coalesce("_previous", "_carried", start)
-    return traced.withColumn("_old", old).select(
+    traced = _with_previous(effects, "seq", span, width).withColumn("_old", F.coalesce("_before", start))
+    return traced.select(
         *KEYS,
         "seq",
         F.col("_old.status").alias("old_review_status"),

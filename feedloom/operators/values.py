@@ -168,7 +168,7 @@ def translate_values(
         for field, by_source in lookup.items():
             found = null_of()
             for system, pairs in by_source.items():
-                flat = [F.lit(text).cast("string") for pair in pairs.items() for text in pair]
+                flat = [F.lit(text) for pair in pairs.items() for text in pair]
                 found = F.when(F.col(source) == system, F.create_map(*flat)[F.col(field)]).otherwise(found)
             changed[field] = F.coalesce(found, F.col(field))
         result = df.withColumns(changed)

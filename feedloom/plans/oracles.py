@@ -309,15 +309,15 @@ def _dq_oracle() -> str:
 oracle("dq_report", "shared", _dq_oracle())
 oracle(
     "dq_untranslated", "delivered",
-    "SELECT source_country, 1 + " + " + ".join(
+    "SELECT source_country, CAST(1 + " + " + ".join(
         f"CASE WHEN COUNT(*) FILTER (WHERE {c} NOT IN ({', '.join(repr(v) for v in M.ALLOWED[c])})) = 0 THEN 1 ELSE 0 END"
         for c in M.CATEGORICAL
     )
-    + " AS passed, " + " + ".join(
+    + " AS BIGINT) AS passed, CAST(" + " + ".join(
         f"CASE WHEN COUNT(*) FILTER (WHERE {c} NOT IN ({', '.join(repr(v) for v in M.ALLOWED[c])})) > 0 THEN 1 ELSE 0 END"
         for c in M.CATEGORICAL
     )
-    + " AS warning, 0 AS failed, 5 AS checks FROM delivered GROUP BY 1",
+    + " AS BIGINT) AS warning, CAST(0 AS BIGINT) AS failed, CAST(5 AS BIGINT) AS checks FROM delivered GROUP BY 1",
 )
 oracle(
     "dq_mapping_coverage", "declared_mandatory mapping_dictionary",
