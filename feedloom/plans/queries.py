@@ -98,7 +98,7 @@ def kpi_all_dimensions(spark, d):
 
 @query
 def kpi_loss_ratio_last3m(spark, d):
-    recent = last_periods(shared(spark, d), PROPERTY_KPIS.dimension("reporting_period"), 3)
+    recent = last_periods(shared(spark, d), "reporting_year", "reporting_month", 3)
     return _rounded(PROPERTY_KPIS.query(recent, ["country"], ["loss_ratio"]), "loss_ratio")
 
 

@@ -364,7 +364,7 @@ def test_top_keeps_ties_and_last_periods_follow_the_data(spark):
     assert rows(top, "g") == [("b",), ("c",)]
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
     periods = frame(spark, "y int, m int", (2024, 11), (2024, 12), (2025, 1), (2025, 2))
-    assert rows(metrics.last_periods(periods, metrics.period("y", "m"), 3)) == [(2024, 12), (2025, 1), (2025, 2)]
+    assert rows(metrics.last_periods(periods, "y", "m", 3)) == [(2024, 12), (2025, 1), (2025, 2)]
 
 
 def test_sums_do_not_depend_on_the_order_of_rows(spark, sf):
