@@ -14,10 +14,10 @@ SALTS = 64
 
 
 def within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """TRUE if the frame is proven to stay within both bounds; reads at most ``max_rows + 1`` rows."""
-    sample = df.limit(max_rows + 1).select(F.length(F.to_json(F.struct("*"))).alias("n"))
-    rows, size = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    """TRUE if the frame is measured to stay within both bounds; one distributed aggregate."""
+    size = F.sum(F.length(F.to_json(F.struct("*"))))
+    rows, size_in_bytes = df.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return rows <= max_rows and size_in_bytes <= max_bytes
 
 
 def lookup_join(

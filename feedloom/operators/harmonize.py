@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..schemas import COLUMN_MAPPED
 from ..sources.feeds import business_columns
 from .dictionary import active_mappings
@@ -56,14 +57,11 @@ def project(
 
     cast = "cast" if on_error == "fail" else "try_cast"
 
-    def quoted(name: str) -> str:
-        return "`" + name.replace("`", "``") + "`"
-
     shaped = [
-        f"{cast}({quoted(mapping[name])} AS {t}) AS {quoted(name)}" if name in mapping else f"cast(NULL AS {t}) AS {quoted(name)}"
+        f"{cast}({sql.name(mapping[name])} AS {t}) AS {sql.name(name)}" if name in mapping else f"cast(NULL AS {t}) AS {sql.name(name)}"
         for name, t in model.items()
     ]
-    extra = [f"{quoted(local)} AS {quoted(name)}" for name, local in sorted(mapping.items()) if name not in model]
+    extra = [f"{sql.name(local)} AS {sql.name(name)}" for name, local in sorted(mapping.items()) if name not in model]
     return feed.selectExpr(*shaped, *extra)
 
 

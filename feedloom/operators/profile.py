@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import sql
 from ..functions.local import local_frame
 from ..schemas import SOURCE_COLUMN_INVENTORY, conform, struct
 from ..sources.feeds import business_columns, describe_columns, union_feeds
@@ -20,23 +22,41 @@ _REAL = (T.FloatType, T.DoubleType)
 _TIME = (T.TimestampType, T.DateType, T.TimestampNTZType)
 
 
-def _cell(field: T.StructField) -> tuple[Column, Column, Column]:
-    """Comparable value, place in the order of its type (one struct type for all columns), and text.
+@dataclass(frozen=True)
+class _Cell:
+    """SQL texts of a column: comparable value with its type, and place in the order of the type.
 
-    Types other than whole numbers, floating numbers and times are ordered by their text.
+    The place has one struct type for all columns. Types other than whole numbers,
+    floating numbers and times are compared and ordered by their text.
     """
-    c = F.col(f"`{field.name}`")
-    whole, real, text = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+
+    column: str
+    value: str
+    kind: str
+    place: str
+
+    @property
+    def text(self) -> str:
+        return f"cast({self.value} AS string)"
+
+    def literal(self, value: str) -> str:
+        return f"cast({sql.text(value)} AS {self.kind})"
+
+
+def _cell(field: T.StructField) -> _Cell:
+    value, kind = sql.name(field.name), field.dataType.simpleString()
+    whole, real, text = "cast(NULL AS bigint)", "cast(NULL AS double)", "cast(NULL AS string)"
     if isinstance(field.dataType, _REAL):
-        c = real = (c + F.lit(0.0)).cast(field.dataType)
+        value = f"cast({value} + 0D AS {kind})"
+        real = f"cast({value} AS double)"
     elif isinstance(field.dataType, _WHOLE):
-        whole = c.cast("bigint")
+        whole = f"cast({value} AS bigint)"
     elif isinstance(field.dataType, _TIME):
-        whole = F.unix_micros(c.cast("timestamp"))
+        whole = f"unix_micros(cast({value} AS timestamp))"
     else:
-        c = text = c.cast("string")
-    order = F.struct(whole.alias("n"), real.cast("double").alias("d"), text.alias("s"))
-    return c, order, c.cast("string")
+        value, kind = f"cast({value} AS string)", "string"
+        text = value
+    return _Cell(field.name, value, kind, f"named_struct('n', {whole}, 'd', {real}, 's', {text})")
 
 
 def sample_values(df: DataFrame, k: int = 5, probe_rows: int = SAMPLE_PROBE_ROWS) -> DataFrame:
@@ -49,49 +69,47 @@ def sample_values(df: DataFrame, k: int = 5, probe_rows: int = SAMPLE_PROBE_ROWS
     the probe's k-th value, which the true one cannot exceed, so few cells reach
     the shuffle, and the rank filter keeps the first ``k`` of each task.
     """
-    fields = [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-    if not fields:
+    cells = [_cell(f) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    if not cells:
         raise ValueError("the frame has no column of a simple type")
-    ordered = {f.name: f.dataType if isinstance(f.dataType, (*_WHOLE, *_REAL, *_TIME)) else T.StringType() for f in fields}
-
-    def probed(f: T.StructField) -> Column:
-        seen = F.sort_array(F.collect_set(_cell(f)[0]))
-        return F.struct(
-            F.slice(seen, 1, k).cast("array<string>").alias("first"),
-            (F.size(seen) * 2 <= F.count(_cell(f)[0])).alias("repeats"),
-        ).alias(f.name)
-
-    row = df.limit(probe_rows).agg(*[probed(f) for f in fields]).first()
-    probe = {f.name: row[f.name]["first"] for f in fields}
-    coded = [f for f in fields if row[f.name]["repeats"]]
-
-    def bounded(f: T.StructField) -> Column:
-        value = _cell(f)[0]
-        if len(probe[f.name]) < k:
-            return value.isNotNull()
-        return value <= F.lit(probe[f.name][-1]).cast(ordered[f.name])
-
-    def unseen(f: T.StructField) -> Column:
-        known = [F.lit(text).cast(ordered[f.name]) for text in probe[f.name]]
-        return bounded(f) & ~_cell(f)[0].isin(known) if known else bounded(f)
-
-    checks = [F.count_if(unseen(f)).alias(f.name) for f in coded]
-    news = {f.name: True for f in fields} | (df.agg(*checks).first().asDict() if checks else {})
+
+    # Taking rows stops at the first partitions that have enough; an aggregate over a limit would start all tasks.
+    taken = df.selectExpr(*[f"{c.text} AS {sql.name(c.column)}" for c in cells]).take(probe_rows)
+    texts = T.StructType([T.StructField(c.column, T.StringType()) for c in cells])
+
+    def probed(c: _Cell) -> Column:
+        value = f"cast({sql.name(c.column)} AS {c.kind})"
+        seen = f"sort_array(collect_set({value}))"
+        first = f"cast(slice({seen}, 1, {k}) AS array<string>)"
+        return F.expr(f"struct({first} AS first, size({seen}) * 2 <= count({value}) AS repeats)").alias(c.column)
+
+    row = local_frame(df.sparkSession, taken, texts).agg(*[probed(c) for c in cells]).first()
+    probe = {c.column: row[c.column]["first"] for c in cells}
+
+    def bounded(c: _Cell) -> str:
+        known = probe[c.column]
+        return f"{c.value} IS NOT NULL" if len(known) < k else f"{c.value} <= {c.literal(known[-1])}"
+
+    def unseen(c: _Cell) -> Column:
+        known = ", ".join(c.literal(value) for value in probe[c.column])
+        return F.expr(f"count_if({bounded(c)}{f' AND {c.value} NOT IN ({known})' if known else ''})").alias(c.column)
+
+    checks = [unseen(c) for c in cells if row[c.column]["repeats"]]
+    news = {c.column: True for c in cells} | (df.agg(*checks).first().asDict() if checks else {})
     settled = local_frame(
         df.sparkSession,
-        [(f.name, probe[f.name]) for f in fields if not news[f.name] and probe[f.name]],
+        [(c.column, probe[c.column]) for c in cells if not news[c.column] and probe[c.column]],
         struct("column_name string, sample_values array<string>"),
     )
-    open_fields = [f for f in fields if news[f.name]]
-    if not open_fields:
+    pending = [c for c in cells if news[c.column]]
+    if not pending:
         return settled
 
-    cells = []
-    for f in open_fields:
-        _, order, text = _cell(f)
-        cell = F.struct(F.lit(f.name).alias("column_name"), order.alias("o"), text.alias("value"))
-        cells.append(F.when(bounded(f), cell))
-    pairs = df.select(F.explode(F.array(*cells)).alias("cell")).filter(F.col("cell").isNotNull()).select("cell.*")
+    wanted = ", ".join(
+        f"if({bounded(c)}, struct({sql.text(c.column)} AS column_name, {c.place} AS o, {c.text} AS value), NULL)"
+        for c in pending
+    )
+    pairs = df.selectExpr(f"explode(array({wanted})) AS cell").filter("cell IS NOT NULL").select("cell.*")
     by_column = Window.partitionBy("column_name").orderBy("o")
     found = pairs.distinct().withColumn("_r", F.row_number().over(by_column)).filter(F.col("_r") <= k)
     listed = found.groupBy("column_name").agg(F.array_sort(F.collect_list(F.struct("_r", "value"))).alias("found"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import sql
 from ..schemas import COLUMN_MAPPED, VALUE_MAPPED
 
 
@@ -35,26 +36,25 @@ class Rule:
         return self.description or self.predicate
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _check(name: str, status: str, metric: str, details: str) -> str:
+    """One result row as SQL; all arguments but the name are SQL expressions."""
+    return (
+        f"named_struct('check_name', {sql.text(name)}, 'check_status', {status}, "
+        f"'metric_value', cast({metric} AS double), 'details', {details})"
+    )
 
 
-def _check(name: str, status: Column, metric: Column, details: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        status.alias("check_status"),
-        metric.cast("double").alias("metric_value"),
-        details.alias("details"),
-    )
+def _fixed(name: str, status: str, metric: float, details: str) -> str:
+    return _check(name, sql.text(status), str(metric), sql.text(details))
 
 
-def _fixed(name: str, status: str, metric: float, details: str) -> Column:
-    return _check(name, F.lit(status), F.lit(metric), F.lit(details))
+def _counted(name: str, n: str, severity: str, before: str, after: str) -> str:
+    status = f"if({n} = 0, 'PASSED', {sql.text(severity)})"
+    return _check(name, status, n, f"concat({sql.text(before)}, {n}, {sql.text(after)})")
 
 
-def _violations(name: str, n: Column, severity: str, description: str) -> Column:
-    status = F.when(n == 0, F.lit("PASSED")).otherwise(F.lit(severity))
-    return _check(name, status, n, F.concat(F.lit(f"{description}: "), _text(n), F.lit(" violations")))
+def _rows(checks: Sequence[str]) -> Column:
+    return F.expr(f"inline(array({', '.join(checks)}))")
 
 
 def analysis_error(df: DataFrame, predicate: str) -> str | None:
@@ -100,45 +100,49 @@ def quality_checks(
     the result of :func:`failing_rules` for predicates that stop at run time.
     """
     present = set(df.columns)
-    counts: dict[str, Column] = {}
-    checks: list[Column] = []
+    counts: list[Column] = []
+    checks: list[str] = []
 
-    def counted(condition: Column) -> Column:
+    def counted(condition: str) -> str:
         name = f"_c{len(counts)}"
-        counts[name] = F.count_if(condition).alias(name)
-        return F.col(name)
+        counts.append(F.expr(f"count_if(\n{condition}\n)").alias(name))
+        return name
 
     for column in required:
+        name = f"not_null_{column}"
         if column not in present:
-            checks.append(_fixed(f"not_null_{column}", "FAILED", 0.0, f"target column '{column}' is missing"))
+            checks.append(_fixed(name, "FAILED", 0.0, f"target column '{column}' is missing"))
             continue
-        n = counted(F.col(column).isNull())
-        status = F.when(n == 0, F.lit("PASSED")).otherwise(F.lit("FAILED"))
-        checks.append(_check(f"not_null_{column}", status, n, F.concat(_text(n), F.lit(f" null {column} values"))))
+        checks.append(_counted(name, counted(f"{sql.name(column)} IS NULL"), "FAILED", "", f" null {column} values"))
 
     for column, values in sorted((allowed or {}).items()):
         name = f"values_in_allowed_list_{column}"
         if column not in present:
             checks.append(_fixed(name, "WARNING", float(len(values)), "column is missing"))
             continue
-        n = counted(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-        checks.append(_violations(name, n, "WARNING", f"{column} values are in the configured allow-list"))
+        listed = ", ".join(sql.text(v) for v in values)
+        n = counted(f"{sql.name(column)} NOT IN ({listed})" if listed else f"{sql.name(column)} IS NOT NULL")
+        checks.append(
+            _counted(name, n, "WARNING", f"{column} values are in the configured allow-list: ", " violations")
+        )
 
     for rule in rules:
         error = analysis_error(df, rule.predicate) or (failing or {}).get(rule.name)
         if error is not None:
             checks.append(_fixed(rule.name, "FAILED", 0.0, f"predicate failed to evaluate: {error}"))
             continue
-        checks.append(_violations(rule.name, counted(F.expr(rule.predicate)), rule.severity, rule.text))
+        checks.append(_counted(rule.name, counted(rule.predicate), rule.severity, f"{rule.text}: ", " violations"))
 
     if "mapping_status" in present:
-        n = counted(~F.col("mapping_status").isin(COLUMN_MAPPED, VALUE_MAPPED))
-        status = F.when(n == 0, F.lit("PASSED")).otherwise(F.lit("WARNING"))
-        details = F.concat(_text(n), F.lit(" rows without expected mapping_status flag"))
-        checks.append(_check("column_mapping_version_present", status, n, details))
+        n = counted(f"mapping_status NOT IN ({sql.text(COLUMN_MAPPED)}, {sql.text(VALUE_MAPPED)})")
+        checks.append(
+            _counted(
+                "column_mapping_version_present", n, "WARNING", "", " rows without expected mapping_status flag"
+            )
+        )
 
-    one = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *counts.values())
-    return one.select(*by, F.inline(F.array(*checks)))
+    one = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+    return one.select(*by, _rows(checks))
 
 
 def check_row_parity(raw: DataFrame, shared: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -151,23 +155,16 @@ def check_row_parity(raw: DataFrame, shared: DataFrame, by: Sequence[str] = ())
         counted(raw, 0)
         .unionByName(counted(shared, 1))
         .groupBy(*by)
-        .agg(
-            F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("_raw"),
-            F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("_shared"),
-        )
-    )
-    raw_n, shared_n = F.col("_raw"), F.col("_shared")
-    equal = raw_n == shared_n
-    counts = F.concat(
-        F.lit("raw="), F.format_number(raw_n, 0), F.lit(", harmonized="), F.format_number(shared_n, 0)
+        .agg(F.expr("sum(if(side = 0, n, 0)) AS _raw"), F.expr("sum(if(side = 1, n, 0)) AS _shared"))
     )
+    text = "concat('raw=', format_number(_raw, 0), ', harmonized=', format_number(_shared, 0))"
     check = _check(
         "row_count_parity",
-        F.when(equal, F.lit("PASSED")).otherwise(F.lit("FAILED")),
-        F.when(equal, shared_n).otherwise(F.abs(raw_n - shared_n)),
-        F.when(equal, counts).otherwise(F.concat(F.lit("MISMATCH: "), counts)),
+        "if(_raw = _shared, 'PASSED', 'FAILED')",
+        "if(_raw = _shared, _shared, abs(_raw - _shared))",
+        f"concat(if(_raw = _shared, '', 'MISMATCH: '), {text})",
     )
-    return both.select(*by, F.inline(F.array(check)))
+    return both.select(*by, _rows([check]))
 
 
 def check_mapping_coverage(mandatory: DataFrame, dictionary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -179,17 +176,13 @@ def check_mapping_coverage(mandatory: DataFrame, dictionary: DataFrame, by: Sequ
         .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_all"), F.count("_in").alias("_covered"))
     )
-    share = F.coalesce(F.col("_covered") / F.nullif(F.col("_all"), F.lit(0)) * 100, F.lit(100.0))
     check = _check(
         "column_mapping_coverage",
-        F.when(share >= 100, F.lit("PASSED")).otherwise(F.lit("WARNING")),
-        F.round(share, 1),
-        F.concat(
-            _text(F.col("_covered")), F.lit("/"), _text(F.col("_all")),
-            F.lit(" mandatory columns have active dict entries"),
-        ),
+        "if(_covered = _all, 'PASSED', 'WARNING')",
+        "round(coalesce(_covered / nullif(_all, 0) * 100, 100D), 1)",
+        "concat(_covered, '/', _all, ' mandatory columns have active dict entries')",
     )
-    return counted.select(*by, F.inline(F.array(check)))
+    return counted.select(*by, _rows([check]))
 
 
 def quality_report(

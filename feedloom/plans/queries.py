@@ -27,7 +27,7 @@ from ..schemas import (
 from ..schemas import categorical_targets as model_categories
 from ..sources import feeds as S
 from ..sources import keys, sinks
-from ..streaming.ingest import ingest_feed, read_ingested
+from ..streaming.ingest import ingest_feeds, read_ingested
 from . import property_model as M
 from .fixtures import frame
 
@@ -776,19 +776,23 @@ def read_answer_key(spark, d):
     return keys.explode_answer_key(raw)
 
 
-def _write_csv(spark, d, code) -> str:
-    """A dirty feed as CSV files per month with ``n/a`` for some premiums."""
-    target = scratch_dir(spark, f"feed-{code.lower()}")
-    year, month = M.FEEDS[code][1][0], M.FEEDS[code][2][0]
-    premium = M.FEEDS[code][8][0]
-    feed = _feed(spark, d, code, dirty=True)
-    damaged = feed.withColumn(
-        premium, F.when(F.col(M.FEEDS[code][0][0]) % 100 == 0, F.lit("n/a")).otherwise(F.col(premium).cast("string"))
-    )
-    if code == "ES":
-        damaged = damaged.withColumn("fecha_carga", F.date_format("fecha_carga", "yyyy-MM-dd HH:mm:ss"))
-    sinks.write_monthly(damaged, target, year, month)
-    return target
+def _write_csv(spark, d) -> str:
+    """Both dirty feeds as CSV files per month below one folder, with ``n/a`` for some premiums."""
+    root = scratch_dir(spark, "landing")
+    for code, columns in M.FEEDS.items():
+        ids, year, month, premium = (columns[i][0] for i in (0, 1, 2, 8))
+        feed = _feed(spark, d, code, dirty=True)
+        damaged = feed.withColumn(
+            premium, F.when(F.col(ids) % 100 == 0, F.lit("n/a")).otherwise(F.col(premium).cast("string"))
+        )
+        if code == "ES":
+            damaged = damaged.withColumn("fecha_carga", F.date_format("fecha_carga", "yyyy-MM-dd HH:mm:ss"))
+        sinks.write_monthly(damaged, f"{root}/{code.lower()}", year, month)
+    return root
+
+
+def _feed_schemas() -> dict:
+    return {code.lower(): M.feed_schema(code) for code in M.FEEDS}
 
 
 def _feed_shape(df: DataFrame, code: str) -> DataFrame:
@@ -802,36 +806,31 @@ def _feed_shape(df: DataFrame, code: str) -> DataFrame:
 
 @query
 def rescue_rows(spark, d):
-    es, it = (
-        _feed_shape(S.read_feed(spark, _write_csv(spark, d, code), M.feed_schema(code)), code) for code in ("ES", "IT")
-    )
-    return es.unionByName(it)
+    found = S.read_feeds(spark, _write_csv(spark, d), "ES, it", _feed_schemas())
+    return _feed_shape(found["es"], "ES").unionByName(_feed_shape(found["it"], "IT"))
 
 
 @query
 def stream_ingest(spark, d):
-    """Both feeds as a file stream with expectations into Parquet, read back."""
-    parts = []
-    for code in ("ES", "IT"):
-        source = _write_csv(spark, d, code)
-        target = scratch_dir(spark, f"bronze-{code.lower()}")
-        run = ingest_feed(
-            spark, source, M.feed_schema(code), target, f"{target}-checkpoint", **M.EXPECTATIONS[code]
-        )
+    """Both feeds as file streams with expectations into Parquet, read back."""
+    root, target = _write_csv(spark, d), scratch_dir(spark, "bronze")
+    rules = {code.lower(): rule for code, rule in M.EXPECTATIONS.items()}
+    for run in ingest_feeds(spark, root, _feed_schemas(), target, f"{target}-checkpoints", rules).values():
         run.awaitTermination()
-        parts.append(_feed_shape(read_ingested(spark, target), code))
-    return parts[0].unionByName(parts[1])
+    es, it = (_feed_shape(read_ingested(spark, f"{target}/{code.lower()}"), code) for code in M.FEEDS)
+    return es.unionByName(it)
 
 
 @query
 def provenance(spark, d):
     """Rows per month folder, counted through the file each row was read from."""
-    parts = []
-    for code in ("ES", "IT"):
-        rows = S.read_feed(spark, _write_csv(spark, d, code), M.feed_schema(code))
-        month = F.regexp_extract("_source_file", r"yyyymm=(\d{6})", 1)
-        parts.append(rows.select(F.lit(code.lower()).alias("feed"), month.alias("yyyymm")))
-    return parts[0].unionByName(parts[1]).groupBy("feed", "yyyymm").agg(F.count(F.lit(1)).alias("n"))
+    found = S.union_feeds(
+        {
+            code: rows.select(F.regexp_extract("_source_file", r"yyyymm=(\d{6})", 1).alias("yyyymm"))
+            for code, rows in S.read_feeds(spark, _write_csv(spark, d), "es,it", _feed_schemas()).items()
+        }
+    )
+    return found.groupBy("feed", "yyyymm").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
