@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.conditions import folded_target, is_set
@@ -52,30 +52,31 @@ def eval_overall(scored: DataFrame) -> DataFrame:
 
 
 def eval_by_band(scored: DataFrame) -> DataFrame:
-    """Size, correct, accuracy and share per source and confidence band; the three fixed bands always occur."""
+    """Size, correct, accuracy and share per source and confidence band; the three fixed bands always occur.
+
+    The fixed bands are added to the counts as empty parts, so the scored rows are
+    read once; the window for the share sees one row per band of a source.
+    """
     found = scored.groupBy("source_system", "band").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("correct").alias("correct")
     )
-    fixed = found.select("source_system").distinct().select(
-        "source_system",
-        F.explode(F.array(*[F.lit(b) for b in CONFIDENCE_LEVELS])).alias("band"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(0).cast("bigint").alias("correct"),
-    )
+    none = F.lit(0).cast("bigint")
+    parts = [F.struct("band", "n", "correct")]
+    parts += [F.struct(F.lit(b).alias("band"), none.alias("n"), none.alias("correct")) for b in CONFIDENCE_LEVELS]
     bands = (
-        found.unionByName(fixed)
+        found.select("source_system", F.inline(F.array(*parts)))
         .groupBy("source_system", "band")
         .agg(F.sum("n").alias("n"), F.sum("correct").alias("correct"))
     )
-    sizes = found.groupBy("source_system").agg(F.sum("n").alias("_size"))
+    size = F.sum("n").over(Window.partitionBy("source_system"))
     rate = lambda part, whole: F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0))
-    return bands.join(sizes, "source_system").select(
+    return bands.select(
         "source_system",
         "band",
         "n",
         "correct",
         rate(F.col("correct"), F.col("n")).alias("accuracy"),
-        rate(F.col("n"), F.col("_size")).alias("share"),
+        rate(F.col("n"), size).alias("share"),
     )
 
 

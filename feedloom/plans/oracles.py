@@ -869,8 +869,8 @@ oracle(
 )
 oracle(
     "status_columns", "candidates",
-    """SELECT review_status, mandatory_flag, COUNT(*) AS "count", 0 AS list_no,
-    string_agg(local_column_name, ',' ORDER BY local_column_name) AS "columns" FROM candidates GROUP BY 1, 2""",
+    """SELECT review_status, mandatory_flag, COUNT(*) OVER (PARTITION BY review_status, mandatory_flag) AS "count",
+    local_column_name FROM candidates""",
 )
 oracle(
     "queue_counters", "candidates",
