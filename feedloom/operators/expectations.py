@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.conditions import holds
 
 
-def _rules(warn, drop) -> list[tuple[str, str, str]]:
+def expectation_rules(warn, drop) -> list[tuple[str, str, str]]:
+    """(name, kind, predicate) of all rules."""
     listed = [(name, "warn", rule) for name, rule in (warn or {}).items()]
     listed += [(name, "drop", rule) for name, rule in (drop or {}).items()]
     names = [name for name, _, _ in listed]
@@ -21,7 +22,7 @@ def _rules(warn, drop) -> list[tuple[str, str, str]]:
 
 def expect_rows(df: DataFrame, warn: Mapping[str, str] | None = None, drop: Mapping[str, str] | None = None) -> DataFrame:
     """Keep the rows that fulfil every drop rule; a rule that is NULL is not fulfilled."""
-    for _, kind, rule in _rules(warn, drop):
+    for _, kind, rule in expectation_rules(warn, drop):
         if kind == "drop":
             df = df.filter(holds(F.expr(rule)))
     return df
@@ -29,7 +30,7 @@ def expect_rows(df: DataFrame, warn: Mapping[str, str] | None = None, drop: Mapp
 
 def expectation_counts(warn: Mapping[str, str] | None = None, drop: Mapping[str, str] | None = None) -> list[Column]:
     """Aggregates for one pass: rows in, rows out, and passed rows per rule."""
-    rules = _rules(warn, drop)
+    rules = expectation_rules(warn, drop)
     kept = F.lit(True)
     for _, kind, rule in rules:
         if kind == "drop":
@@ -46,7 +47,7 @@ def expectation_metrics(
 ) -> DataFrame:
     """Passed and failed counts per expectation and the output rows, from one aggregate over the feed."""
     by = by or []
-    rules = _rules(warn, drop)
+    rules = expectation_rules(warn, drop)
     counts = df.groupBy(*by).agg(*expectation_counts(warn, drop))
     rows = F.array(
         *[

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import sql
 from ..schemas import COLUMN_MAPPED
 from ..sources.feeds import business_columns
 from .dictionary import active_mappings
@@ -20,24 +19,16 @@ def first_wins(mappings: DataFrame) -> DataFrame:
     )
 
 
-MAX_ENTRIES = 100_000
-
-
 def resolve_columns(feed: DataFrame, dictionary: DataFrame, source_system: str) -> dict[str, str]:
-    """Target to local column for the columns this feed has; at most one entry per feed column.
+    """Target to local column for the columns this feed has.
 
-    The entries come to the driver because they shape the select list. They are
-    one per feed column, and a dictionary with more is refused.
+    The entries come to the driver because they shape the select list: one per
+    target, whatever the number of dictionary rows behind it.
     """
     present = business_columns(feed).columns
     usable = active_mappings(dictionary, source_system).filter(F.col("local_column_name").isin(present))
-    rows = usable.select("local_column_name", "global_column_name").limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"more than {MAX_ENTRIES} active dictionary rows for the columns of {source_system}")
-    mapping: dict[str, str] = {}
-    for local, target in sorted((row[0], row[1]) for row in rows):
-        mapping.setdefault(target, local)
-    return mapping
+    rows = first_wins(usable).select("global_column_name", "local_column_name").collect()
+    return dict(sorted((row[0], row[1]) for row in rows))
 
 
 def project(
@@ -55,14 +46,15 @@ def project(
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', got {on_error!r}")
 
-    cast = "cast" if on_error == "fail" else "try_cast"
+    def fitted(column: Column, kind: str) -> Column:
+        return column.cast(kind) if on_error == "fail" else column.try_cast(kind)
 
     shaped = [
-        f"{cast}({sql.name(mapping[name])} AS {t}) AS {sql.name(name)}" if name in mapping else f"cast(NULL AS {t}) AS {sql.name(name)}"
-        for name, t in model.items()
+        (fitted(F.col(f"`{mapping[name]}`"), kind) if name in mapping else F.lit(None).cast(kind)).alias(name)
+        for name, kind in model.items()
     ]
-    extra = [f"{sql.name(local)} AS {sql.name(name)}" for name, local in sorted(mapping.items()) if name not in model]
-    return feed.selectExpr(*shaped, *extra)
+    extra = [F.col(f"`{local}`").alias(name) for name, local in sorted(mapping.items()) if name not in model]
+    return feed.select(*shaped, *extra)
 
 
 def stamp_metadata(
@@ -111,7 +103,9 @@ def mapping_report(inventory: DataFrame, dictionary: DataFrame) -> DataFrame:
     fed = active.join(columns, keys, "left_semi")
     winners = first_wins(fed).withColumn("_wins", F.lit(True))
     rated = active.join(winners, [*keys, "global_column_name"], "left")
-    return columns.join(rated, keys, "full_outer").select(
+    known = columns.join(rated, keys, "left")
+    only_mapped = rated.join(columns, keys, "left_anti").withColumn("_feed", F.lit(None).cast("boolean"))
+    return known.unionByName(only_mapped).select(
         *keys,
         "global_column_name",
         F.when(F.col("global_column_name").isNull(), F.lit("NOT_MAPPED"))

@@ -20,16 +20,15 @@ def pending_columns(inventory: DataFrame, dictionary: DataFrame) -> DataFrame:
     return inventory.join(active, ["source_system", "local_column_name"], "left_anti")
 
 
-def approved_examples(dictionary: DataFrame, source_system: str, limit: int = 60) -> DataFrame:
-    """Active pairs of the other sources by local name, the first ``limit`` of them."""
-    return (
+def approved_examples(dictionary: DataFrame, source_system: str, limit: int | None = None) -> DataFrame:
+    """Active pairs of the other sources; with ``limit`` a listing of the first ones by local name."""
+    found = (
         dictionary.filter(
             (F.col("source_system") != source_system) & F.col("active_flag") & real_target("global_column_name")
         )
         .select("local_column_name", "global_column_name", "source_system")
-        .orderBy("local_column_name", "global_column_name", "source_system")
-        .limit(limit)
     )
+    return found if limit is None else found.orderBy(*found.columns).limit(limit)
 
 
 def prompt_text(

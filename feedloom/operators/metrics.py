@@ -10,25 +10,21 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import as_col
 
-def units(column: str, digits: int = 4) -> str:
-    """SQL sum of a money column in whole units of its last digit.
-
-    Whole numbers add up exactly, so the order of the rows does not show in the
-    result, and a wide decimal does not overflow; it is cheaper than a sum over
-    decimals converted row by row.
-    """
-    return f"sum(cast(cast(rint({column} * 1e{digits}D) AS bigint) AS decimal(20,0)))"
 
+def total(column: str) -> str:
+    """SQL sum of the values of a money column as they are.
 
-def total(column: str, digits: int = 4) -> str:
-    """SQL sum of a money column, exact to ``digits`` decimals of each value."""
-    return f"cast({units(column, digits)} AS double) / 1e{digits}D"
+    They add up as decimals of 18 places, so the order of the rows does not show in
+    the result. With a NaN, an infinity or a value of 1e18 and more in the group it
+    is the plain floating-point sum.
+    """
+    wild = f"bool_or(isnan({column}) OR abs({column}) >= 1e18D)"
+    return f"if({wild}, sum({column}), cast(sum(try_cast({column} AS decimal(38,18))) AS double))"
 
 
 def ratio(parts: Sequence[str], whole: str) -> str:
     """SQL ratio of sums of money columns, NULL for a whole of 0; a NULL part makes it NULL."""
-    added = " + ".join(units(p) for p in parts)
-    return f"cast({added} AS double) / nullif(cast({units(whole)} AS double), 0D)"
+    return f"({' + '.join(total(p) for p in parts)}) / nullif({total(whole)}, 0D)"
 
 
 @dataclass(frozen=True)

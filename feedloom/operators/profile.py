@@ -3,117 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import sql
 from ..functions.local import local_frame
 from ..schemas import SOURCE_COLUMN_INVENTORY, conform, struct
 from ..sources.feeds import business_columns, describe_columns, union_feeds
 
-SAMPLE_PROBE_ROWS = 5_000
-
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 _REAL = (T.FloatType, T.DoubleType)
+_NESTED = (T.MapType, T.ArrayType, T.StructType)
 _TIME = (T.TimestampType, T.DateType, T.TimestampNTZType)
 
 
-@dataclass(frozen=True)
-class _Cell:
-    """SQL texts of a column: comparable value with its type, and place in the order of the type.
-
-    The place has one struct type for all columns. Types other than whole numbers,
-    floating numbers and times are compared and ordered by their text.
-    """
-
-    column: str
-    value: str
-    kind: str
-    place: str
-
-    @property
-    def text(self) -> str:
-        return f"cast({self.value} AS string)"
-
-    def literal(self, value: str) -> str:
-        return f"cast({sql.text(value)} AS {self.kind})"
+def _comparable(field: T.StructField) -> Column:
+    """The column in the order samples are taken in; types other than numbers and times go by their text."""
+    cell = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, _REAL):
+        return (cell + F.lit(0.0)).cast(field.dataType)
+    return cell if isinstance(field.dataType, (*_WHOLE, *_TIME)) else cell.cast("string")
 
 
-def _cell(field: T.StructField) -> _Cell:
-    value, kind = sql.name(field.name), field.dataType.simpleString()
-    whole, real, text = "cast(NULL AS bigint)", "cast(NULL AS double)", "cast(NULL AS string)"
-    if isinstance(field.dataType, _REAL):
-        value = f"cast({value} + 0D AS {kind})"
-        real = f"cast({value} AS double)"
-    elif isinstance(field.dataType, _WHOLE):
-        whole = f"cast({value} AS bigint)"
-    elif isinstance(field.dataType, _TIME):
-        whole = f"unix_micros(cast({value} AS timestamp))"
-    else:
-        value, kind = f"cast({value} AS string)", "string"
-        text = value
-    return _Cell(field.name, value, kind, f"named_struct('n', {whole}, 'd', {real}, 's', {text})")
-
-
-def sample_values(df: DataFrame, k: int = 5, probe_rows: int = SAMPLE_PROBE_ROWS) -> DataFrame:
+def sample_values(df: DataFrame, k: int = 5) -> DataFrame:
     """Up to ``k`` smallest distinct non-NULL values per column as text, in the order of the type.
 
-    Three steps, exact for every input. A bounded probe finds ``k`` smallest
-    values per column. For the columns with repeated values, one aggregate over
-    the whole frame tells whether a smaller value exists; if not, the probe is the
-    answer. A second pass reads the remaining columns only and keeps cells up to
-    the probe's k-th value, which the true one cannot exceed, so few cells reach
-    the shuffle, and the rank filter keeps the first ``k`` of each task.
+    The next value of every column is one plain minimum over the values beyond the
+    one before, so a round is one aggregate of one row that combines in the tasks:
+    no shuffle of values, no rows on the driver, the same plan for every input.
     """
-    cells = [_cell(f) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-    if not cells:
+    fields = [f for f in df.schema.fields if not isinstance(f.dataType, _NESTED)]
+    if not fields:
         raise ValueError("the frame has no column of a simple type")
-
-    # Taking rows stops at the first partitions that have enough; an aggregate over a limit would start all tasks.
-    taken = df.selectExpr(*[f"{c.text} AS {sql.name(c.column)}" for c in cells]).take(probe_rows)
-    texts = T.StructType([T.StructField(c.column, T.StringType()) for c in cells])
-
-    def probed(c: _Cell) -> Column:
-        value = f"cast({sql.name(c.column)} AS {c.kind})"
-        seen = f"sort_array(collect_set({value}))"
-        first = f"cast(slice({seen}, 1, {k}) AS array<string>)"
-        return F.expr(f"struct({first} AS first, size({seen}) * 2 <= count({value}) AS repeats)").alias(c.column)
-
-    row = local_frame(df.sparkSession, taken, texts).agg(*[probed(c) for c in cells]).first()
-    probe = {c.column: row[c.column]["first"] for c in cells}
-
-    def bounded(c: _Cell) -> str:
-        known = probe[c.column]
-        return f"{c.value} IS NOT NULL" if len(known) < k else f"{c.value} <= {c.literal(known[-1])}"
-
-    def unseen(c: _Cell) -> Column:
-        known = ", ".join(c.literal(value) for value in probe[c.column])
-        return F.expr(f"count_if({bounded(c)}{f' AND {c.value} NOT IN ({known})' if known else ''})").alias(c.column)
-
-    checks = [unseen(c) for c in cells if row[c.column]["repeats"]]
-    news = {c.column: True for c in cells} | (df.agg(*checks).first().asDict() if checks else {})
-    settled = local_frame(
-        df.sparkSession,
-        [(c.column, probe[c.column]) for c in cells if not news[c.column] and probe[c.column]],
-        struct("column_name string, sample_values array<string>"),
-    )
-    pending = [c for c in cells if news[c.column]]
-    if not pending:
-        return settled
-
-    wanted = ", ".join(
-        f"if({bounded(c)}, struct({sql.text(c.column)} AS column_name, {c.place} AS o, {c.text} AS value), NULL)"
-        for c in pending
-    )
-    pairs = df.selectExpr(f"explode(array({wanted})) AS cell").filter("cell IS NOT NULL").select("cell.*")
-    by_column = Window.partitionBy("column_name").orderBy("o")
-    found = pairs.distinct().withColumn("_r", F.row_number().over(by_column)).filter(F.col("_r") <= k)
-    listed = found.groupBy("column_name").agg(F.array_sort(F.collect_list(F.struct("_r", "value"))).alias("found"))
-    return settled.unionByName(listed.select("column_name", F.col("found.value").alias("sample_values")))
+    found: dict[str, list[str]] = {f.name: [] for f in fields}
+    open_fields, last = fields, {}
+    for _ in range(k):
+        def next_value(i: int, f: T.StructField) -> Column:
+            value = _comparable(f)
+            return F.min(value if f.name not in last else F.when(value > F.lit(last[f.name]).cast(value_types[f.name]), value)).alias(f"v{i}")
+
+        value_types = {f.name: df.select(_comparable(f).alias("v")).schema["v"].dataType for f in open_fields}
+        one = df.agg(*[next_value(i, f) for i, f in enumerate(open_fields)])
+        texts = one.select(*[F.col(f"v{i}").cast("string").alias(f"v{i}") for i in range(len(open_fields))]).first()
+        for i, f in enumerate(open_fields):
+            if texts[i] is not None:
+                found[f.name].append(texts[i])
+                last[f.name] = texts[i]
+        open_fields = [f for i, f in enumerate(open_fields) if texts[i] is not None]
+        if not open_fields:
+            break
+    rows = [(name, values) for name, values in found.items() if values]
+    return local_frame(df.sparkSession, rows, struct("column_name string, sample_values array<string>"))
 
 
 def inventory_columns(

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import sql
 from ..schemas import COLUMN_MAPPED, VALUE_MAPPED
 
 
@@ -36,25 +35,26 @@ class Rule:
         return self.description or self.predicate
 
 
-def _check(name: str, status: str, metric: str, details: str) -> str:
-    """One result row as SQL; all arguments but the name are SQL expressions."""
-    return (
-        f"named_struct('check_name', {sql.text(name)}, 'check_status', {status}, "
-        f"'metric_value', cast({metric} AS double), 'details', {details})"
+def _check(name: str, status: Column, metric: Column, details: Column) -> Column:
+    """One result row."""
+    return F.struct(
+        F.lit(name).alias("check_name"), status.alias("check_status"), metric.cast("double").alias("metric_value"),
+        details.alias("details"),
     )
 
 
-def _fixed(name: str, status: str, metric: float, details: str) -> str:
-    return _check(name, sql.text(status), str(metric), sql.text(details))
+def _fixed(name: str, status: str, metric: float, details: str) -> Column:
+    return _check(name, F.lit(status), F.lit(float(metric)), F.lit(details))
 
 
-def _counted(name: str, n: str, severity: str, before: str, after: str) -> str:
-    status = f"if({n} = 0, 'PASSED', {sql.text(severity)})"
-    return _check(name, status, n, f"concat({sql.text(before)}, {n}, {sql.text(after)})")
+def _counted(name: str, n: str, severity: str, before: str, after: str) -> Column:
+    count = F.col(n)
+    status = F.when(count == 0, F.lit("PASSED")).otherwise(F.lit(severity))
+    return _check(name, status, count, F.concat(F.lit(before), count.cast("string"), F.lit(after)))
 
 
-def _rows(checks: Sequence[str]) -> Column:
-    return F.expr(f"inline(array({', '.join(checks)}))")
+def _rows(checks: Sequence[Column]) -> Column:
+    return F.inline(F.array(*checks))
 
 
 def analysis_error(df: DataFrame, predicate: str) -> str | None:
@@ -85,6 +85,15 @@ def failing_rules(df: DataFrame, rules: Sequence[Rule]) -> dict[str, str]:
     return {r.name: error for r in usable if (error := attempt([r])) is not None}
 
 
+def _declared(counted: DataFrame, sources: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """Counts with a row for every declared source, 0 where the table has no row of it."""
+    if sources is None or not by:
+        return counted
+    counts = [c for c in counted.columns if c not in by]
+    listed = sources.select(*by).distinct().join(counted, list(by), "left")
+    return listed.select(*by, *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts])
+
+
 def quality_checks(
     df: DataFrame,
     *,
@@ -93,19 +102,24 @@ def quality_checks(
     rules: Sequence[Rule] = (),
     by: Sequence[str] = (),
     failing: Mapping[str, str] | None = None,
+    sources: DataFrame | None = None,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
-    """Not-null, allow-list, rule and status checks of a table from a single aggregate.
+    """Not-null, allow-list, rule, status and parity checks of a table from a single aggregate.
 
     A missing column or a broken predicate still gives its row. ``failing`` takes
     the result of :func:`failing_rules` for predicates that stop at run time.
+    ``sources`` declares the ``by`` values that get all rows, also without rows in
+    the table. ``raw``, the feed behind the table, adds the row-count check; the
+    table's own count comes from the same aggregate.
     """
     present = set(df.columns)
     counts: list[Column] = []
-    checks: list[str] = []
+    checks: list[Column] = []
 
-    def counted(condition: str) -> str:
+    def counted(condition: Column) -> str:
         name = f"_c{len(counts)}"
-        counts.append(F.expr(f"count_if(\n{condition}\n)").alias(name))
+        counts.append(F.count_if(condition).alias(name))
         return name
 
     for column in required:
@@ -113,15 +127,15 @@ def quality_checks(
         if column not in present:
             checks.append(_fixed(name, "FAILED", 0.0, f"target column '{column}' is missing"))
             continue
-        checks.append(_counted(name, counted(f"{sql.name(column)} IS NULL"), "FAILED", "", f" null {column} values"))
+        checks.append(_counted(name, counted(F.col(f"`{column}`").isNull()), "FAILED", "", f" null {column} values"))
 
     for column, values in sorted((allowed or {}).items()):
         name = f"values_in_allowed_list_{column}"
         if column not in present:
             checks.append(_fixed(name, "WARNING", float(len(values)), "column is missing"))
             continue
-        listed = ", ".join(sql.text(v) for v in values)
-        n = counted(f"{sql.name(column)} NOT IN ({listed})" if listed else f"{sql.name(column)} IS NOT NULL")
+        cell = F.col(f"`{column}`")
+        n = counted(~cell.isin(list(values)) if values else cell.isNotNull())
         checks.append(
             _counted(name, n, "WARNING", f"{column} values are in the configured allow-list: ", " violations")
         )
@@ -131,22 +145,45 @@ def quality_checks(
         if error is not None:
             checks.append(_fixed(rule.name, "FAILED", 0.0, f"predicate failed to evaluate: {error}"))
             continue
-        checks.append(_counted(rule.name, counted(rule.predicate), rule.severity, f"{rule.text}: ", " violations"))
+        checks.append(_counted(rule.name, counted(F.expr(rule.predicate)), rule.severity, f"{rule.text}: ", " violations"))
 
     if "mapping_status" in present:
-        n = counted(f"mapping_status NOT IN ({sql.text(COLUMN_MAPPED)}, {sql.text(VALUE_MAPPED)})")
+        n = counted(~F.col("mapping_status").isin(COLUMN_MAPPED, VALUE_MAPPED))
         checks.append(
             _counted(
                 "column_mapping_version_present", n, "WARNING", "", " rows without expected mapping_status flag"
             )
         )
 
-    one = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *counts)
-    return one.select(*by, _rows(checks))
+    one = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_shared"), *counts)
+    if raw is not None:
+        fed = raw.groupBy(*by).agg(F.count(F.lit(1)).alias("_raw"))
+        sizes = [c for c in one.columns if c not in by]
+        # Adding up both sides keeps sources that only one of them has.
+        both = one.withColumn("_raw", F.lit(0).cast("bigint")).unionByName(
+            fed.withColumns({c: F.lit(0).cast("bigint") for c in sizes})
+        )
+        one = both.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["_raw", *sizes]])
+        checks.append(_parity())
+    return _declared(one, sources, by).select(*by, _rows(checks))
+
+
+def _parity() -> Column:
+    """The row-count check over ``_raw`` and ``_shared``; its texts are fixed values."""
+    raw, shared = F.col("_raw"), F.col("_shared")
+    text = F.concat(F.lit("raw="), F.format_number(raw, 0), F.lit(", harmonized="), F.format_number(shared, 0))
+    return _check(
+        "row_count_parity",
+        F.when(raw == shared, F.lit("PASSED")).otherwise(F.lit("FAILED")),
+        F.when(raw == shared, shared).otherwise(F.abs(raw - shared)),
+        F.concat(F.when(raw == shared, F.lit("")).otherwise(F.lit("MISMATCH: ")), text),
+    )
 
 
-def check_row_parity(raw: DataFrame, shared: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Equal row counts of feed and shared table, per source if ``by`` is given."""
+def check_row_parity(
+    raw: DataFrame, shared: DataFrame, by: Sequence[str] = (), sources: DataFrame | None = None
+) -> DataFrame:
+    """Equal row counts of feed and shared table, per source if ``by`` is given; :func:`quality_checks` alone."""
 
     def counted(df: DataFrame, side: int) -> DataFrame:
         return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))
@@ -155,20 +192,18 @@ def check_row_parity(raw: DataFrame, shared: DataFrame, by: Sequence[str] = ())
         counted(raw, 0)
         .unionByName(counted(shared, 1))
         .groupBy(*by)
-        .agg(F.expr("sum(if(side = 0, n, 0)) AS _raw"), F.expr("sum(if(side = 1, n, 0)) AS _shared"))
-    )
-    text = "concat('raw=', format_number(_raw, 0), ', harmonized=', format_number(_shared, 0))"
-    check = _check(
-        "row_count_parity",
-        "if(_raw = _shared, 'PASSED', 'FAILED')",
-        "if(_raw = _shared, _shared, abs(_raw - _shared))",
-        f"concat(if(_raw = _shared, '', 'MISMATCH: '), {text})",
+        .agg(F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("_raw"), F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("_shared"))
     )
-    return both.select(*by, _rows([check]))
+    return _declared(both, sources, by).select(*by, _rows([_parity()]))
 
 
-def check_mapping_coverage(mandatory: DataFrame, dictionary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Share of mandatory columns (source_system, local_column_name) with an active dictionary entry."""
+def check_mapping_coverage(
+    mandatory: DataFrame, dictionary: DataFrame, by: Sequence[str] = (), sources: DataFrame | None = None
+) -> DataFrame:
+    """Share of mandatory columns (source_system, local_column_name) with an active dictionary entry.
+
+    A declared source without mandatory columns is covered by 100 percent.
+    """
     keys = ["source_system", "local_column_name"]
     active = dictionary.filter("active_flag").select(*keys).distinct().withColumn("_in", F.lit(True))
     counted = (
@@ -176,13 +211,14 @@ def check_mapping_coverage(mandatory: DataFrame, dictionary: DataFrame, by: Sequ
         .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_all"), F.count("_in").alias("_covered"))
     )
+    covered, every = F.col("_covered"), F.col("_all")
     check = _check(
         "column_mapping_coverage",
-        "if(_covered = _all, 'PASSED', 'WARNING')",
-        "round(coalesce(_covered / nullif(_all, 0) * 100, 100D), 1)",
-        "concat(_covered, '/', _all, ' mandatory columns have active dict entries')",
+        F.when(covered == every, F.lit("PASSED")).otherwise(F.lit("WARNING")),
+        F.round(F.coalesce(covered / F.nullif(every, F.lit(0)) * 100, F.lit(100.0)), 1),
+        F.concat(covered.cast("string"), F.lit("/"), every.cast("string"), F.lit(" mandatory columns have active dict entries")),
     )
-    return counted.select(*by, _rows([check]))
+    return _declared(counted, sources, by).select(*by, _rows([check]))
 
 
 def quality_report(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.conditions import holds
-from ..functions.joins import lookup_join
 from ..schemas import REVIEW_ACTIONS
 
 KEYS = ["source_system", "local_column_name"]
@@ -409,7 +408,7 @@ def coverage_view(targets: DataFrame, candidates: DataFrame) -> DataFrame:
     model = targets.select(
         "global_column_name", "global_data_type", "semantic_group", "required_flag", "business_definition"
     )
-    fed = lookup_join(pointed, model, ["global_column_name"], "inner")
+    fed = pointed.join(model, "global_column_name")
     used = pointed.select("global_column_name").distinct()
     unfed = model.join(used, "global_column_name", "left_anti")
     rows = fed.unionByName(unfed, allowMissingColumns=True)

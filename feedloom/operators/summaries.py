@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import REVIEW_STATUSES
 
-LIST_SIZE = 10_000
-
-
 def _resolved() -> Column:
     return F.col("review_status").isin("APPROVED", "CORRECTED")
 
@@ -28,28 +25,10 @@ def status_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source_system", "review_status", "mandatory_flag").agg(F.count(F.lit(1)).alias("count"))
 
 
-def status_columns(candidates: DataFrame, *, list_size: int = LIST_SIZE) -> DataFrame:
-    """Count and sorted column names by status and mandatory flag.
-
-    A group of more than ``list_size`` columns is listed on several rows, numbered
-    from 0, each name on one of them; ``count`` is the size of the whole group.
-    """
-    group = ["review_status", "mandatory_flag"]
-    sizes = candidates.groupBy(*group).agg(F.count(F.lit(1)).alias("count"))
-    keyed = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_g{i}") for i, c in enumerate(group)]
-    sized = sizes.select(*group, "count", *keyed)
-    dealt = (
-        candidates.select(*keyed, "source_system", "local_column_name")
-        .join(sized, ["_g0", "_g1"])
-        .withColumn(
-            "list_no",
-            F.pmod(
-                F.xxhash64("source_system", "local_column_name"), F.ceil(F.col("count") / F.lit(list_size))
-            ).cast("int"),
-        )
-    )
-    return dealt.groupBy(*group, "count", "list_no").agg(
-        F.array_sort(F.collect_list("local_column_name")).alias("columns")
+def status_columns(candidates: DataFrame) -> DataFrame:
+    """Count and sorted column names by status and mandatory flag, one row per group."""
+    return candidates.groupBy("review_status", "mandatory_flag").agg(
+        F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list("local_column_name")).alias("columns")
     )
 
 
@@ -95,8 +74,9 @@ def confidence_pivot(rows: DataFrame) -> DataFrame:
 
 
 def approved_count(candidates: DataFrame, source_system: str | None = None) -> DataFrame:
-    """Columns approved without correction, per source or of one source."""
-    approved = candidates.filter(F.col("review_status") == "APPROVED")
-    if source_system is not None:
-        approved = approved.filter(F.col("source_system") == source_system)
-    return approved.groupBy("source_system").agg(F.count(F.lit(1)).alias("columns"))
+    """Columns approved without correction: a row per source of the candidates, or one row for one source, 0 for none."""
+    approved = F.count_if(F.col("review_status") == "APPROVED").alias("columns")
+    if source_system is None:
+        return candidates.groupBy("source_system").agg(approved)
+    own = candidates.filter(F.col("source_system") == source_system)
+    return own.agg(approved).select(F.lit(source_system).alias("source_system"), "columns")

@@ -7,38 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conditions import null_of
-from ..functions.joins import lookup_join
 from ..functions.text import outermost_object
 from ..schemas import AUTO_APPROVER, VALUE_MAPPED, VALUE_MAPPING_CANDIDATES, VALUE_MAPPING_DICTIONARY, conform
 
-PROMPT_VALUES = 500
-LITERAL_ENTRIES = 256
 
 
-def value_prompt(values: DataFrame, allowed: DataFrame, *, values_per_prompt: int = PROMPT_VALUES) -> DataFrame:
-    """Prompt texts per category column with its allow-list and its local values in order.
+def value_prompt(values: DataFrame, allowed: DataFrame) -> DataFrame:
+    """One prompt text per category column with its allow-list and its local values in order.
 
-    ``values`` is (source_field, raw_value), ``allowed`` (source_field,
-    allowed_value). A column with more values than one prompt takes gets several
-    prompts, numbered from 0; each value is in exactly one of them.
+    ``values`` is (source_field, raw_value), ``allowed`` (source_field, allowed_value).
     """
-    distinct = values.select("source_field", "raw_value").distinct()
-    sizes = distinct.groupBy("source_field").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(values_per_prompt)).alias("_prompts")
-    )
-    dealt = distinct.join(sizes, "source_field").withColumn(
-        "prompt_no", F.pmod(F.xxhash64("raw_value"), F.col("_prompts")).cast("int")
-    )
     lists = allowed.groupBy("source_field").agg(
         F.array_join(F.array_sort(F.collect_set("allowed_value")), ", ").alias("_allowed")
     )
-    asked = dealt.groupBy("source_field", "prompt_no").agg(
-        F.array_join(F.array_sort(F.collect_list("raw_value")), ", ").alias("_local")
+    asked = values.groupBy("source_field").agg(
+        F.array_join(F.array_sort(F.collect_set("raw_value")), ", ").alias("_local")
     )
     return asked.join(lists, "source_field").select(
         "source_field",
-        "prompt_no",
         F.concat(
             F.lit("Give one allowed value for every local value of '"),
             "source_field",
@@ -65,11 +51,30 @@ def parse_value_reply(replies: DataFrame, allowed: DataFrame, reply: str = "repl
         F.explode_outer("_m").alias("raw_value", "_v"),
     )
     listed = allowed.select("source_field", F.col("allowed_value").alias("_v")).distinct().withColumn("_ok", F.lit(True))
-    return lookup_join(rows, listed, ["source_field", "_v"]).select(
+    return rows.join(listed, ["source_field", "_v"], "left").select(
         *others, "raw_value", F.when(F.col("_ok"), F.col("_v")).alias("proposed_value"), "ai_error_status"
     )
 
 
+def replied_values(values: DataFrame, replies: DataFrame, allowed: DataFrame, reply: str = "reply") -> DataFrame:
+    """A proposal for each distinct local value (source_system, source_field, raw_value) from one reply per column.
+
+    A value that a reply leaves out has no proposal, one of a failed or missing
+    reply has AI_ERROR besides; values that only a reply names are not taken.
+    Of several replies for a column the smallest proposal counts.
+    """
+    column = ["source_system", "source_field"]
+    parsed = parse_value_reply(replies.select(*column, reply), allowed, reply)
+    read = parsed.filter("ai_error_status IS NULL")
+    found = read.filter("raw_value IS NOT NULL").groupBy(*column, "raw_value").agg(F.min("proposed_value").alias("proposed_value"))
+    good = replies.filter(F.from_json(outermost_object(reply), "map<string,string>").isNotNull())
+    answered = good.select(*column).distinct().withColumn("_answered", F.lit(True))
+    joined = values.select(*column, "raw_value").distinct().join(found, [*column, "raw_value"], "left").join(answered, column, "left")
+    return joined.select(
+        *column, "raw_value", "proposed_value", F.when(F.col("_answered").isNull(), F.lit("AI_ERROR")).alias("ai_error_status")
+    )
+
+
 def propose_values(values: DataFrame, allowed: DataFrame, glossary: DataFrame) -> DataFrame:
     """A code per distinct local value: the equal code after trim and case folding, else the glossary's.
 
@@ -86,7 +91,7 @@ def propose_values(values: DataFrame, allowed: DataFrame, glossary: DataFrame) -
         .agg(F.min("code").alias("_term"))
     )
     keyed = values.withColumn("_key", fold(F.col("raw_value")))
-    joined = lookup_join(lookup_join(keyed, codes, ["source_field", "_key"]), terms, ["source_field", "_key"])
+    joined = keyed.join(codes, ["source_field", "_key"], "left").join(terms, ["source_field", "_key"], "left")
     return joined.select(*values.columns, F.coalesce("_same", "_term").alias("proposed_value"))
 
 
@@ -94,6 +99,7 @@ def stage_value_candidates(proposals: DataFrame, *, now: Column | None = None) -
     """Proposals as candidate rows: approved at once if there is a code, else PENDING with no reviewer."""
     now = F.current_timestamp() if now is None else now
     approved = F.col("proposed_value").isNotNull()
+    failed = F.col("ai_error_status") if "ai_error_status" in proposals.columns else F.lit(None).cast("string")
     staged = proposals.select(
         F.xxhash64("source_system", "source_field", "raw_value").alias("candidate_id"),
         "source_system",
@@ -101,6 +107,7 @@ def stage_value_candidates(proposals: DataFrame, *, now: Column | None = None) -
         "raw_value",
         F.col("proposed_value").alias("proposed_harmonized_value"),
         F.when(approved, F.lit("HIGH")).otherwise(F.lit("LOW")).alias("confidence"),
+        failed.alias("ai_error_status"),
         F.when(approved, F.lit("APPROVED")).otherwise(F.lit("PENDING")).alias("review_status"),
         F.col("proposed_value").alias("final_harmonized_value"),
         F.when(approved, F.lit(AUTO_APPROVER)).alias("reviewed_by"),
@@ -138,56 +145,31 @@ def _active_entries(dictionary: DataFrame) -> DataFrame:
 
 
 def translate_values(
-    df: DataFrame,
-    dictionary: DataFrame,
-    fields: Sequence[str],
-    *,
-    source: str = "source_system",
-    literal_entries: int = LITERAL_ENTRIES,
+    df: DataFrame, dictionary: DataFrame, fields: Sequence[str], *, source: str = "source_system"
 ) -> DataFrame:
     """Replace category values by their active translation; values without one stay.
 
-    A dictionary of up to ``literal_entries`` rows becomes map literals in one
-    projection: no join and no shuffle. A larger one is joined per field, by
-    broadcast if its size is proven small and by a salted shuffle otherwise.
-    ``mapping_status`` is set only if the dictionary has an active entry for one
+    One left join per field on source and value, with one row per key on the
+    dictionary's side; the optimizer broadcasts a dictionary that it knows to be
+    small. Two active translations of a value fail the job when a row holds the
+    value; a NULL translation beside another one does not count.
+    ``mapping_status`` is set for the rows of sources with an active entry for one
     of the fields.
     """
     entries = _active_entries(dictionary).filter(F.col("source_field").isin(list(fields)))
-    small = entries.limit(literal_entries + 1).collect()
-    if not small:
-        return df
-    if len(small) <= literal_entries:
-        lookup: dict[str, dict[str, dict[str, str]]] = {}
-        for row in small:
-            known = lookup.setdefault(row["source_field"], {}).setdefault(row["source_system"], {})
-            if known.get(row["raw_value"], row["harmonized_value"]) != row["harmonized_value"]:
-                raise ValueError(f"two active translations for {row['source_field']}={row['raw_value']!r}")
-            known[row["raw_value"]] = row["harmonized_value"]
-        changed = {}
-        for field, by_source in lookup.items():
-            found = null_of()
-            for system, pairs in by_source.items():
-                flat = [F.lit(text) for pair in pairs.items() for text in pair]
-                found = F.when(F.col(source) == system, F.create_map(*flat)[F.col(field)]).otherwise(found)
-            changed[field] = F.coalesce(found, F.col(field))
-        result = df.withColumns(changed)
-    else:
-        result = df
-        for field in fields:
-            own = (
-                entries.filter(F.col("source_field") == field)
-                .groupBy(F.col("source_system").alias(source), F.col("raw_value").alias(field))
-                .agg(F.max("harmonized_value").alias("_code"), F.count_distinct("harmonized_value").alias("_n"))
-            )
-            clash = F.raise_error(F.lit(f"two active translations for one value of {field}"))
-            code = F.when(F.col("_n") > 1, clash.cast("string")).otherwise(F.col("_code"))
-            result = (
-                lookup_join(result, own, [source, field])
-                .withColumn(field, F.coalesce(code, F.col(field)))
-                .drop("_code", "_n")
-            )
-        result = result.select(*df.columns)
+    result = df
+    for field in fields:
+        own = (
+            entries.filter(F.col("source_field") == field)
+            .groupBy(F.col("source_system").alias(source), F.col("raw_value").alias(field))
+            .agg(F.max("harmonized_value").alias("_code"), F.min("harmonized_value").alias("_other"))
+        )
+        clash = F.raise_error(F.lit(f"two active translations for one value of {field}"))
+        code = F.when(F.col("_code") != F.col("_other"), clash.cast("string")).otherwise(F.col("_code"))
+        joined = result.join(own, [source, field], "left")
+        result = joined.withColumn(field, F.coalesce(code, F.col(field))).drop("_code", "_other")
     if "mapping_status" in df.columns:
-        result = result.withColumn("mapping_status", F.lit(VALUE_MAPPED))
-    return result
+        known = entries.select(F.col("source_system").alias(source)).distinct().withColumn("_known", F.lit(True))
+        status = F.when(F.col("_known"), F.lit(VALUE_MAPPED)).otherwise(F.col("mapping_status"))
+        result = result.join(known, source, "left").withColumn("mapping_status", status)
+    return result.select(*(f"`{c}`" for c in df.columns))

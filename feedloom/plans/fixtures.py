@@ -143,9 +143,9 @@ SQL: dict[str, str] = {
           CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE 'SEMANTIC_TRANSLATION' END AS match_type,
           'reviewer' || (o_custkey % 10) AS approved_by, o_orderdate AS approved_at,
           CASE o_orderstatus WHEN 'F' THEN 'v1' ELSE 'v2' END AS mapping_version,
-          o_orderkey % 4 <> 0 AS active_flag, 'kept' AS mapping_comment,
+          o_orderkey % 4 <> 0 AND o_orderstatus <> 'P' AS active_flag, 'kept' AS mapping_comment,
           o_orderdate AS created_at, o_orderdate AS updated_at
-        FROM {{orders}} WHERE o_orderstatus <> 'P'""",
+        FROM {{orders}}""",
     # New proposals for part of the same keys and for new ones.
     "staged_candidates": f"""
         SELECT o_orderkey + 1000000000 AS candidate_id, 'SYS_' || o_custkey AS source_system,
@@ -275,6 +275,10 @@ SQL: dict[str, str] = {
           ELSE CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN '{{{{"global_column_name": null}}}}'
             ELSE '{{{{"global_column_name": ' || event_id || ', "match_type": 7}}}}' END END AS reply
         FROM {{events}}""",
+    # One column per order for a source of its own; its name can be known from another source's dictionary.
+    "example_columns": """
+        SELECT 'SYS_0' AS source_system, 'col_' || o_orderkey AS local_column_name, 'string' AS local_data_type
+        FROM {orders}""",
     "value_replies": """
         SELECT event_id, CASE event_type WHEN 'click' THEN 'risk_type' WHEN 'view' THEN 'risk_zone'
             ELSE 'distribution_channel' END AS source_field,

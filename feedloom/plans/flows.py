@@ -9,12 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.local import local_frame
 from ..operators import dictionary as D
 from ..operators import gate, quality
 from ..operators.harmonize import harmonize
 from ..operators.match import approved_examples, pending_columns, propose_mappings, stage_candidates
 from ..operators.merge import deactivate_stale, merge_candidates, merge_dictionary, merge_value_dictionary
 from ..operators.profile import distinct_values, inventory_columns
+from ..schemas import struct
 from ..operators.values import (
     propose_values,
     stage_value_candidates,
@@ -103,11 +105,14 @@ def publish(
     raw = reduce(
         DataFrame.unionByName, [feed.select(F.lit(systems[code]).alias("source_system")) for code, feed in feeds.items()]
     )
+    sources = local_frame(shared.sparkSession, [(systems[code],) for code in feeds], struct("source_system string"))
     checks = quality.quality_report(
         [
-            quality.check_row_parity(raw, rows, by),
-            quality.check_mapping_coverage(mandatory, dictionary, by),
-            quality.quality_checks(rows, required=required, allowed=allow_lists, rules=rules, by=by),
+            quality.check_mapping_coverage(mandatory, dictionary, by, sources),
+            quality.quality_checks(
+                rows, required=required, allowed=allow_lists, rules=rules, by=by, sources=sources, raw=raw,
+                failing=quality.failing_rules(rows, rules),
+            ),
         ],
         run_id,
     )

@@ -94,13 +94,13 @@ def oracle(name: str, uses: str, body: str) -> None:
 
 
 def _ratio(parts: list[str]) -> str:
-    total = " + ".join(f"SUM(CAST({p} AS DECIMAL(18,4)))" for p in parts)
-    whole = "NULLIF(CAST(SUM(CAST(gross_written_premium_eur AS DECIMAL(18,4))) AS DOUBLE), 0)"
-    return f"ROUND(CAST({total} AS DOUBLE) / {whole}, 6)"
+    total = " + ".join(f"CAST(SUM(CAST({p} AS DECIMAL(38,18))) AS DOUBLE)" for p in parts)
+    whole = "NULLIF(CAST(SUM(CAST(gross_written_premium_eur AS DECIMAL(38,18))) AS DOUBLE), 0)"
+    return f"ROUND(({total}) / {whole}, 6)"
 
 
 def _sum(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"ROUND(CAST(SUM(CAST({column} AS DECIMAL(38,18))) AS DOUBLE), 4)"
 
 
 LOSS = _ratio(["gross_claims_incurred_eur"])
@@ -249,11 +249,13 @@ oracle(
 )
 
 
-def _expectation_oracle() -> str:
+def _expectation_oracle(damaged: bool = False) -> str:
     parts = []
     for code in ("es", "it"):
         names = [n for n, _, _ in M.FEEDS[code.upper()]]
         year, month, premium = names[1], names[2], names[8]
+        if damaged:
+            premium = f"CASE WHEN {names[0]} % 100 = 0 THEN NULL ELSE {premium} END"
         for rule, kind, test in (
             ("valid_period", "warn", f"{year} IS NOT NULL AND {month} BETWEEN 1 AND 12"),
             ("has_premium", "drop", f"{premium} >= 0"),
@@ -275,10 +277,9 @@ def _dq_oracle() -> str:
     parts = []
 
     def add(name: str, status: str, metric: str, details: str, source: str = "shared") -> None:
-        parts.append(
-            f"SELECT source_system, '{name}' AS check_name, {status} AS check_status, "
-            f"CAST({metric} AS DOUBLE) AS metric_value, {details} AS details FROM {source} GROUP BY source_system"
-        )
+        columns = f"'{name}' AS check_name, {status} AS check_status, CAST({metric} AS DOUBLE) AS metric_value, {details} AS details"
+        parts.append(f"SELECT source_system, {columns} FROM {source} GROUP BY source_system")
+        parts.append(f"SELECT 'EMPTY' AS source_system, {columns} FROM {source} WHERE FALSE HAVING COUNT(*) = 0")
 
     def rule(name: str, test: str, severity: str, text: str) -> None:
         n = f"COUNT(*) FILTER (WHERE {test})"
@@ -289,6 +290,7 @@ def _dq_oracle() -> str:
         f"SELECT '{M.SYSTEMS[c]}', 'column_mapping_coverage', 'PASSED', 100.0, '14/14 mandatory columns have active dict entries'"
         for c in M.FEEDS
     )
+    parts.append("SELECT 'EMPTY', 'column_mapping_coverage', 'PASSED', 100.0, '0/0 mandatory columns have active dict entries'")
     for c in M.REQUIRED:
         n = f"COUNT(*) FILTER (WHERE {c} IS NULL)"
         add(f"not_null_{c}", f"CASE WHEN {n} = 0 THEN 'PASSED' ELSE 'FAILED' END", n, f"{n} || ' null {c} values'")
@@ -300,6 +302,7 @@ def _dq_oracle() -> str:
     for r in M.RULES:
         rule(r.name, r.predicate, r.severity, r.text)
     add("broken_rule", "'FAILED'", "0", "'predicate failed to evaluate'")
+    add("stopping_rule", "'FAILED'", "0", "'predicate failed to evaluate'")
     n = "COUNT(*) FILTER (WHERE mapping_status <> 'APPROVED_COLUMN_AND_VALUE_MAPPING')"
     add("column_mapping_version_present", f"CASE WHEN {n} = 0 THEN 'PASSED' ELSE 'WARNING' END", n,
         f"{n} || ' rows without expected mapping_status flag'")
@@ -374,12 +377,29 @@ oracle(
 )
 oracle(
     "value_prompt", "delivered allowed",
-    f"""SELECT f.source_field, 0 AS prompt_no, 'Give one allowed value for every local value of ''' || f.source_field
+    f"""SELECT f.source_field, 'Give one allowed value for every local value of ''' || f.source_field
     || '''. Allowed: ' || (SELECT string_agg(allowed_value, ', ' ORDER BY allowed_value) FROM allowed a
       WHERE a.source_field = f.source_field) || '. Local: ' || string_agg(DISTINCT raw_value, ', ' ORDER BY raw_value)
     || '. Answer with one JSON object from local to allowed value, null where none is safe.' AS prompt
     FROM ({_FOUND}) f WHERE f.source_field <> 'region' GROUP BY f.source_field""",
 )
+_OMITTED = min(M.VALUE_TERMS["ES"]["risk_type"])
+oracle(
+    "replied_values", "delivered terms",
+    f"""SELECT f.source_system, f.source_field, f.raw_value, v.harmonized_value AS final_harmonized_value,
+    CASE WHEN v.harmonized_value IS NULL THEN 'PENDING' ELSE 'APPROVED' END AS review_status,
+    CASE WHEN f.source_system = '{M.SYSTEMS["IT"]}' AND f.source_field = 'distribution_channel' THEN 'AI_ERROR' END AS ai_error_status
+    FROM ({" UNION ".join(f"SELECT source_system, '{c}' AS source_field, {c} AS raw_value FROM delivered WHERE {c} IS NOT NULL" for c in M.CATEGORICAL)}) f
+    LEFT JOIN terms v ON v.source_system = f.source_system AND v.source_field = f.source_field AND v.raw_value = f.raw_value
+    AND NOT (f.source_system = '{M.SYSTEMS["ES"]}' AND f.source_field = 'risk_type' AND f.raw_value = '{_OMITTED}')
+    AND NOT (f.source_system = '{M.SYSTEMS["IT"]}' AND f.source_field = 'distribution_channel')""",
+)
+oracle(
+    "propose_flow", "example_columns mapping_dictionary",
+    f"""SELECT e.local_column_name, COALESCE(m.global_column_name, 'NO_MATCH') AS proposed_global_column_name, 'LOW' AS confidence
+    FROM example_columns e LEFT JOIN (SELECT local_column_name, global_column_name FROM mapping_dictionary
+    WHERE source_system <> 'SYS_0' AND active_flag AND {_REAL}) m ON m.local_column_name = e.local_column_name""",
+)
 oracle(
     "parse_value_reply", "value_replies allowed",
     r"""SELECT r.event_id, r.source_field, k AS raw_value, CASE WHEN EXISTS (SELECT 1 FROM allowed a
@@ -853,8 +873,8 @@ oracle(
 )
 oracle(
     "mapping_lineage", "mapping_dictionary",
-    """SELECT 'ALL' AS source_system, local_column_name, global_column_name, match_type, mapping_version
-    FROM mapping_dictionary WHERE global_column_name = 'net_written_premium_eur'""",
+    """SELECT source_system, local_column_name, global_column_name, match_type, mapping_version
+    FROM mapping_dictionary WHERE source_system = 'SYS_1' AND global_column_name = 'net_written_premium_eur'""",
 )
 
 # Summaries
@@ -869,8 +889,8 @@ oracle(
 )
 oracle(
     "status_columns", "candidates",
-    """SELECT review_status, mandatory_flag, COUNT(*) OVER (PARTITION BY review_status, mandatory_flag) AS "count",
-    local_column_name FROM candidates""",
+    """SELECT review_status, mandatory_flag, COUNT(*) AS "count", list(local_column_name ORDER BY local_column_name) AS "columns"
+    FROM candidates GROUP BY 1, 2""",
 )
 oracle(
     "queue_counters", "candidates",
@@ -899,7 +919,7 @@ oracle(
 )
 oracle(
     "approved_count", "candidates",
-    "SELECT source_system, COUNT(*) AS \"columns\" FROM candidates WHERE review_status = 'APPROVED' GROUP BY 1",
+    "SELECT source_system, COUNT(*) FILTER (WHERE review_status = 'APPROVED') AS \"columns\" FROM candidates GROUP BY 1",
 )
 
 # Operations
@@ -924,14 +944,34 @@ oracle(
     estimated_prompt_units, estimated_response_units, estimated_cost_eur, recorded_at FROM usage
     WHERE source_system = 'SYS_7' ORDER BY recorded_at DESC, run_id DESC LIMIT 10""",
 )
-oracle("log_run", "runs", "SELECT run_id, task_name, task_status, row_count, message FROM runs")
+oracle(
+    "log_run", "runs",
+    """SELECT run_id, task_name, task_status, row_count, message FROM runs
+    UNION ALL SELECT 'this', 'log_run', 'DONE', COUNT(*), 'logged' FROM runs""",
+)
 
 # Security and model
 oracle("row_filter", "shared", "SELECT source_country, record_id FROM shared WHERE lower(source_country) = 'es'")
+oracle("row_filter_privileged", "shared", "SELECT source_country, record_id FROM shared")
+oracle(
+    "translate_one_source", "delivered terms",
+    "SELECT source_country, record_id, " + ", ".join(
+        f"COALESCE((SELECT v.harmonized_value FROM terms v WHERE v.source_system = d.source_system AND d.source_country = 'ES' "
+        f"AND v.source_field = '{c}' AND v.raw_value = d.{c}), d.{c}) AS {c}"
+        for c in M.CATEGORICAL
+    )
+    + ", 'APPROVED_COLUMN_' || CASE source_country WHEN 'ES' THEN 'AND_VALUE_' ELSE '' END || 'MAPPING' AS mapping_status FROM delivered d",
+)
+oracle(
+    "small_money", "",
+    """SELECT l_returnflag, ROUND(CAST(SUM(CAST(l_extendedprice * (1 - l_discount) * l_tax / 1000 AS DECIMAL(38,18))) AS DOUBLE), 6)
+    AS amount FROM lineitem GROUP BY 1""",
+)
 oracle(
     "row_entitlements", "memberships",
-    """SELECT DISTINCT "user", CASE WHEN "group" = 'admins' OR "user" = 'user3' THEN '*'
-    ELSE regexp_replace("group", '^stewards_', '') END AS scope FROM memberships""",
+    """SELECT DISTINCT "user", CASE WHEN "group" = 'admins' THEN '*'
+    ELSE regexp_replace("group", '^stewards_', '') END AS scope FROM memberships WHERE "user" <> 'user3'
+    UNION SELECT 'user3', '*'""",
 )
 oracle(
     "money_totals", "shared",
@@ -951,8 +991,7 @@ oracle(
 # Sources and sinks
 oracle(
     "read_answer_key", "wide_key",
-    """SELECT source_system, local_column_name, COALESCE(expected_global_column_name, '') AS expected_global_column_name
-    FROM wide_key""",
+    "SELECT source_system, local_column_name, expected_global_column_name FROM wide_key",
 )
 
 
@@ -969,6 +1008,7 @@ def _dirty(where: str) -> str:
 
 
 oracle("rescue_rows", "feed_es_dirty feed_it_dirty", _dirty("TRUE"))
+oracle("stream_counts", "feed_es_dirty feed_it_dirty", _expectation_oracle(damaged=True))
 oracle("stream_ingest", "feed_es_dirty feed_it_dirty", _dirty("premium >= 0"))
 oracle(
     "provenance", "feed_es_dirty feed_it_dirty",

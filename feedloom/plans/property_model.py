@@ -5,6 +5,8 @@ All tables in this module are fixed values of the example.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -145,21 +147,25 @@ COVERAGES = {
 }
 
 # Local name token and target name token.
-GLOSSARY_TEXT = (
-    "id=id, registro=record, riga=record, anio=year, anno=year, riferimento=reporting, mes=month, mese=month, "
-    "codigo=number, codice=number, poliza=policy, polizza=policy, tipo=type, riesgo=risk, rischio=risk, "
-    "provincia=region, regione=region, canal=channel, canale=channel, distribucion=distribution, "
-    "distributivo=distribution, prima=premium, premi=premium, neta=net, netti=net, bruta=gross, lordi=gross, "
-    "contabilizzati=written, num=count, polizas=policies, polizze=policies, nuevas=new, nuove=new, "
-    "renovadas=renewed, rinnovate=renewed, canceladas=cancelled, cancellate=cancelled, siniestros=claims, "
-    "sinistri=claims, declarados=reported, denunciati=reported, pagados=paid, pagati=paid, importe=eur, "
-    "bruto=gross, costo=incurred, lordo=gross, reservas=reserve, riserva=reserve, gastos=expenses, "
-    "spese=expenses, gestion=management, gestione=management, comisiones=commissions, provvigioni=commissions, "
-    "ratio=ratio, rapporto=ratio, siniestralidad=loss, segmento=segment, cliente=customer, zona=zone, "
-    "cobertura=coverage, copertura=coverage, principal=primary, principale=primary, moneda=currency, "
-    "valuta=currency"
-)
-GLOSSARY = [tuple(pair.split("=")) for pair in GLOSSARY_TEXT.split(", ")]
+GLOSSARY = [
+    ("id", "id"), ("registro", "record"), ("riga", "record"), ("anio", "year"),
+    ("anno", "year"), ("riferimento", "reporting"), ("mes", "month"), ("mese", "month"),
+    ("codigo", "number"), ("codice", "number"), ("poliza", "policy"), ("polizza", "policy"),
+    ("tipo", "type"), ("riesgo", "risk"), ("rischio", "risk"), ("provincia", "region"),
+    ("regione", "region"), ("canal", "channel"), ("canale", "channel"), ("distribucion", "distribution"),
+    ("distributivo", "distribution"), ("prima", "premium"), ("premi", "premium"), ("neta", "net"),
+    ("netti", "net"), ("bruta", "gross"), ("lordi", "gross"), ("contabilizzati", "written"),
+    ("num", "count"), ("polizas", "policies"), ("polizze", "policies"), ("nuevas", "new"),
+    ("nuove", "new"), ("renovadas", "renewed"), ("rinnovate", "renewed"), ("canceladas", "cancelled"),
+    ("cancellate", "cancelled"), ("siniestros", "claims"), ("sinistri", "claims"), ("declarados", "reported"),
+    ("denunciati", "reported"), ("pagados", "paid"), ("pagati", "paid"), ("importe", "eur"),
+    ("bruto", "gross"), ("costo", "incurred"), ("lordo", "gross"), ("reservas", "reserve"),
+    ("riserva", "reserve"), ("gastos", "expenses"), ("spese", "expenses"), ("gestion", "management"),
+    ("gestione", "management"), ("comisiones", "commissions"), ("provvigioni", "commissions"), ("ratio", "ratio"),
+    ("rapporto", "ratio"), ("siniestralidad", "loss"), ("segmento", "segment"), ("cliente", "customer"),
+    ("zona", "zone"), ("cobertura", "coverage"), ("copertura", "coverage"), ("principal", "primary"),
+    ("principale", "primary"), ("moneda", "currency"), ("valuta", "currency"),
+]
 
 # The shipped row rules, as violations.
 RULES = [
@@ -273,3 +279,20 @@ def value_dictionary(spark: SparkSession) -> DataFrame:
 
 def feed_schema(code: str) -> T.StructType:
     return T.StructType([T.StructField(n, SIMPLE_TYPES[t.lower()]) for n, t, _ in FEEDS[code]])
+
+
+def _value_replies() -> list[tuple[str, str, str]]:
+    """A reply per source and category column: one leaves a value out, one names a value too many, one failed."""
+    out = []
+    for code, fields in VALUE_TERMS.items():
+        for field, terms in fields.items():
+            told = dict(terms)
+            if (code, field) == ("ES", "risk_type"):
+                told.pop(min(told))
+                told["no such value"] = "Fire"
+            failed = (code, field) == ("IT", "distribution_channel")
+            out.append((SYSTEMS[code], field, "sorry" if failed else f"Here: {json.dumps(told, ensure_ascii=False)}."))
+    return out
+
+
+VALUE_REPLIES = _value_replies()

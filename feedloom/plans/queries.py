@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from ..schemas import (
 from ..schemas import categorical_targets as model_categories
 from ..sources import feeds as S
 from ..sources import keys, sinks
-from ..streaming.ingest import ingest_feeds, read_ingested
+from ..streaming.ingest import ingest_feeds, ingested_counts, read_ingested
 from . import property_model as M
 from .fixtures import frame
 
@@ -74,6 +75,8 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 # KPIs
 
+MONEY = ["gross_written_premium", "net_written_premium", "gross_claims_incurred", "commissions", "management_expenses"]
+
 
 @query
 def kpi_combined_ratio_by_source_channel(spark, d):
@@ -84,7 +87,7 @@ def kpi_combined_ratio_by_source_channel(spark, d):
 @query
 def kpi_by_source(spark, d):
     kpi = PROPERTY_KPIS.query(shared(spark, d), ["country"], list(PROPERTY_KPIS.measures))
-    return _rounded(kpi, "loss_ratio", "expense_ratio", "combined_ratio")
+    return _rounded(_rounded(kpi, "loss_ratio", "expense_ratio", "combined_ratio"), *MONEY, digits=4)
 
 
 @query
@@ -93,7 +96,7 @@ def kpi_all_dimensions(spark, d):
     kpi = PROPERTY_KPIS.query(
         shared(spark, d), dims, ["gross_written_premium", "claims_reported", "loss_ratio"], where="country IN ('ES', 'IT')"
     )
-    return _rounded(kpi, "loss_ratio")
+    return _rounded(_rounded(kpi, "loss_ratio"), "gross_written_premium", digits=4)
 
 
 @query
@@ -110,7 +113,8 @@ def kpi_top_channel(spark, d):
 
 @query
 def kpi_gwp_month_source(spark, d):
-    return PROPERTY_KPIS.query(shared(spark, d), ["reporting_period", "country"], ["gross_written_premium"])
+    kpi = PROPERTY_KPIS.query(shared(spark, d), ["reporting_period", "country"], ["gross_written_premium"])
+    return _rounded(kpi, "gross_written_premium", digits=4)
 
 
 @query
@@ -251,21 +255,30 @@ def dq_report(spark, d):
         _feed(spark, d, "ES").select(F.lit(M.SYSTEMS["ES"]).alias("source_system"))
         .unionByName(_feed(spark, d, "IT").select(F.lit(M.SYSTEMS["IT"]).alias("source_system")))
     )
+    # One declared source has no rows; one rule can't be resolved, another one stops when it runs.
+    sources = local_frame(spark, [(x,) for x in (*M.SYSTEMS.values(), "EMPTY")], struct("source_system string"))
+    rules = [
+        *M.RULES,
+        quality.Rule("broken_rule", "no_such_column > 1", "WARNING", "never"),
+        quality.Rule("stopping_rule", "1 / (claims_paid_count * 0) > 1", "WARNING", "never"),
+    ]
     report = quality.quality_report(
         [
-            quality.check_row_parity(raw, rows, by),
-            quality.check_mapping_coverage(M.mandatory(spark), M.dictionary(spark), by),
+            quality.check_mapping_coverage(M.mandatory(spark), M.dictionary(spark), by, sources),
             quality.quality_checks(
                 rows,
                 required=[*M.REQUIRED, "absent_column"],
                 allowed={**M.ALLOWED, "absent_category": ["a", "b"]},
-                rules=[*M.RULES, quality.Rule("broken_rule", "no_such_column > 1", "WARNING", "never")],
+                rules=rules,
+                failing=quality.failing_rules(rows, rules),
                 by=by,
+                sources=sources,
+                raw=raw,
             ),
         ],
         "run",
     )
-    broken = F.col("check_name") == "broken_rule"
+    broken = F.col("check_name").isin("broken_rule", "stopping_rule")
     return report.select(
         "source_system", "check_name", "check_status", "metric_value",
         F.when(broken, F.lit("predicate failed to evaluate")).otherwise(F.col("details")).alias("details"),
@@ -311,10 +324,8 @@ def translate_values(spark, d):
 
 @query
 def translate_values_large(spark, d):
-    """A dictionary of one entry per part, beyond what fits into literals."""
-    return values.translate_values(
-        frame(spark, d, "part_facts"), frame(spark, d, "part_terms"), ["part"], literal_entries=16
-    )
+    """A dictionary of one entry per part."""
+    return values.translate_values(frame(spark, d, "part_facts"), frame(spark, d, "part_terms"), ["part"])
 
 
 def _value_candidates(spark, d) -> DataFrame:
@@ -337,6 +348,26 @@ def value_prompt(spark, d):
     return values.value_prompt(found, model_categories(M.targets(spark)))
 
 
+@query
+def replied_values(spark, d):
+    """Candidates from replies: values of failed replies and those left out stay PENDING."""
+    found = profile.distinct_values(_columns_only(spark, d), M.CATEGORICAL, ["source_system"])
+    replies = local_frame(spark, M.VALUE_REPLIES, struct("source_system string, source_field string, reply string"))
+    staged = values.stage_value_candidates(values.replied_values(found, replies, model_categories(M.targets(spark))))
+    return staged.select(
+        "source_system", "source_field", "raw_value", "final_harmonized_value", "review_status", "ai_error_status"
+    )
+
+
+@query
+def propose_flow(spark, d):
+    """A whole proposal run for one source with the examples of all others: hundreds of them, none left out."""
+    examples = match.approved_examples(frame(spark, d, "mapping_dictionary"), "SYS_0")
+    names = frame(spark, d, "example_columns").withColumn("sample_values", F.array().cast("array<string>"))
+    found = match.propose_mappings(names, M.targets(spark), M.glossary(spark), examples)
+    return found.select("local_column_name", "proposed_global_column_name", "confidence")
+
+
 @query
 def parse_value_reply(spark, d):
     return values.parse_value_reply(frame(spark, d, "value_replies"), model_categories(M.targets(spark)))
@@ -642,9 +673,8 @@ def active_dictionary(spark, d):
 
 @query
 def mapping_lineage(spark, d):
-    """Which columns of any source feed a target: the single-source question over all sources."""
-    rows = frame(spark, d, "mapping_dictionary").withColumn("source_system", F.lit("ALL"))
-    return D.mapping_lineage(rows, "ALL", "net_written_premium_eur")
+    """Which columns of one source feed a target."""
+    return D.mapping_lineage(frame(spark, d, "mapping_dictionary"), "SYS_1", "net_written_premium_eur")
 
 
 @query
@@ -667,9 +697,8 @@ def status_summary(spark, d):
 
 @query
 def status_columns(spark, d):
-    """The lists per status, opened again, so that the result is the same for any number of list parts."""
-    listed = summaries.status_columns(frame(spark, d, "candidates"))
-    return listed.select("review_status", "mandatory_flag", "count", F.explode("columns").alias("local_column_name"))
+    """Counts and whole lists per status."""
+    return summaries.status_columns(frame(spark, d, "candidates"))
 
 
 @query
@@ -713,11 +742,13 @@ def recent_usage(spark, d):
 
 @query
 def log_run(spark, d):
-    """Run-log rows from event rows, appended and read back."""
+    """Run-log rows from event rows and the row of this run, appended and read back."""
     rows = frame(spark, d, "runs")
     target = scratch_dir(spark, "runs")
 
     sinks.append_rows(rows, target, WORKFLOW_RUN_METRICS)
+    start = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+    sinks.append_rows(ops.log_run(spark, "this", "log_run", "DONE", start, rows.count(), "logged"), target, WORKFLOW_RUN_METRICS)
     return S.scan(spark, target).select("run_id", "task_name", "task_status", "row_count", "message")
 
 
@@ -733,6 +764,30 @@ def row_filter(spark, d):
     return security.row_filter(rows, granted, "user1")
 
 
+@query
+def row_filter_privileged(spark, d):
+    """A privileged user without any group sees all rows."""
+    granted = security.entitlements_from_groups(
+        frame(spark, d, "memberships"), admin_group="admins", prefix="stewards_", privileged=["auditor"]
+    )
+    return security.row_filter(shared(spark, d).select("source_country", "record_id"), granted, "auditor")
+
+
+@query
+def translate_one_source(spark, d):
+    """Entries for one of two sources: the other one's rows keep their values and their status."""
+    one = M.value_dictionary(spark).filter(F.col("source_system") == M.SYSTEMS["ES"])
+    rows = values.translate_values(_columns_only(spark, d), one, M.CATEGORICAL)
+    return rows.select("source_country", "record_id", *M.CATEGORICAL, "mapping_status")
+
+
+@query
+def small_money(spark, d):
+    """A measure over amounts of more than four decimals."""
+    rows = frame(spark, d, "lineitem").select("l_returnflag", F.expr("l_extendedprice * (1 - l_discount) * l_tax / 1000").alias("amount"))
+    return _rounded(rows.groupBy("l_returnflag").agg(F.expr(total("amount")).alias("amount")), "amount", digits=6)
+
+
 @query
 def row_entitlements(spark, d):
     return security.entitlements_from_groups(
@@ -744,9 +799,8 @@ def row_entitlements(spark, d):
 def money_totals(spark, d):
     """Totals of the model's money columns over the shared rows."""
     names = [row[0] for row in financial_columns(M.targets(spark)).collect()]
-    return shared(spark, d).groupBy("source_country").agg(
-        *[F.expr(total(n)).alias(n) for n in sorted(names)]
-    )
+    sums = shared(spark, d).groupBy("source_country").agg(*[F.expr(total(n)).alias(n) for n in sorted(names)])
+    return _rounded(sums, *sorted(names), digits=4)
 
 
 @query
@@ -764,17 +818,11 @@ def categorical_targets(spark, d):
 
 @query
 def read_answer_key(spark, d):
-    """Answer keys written as JSON files, one object per source, and read back as rows."""
+    """Answer keys written as JSON objects and read back as rows; columns without a target stay NULL."""
     target = scratch_dir(spark, "keys")
-    pairs = frame(spark, d, "wide_key").withColumn(
-        "expected_global_column_name", F.coalesce("expected_global_column_name", F.lit(""))
-    )
-    nested = pairs.groupBy("source_system").agg(
-        F.map_from_entries(F.collect_list(F.struct("local_column_name", "expected_global_column_name"))).alias("mappings")
-    )
-    nested.write.json(target)
-    raw = spark.read.schema("source_system string, mappings map<string,string>").json(target)
-    return keys.explode_answer_key(raw)
+    pair = F.create_map("local_column_name", "expected_global_column_name")
+    frame(spark, d, "wide_key").select("source_system", pair.alias("mappings")).write.json(target)
+    return keys.read_answer_key(spark, target, lines=True)
 
 
 def _write_csv(spark, d) -> str:
@@ -822,6 +870,17 @@ def stream_ingest(spark, d):
     return es.unionByName(it)
 
 
+@query
+def stream_counts(spark, d):
+    """Expectation counts over everything that the two file streams have written."""
+    root, target = _write_csv(spark, d), scratch_dir(spark, "counted")
+    rules = {code.lower(): rule for code, rule in M.EXPECTATIONS.items()}
+    for run in ingest_feeds(spark, root, _feed_schemas(), target, f"{target}-checkpoints", rules).values():
+        run.awaitTermination()
+    es, it = (ingested_counts(spark, f"{target}/{code}", **rules[code]).withColumn("feed", F.lit(code)) for code in ("es", "it"))
+    return es.unionByName(it)
+
+
 @query
 def provenance(spark, d):
     """Rows per month folder, counted through the file each row was read from."""

@@ -13,10 +13,13 @@ def explode_answer_key(keys: DataFrame) -> DataFrame:
     )
 
 
-def read_answer_key(spark: SparkSession, path: str) -> DataFrame:
-    """Answer-key files as rows (source_system, local_column_name, expected_global_column_name)."""
+def read_answer_key(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Answer-key files as rows (source_system, local_column_name, expected_global_column_name).
+
+    A file is one object, or with ``lines`` an object per line.
+    """
     raw = (
-        spark.read.option("multiLine", True)
+        spark.read.option("multiLine", not lines)
         .schema("source_system string, mappings map<string,string>")
         .json(path)
     )

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.expectations import expect_rows, expectation_counts
+from ..functions.conditions import holds
+from ..operators.expectations import expectation_rules
 from ..sources.feeds import stream_feed
 
-METRICS = "expectations"
+#: Names of the rules that a written row failed, and whether it passed all drop rules (a partition column).
+FAILED, KEPT = "_failed_expectations", "_kept"
 
 
 def ingest_feed(
@@ -30,14 +33,18 @@ def ingest_feed(
 
     The file log in ``checkpoint`` and the sink's commit log together write each
     file's rows once, also after a lost executor or a restart. Without
-    ``continuous`` the query stops when all present files are written. Counts per
-    expectation are in ``query.recentProgress[i]["observedMetrics"]``.
+    ``continuous`` the query stops when all present files are written. Rows that
+    fail a drop rule are kept apart with the names of their failed rules, so
+    :func:`ingested_counts` is complete over all batches and restarts.
     """
-    rows = stream_feed(spark, path, schema, max_files_per_trigger)
-    counted = rows.observe(METRICS, *expectation_counts(warn, drop))
+    rules = expectation_rules(warn, drop)
+    failed = F.array_compact(F.array(*[F.when(~holds(F.expr(rule)), F.lit(name)) for name, _, rule in rules]).cast("array<string>"))
+    dropping = F.array(*[F.lit(name) for name, kind, _ in rules if kind == "drop"]).cast("array<string>")
+    rows = stream_feed(spark, path, schema, max_files_per_trigger).withColumn(FAILED, failed)
     writer = (
-        expect_rows(counted, warn, drop)
+        rows.withColumn(KEPT, ~F.arrays_overlap(F.col(FAILED), dropping))
         .writeStream.format("parquet")
+        .partitionBy(KEPT)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", target)
@@ -69,17 +76,28 @@ def ingest_feeds(
     }
 
 
-def observed_counts(query: StreamingQuery) -> list[dict]:
-    """Expectation counts of the batches still kept in the query's progress list."""
-    return [
-        progress["observedMetrics"][METRICS].asDict()
-        if hasattr(progress["observedMetrics"][METRICS], "asDict")
-        else dict(progress["observedMetrics"][METRICS])
-        for progress in query.recentProgress
-        if progress["observedMetrics"].get(METRICS) is not None
-    ]
+def read_ingested(spark: SparkSession, target: str) -> DataFrame:
+    """The rows kept by :func:`ingest_feed`, read through the sink's commit log."""
+    return spark.read.parquet(target).filter(F.col(KEPT)).drop(FAILED, KEPT)
 
 
-def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """The table written by :func:`ingest_feed`, read through the sink's commit log."""
-    return spark.read.parquet(target)
+def read_dropped(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that failed a drop rule, with the names of all rules they failed."""
+    return spark.read.parquet(target).filter(~F.col(KEPT)).drop(KEPT)
+
+
+def ingested_counts(
+    spark: SparkSession, target: str, warn: Mapping[str, str] | None = None, drop: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Passed and failed records per expectation and the output rows, over everything written so far; one aggregate."""
+    rules = expectation_rules(warn, drop)
+    failed = [F.count_if(F.array_contains(FAILED, name)).alias(f"n{i}") for i, (name, _, _) in enumerate(rules)]
+    sums = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(KEPT)).alias("output_rows"), *failed)
+    rows = [
+        F.struct(
+            F.lit(name).alias("expectation"), F.lit(kind).alias("kind"), (F.col("n") - F.col(f"n{i}")).alias("passed_records"),
+            F.col(f"n{i}").alias("failed_records"),
+        )
+        for i, (name, kind, _) in enumerate(rules)
+    ]
+    return sums.select("output_rows", F.inline(F.array(*rows)))

@@ -6,12 +6,12 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from feedloom.plans.oracles import ORACLES as SQL
+from feedloom.plans.queries import QUERIES
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
 WRITERS = {
     "stream_ingest", "rescue_rows", "provenance", "write_monthly", "append_rows", "overwrite_slice", "read_answer_key",
-    "log_run",
+    "log_run", "stream_counts",
 }
 
 
@@ -22,6 +22,7 @@ def connection(sf):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

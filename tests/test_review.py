@@ -160,12 +160,11 @@ def test_coverage_of_empty_queue_is_zero(spark):
     assert rows(summaries.review_coverage(empty), "total", "coverage") == [(0, 0.0)]
 
 
-def test_status_columns_splits_long_lists_and_loses_nothing(spark):
+def test_status_columns_lists_all_names_on_one_row(spark):
     schema = "source_system string, local_column_name string, review_status string, mandatory_flag boolean"
     candidates = frame(spark, schema, *[("S", f"c{i:03}", "PENDING", None) for i in range(200)])
-    listed = summaries.status_columns(candidates, list_size=20).collect()
-    assert {r["count"] for r in listed} == {200} and len(listed) > 1
-    assert sorted(n for r in listed for n in r["columns"]) == [f"c{i:03}" for i in range(200)]
+    (listed,) = summaries.status_columns(candidates).collect()
+    assert listed["count"] == 200 and listed["columns"] == [f"c{i:03}" for i in range(200)]
 
 
 def test_view_order_puts_medium_before_low_before_high(spark):

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from feedloom.operators.expectations import expect_rows, expectation_metrics
 from feedloom.schemas import conform, struct
 from feedloom.sources import feeds, keys, sinks
-from feedloom.streaming.ingest import ingest_feed, ingest_feeds, observed_counts, read_ingested
+from feedloom.streaming.ingest import ingest_feed, ingest_feeds, ingested_counts, read_dropped, read_ingested
 
 SCHEMA = struct("id bigint, month int, premium double, name string")
 RULES = {
@@ -91,9 +91,13 @@ def test_stream_equals_batch_and_second_run_adds_nothing(spark, tmp_path):
         query.awaitTermination()
         return query
 
-    first = run()
-    counts = observed_counts(first)[0]
-    assert (counts["input_rows"], counts["output_rows"], counts["passed_valid_month"], counts["passed_has_premium"]) == (3, 2, 2, 2)
+    def counts():
+        found = ingested_counts(spark, target, **RULES)
+        return rows(found, "expectation", "kind", "passed_records", "failed_records", "output_rows")
+
+    run()
+    assert counts() == [("has_premium", "drop", 2, 1, 2), ("valid_month", "warn", 2, 1, 2)]
+    assert rows(read_dropped(spark, target), "id", "_failed_expectations") == [(3, ["has_premium"])]
     batch = expect_rows(feeds.read_feed(spark, source, SCHEMA), **RULES)
     assert rows(read_ingested(spark, target), *SCHEMA.names) == rows(batch, *SCHEMA.names)
     run()
@@ -101,6 +105,7 @@ def test_stream_equals_batch_and_second_run_adds_nothing(spark, tmp_path):
     put(source, "b.csv", HEAD + "9,9,9.0,late\n")
     run()
     assert rows(read_ingested(spark, target), "id") == [(1,), (2,), (9,)]
+    assert counts() == [("has_premium", "drop", 3, 1, 3), ("valid_month", "warn", 3, 1, 3)]
 
 
 def test_ingest_feeds_starts_one_query_per_source(spark, tmp_path):
