@@ -96,38 +96,36 @@ def required_profile(
     timestamp: str = "harmonization_timestamp",
     approximate: float | None = None,
 ) -> DataFrame:
-    """Row count, distinct count per required column and newest timestamp.
+    """Row count, distinct count per required column and newest timestamp, from one read.
 
-    Exact counts unpivot the columns of each type family to narrow (column,
-    value) rows, which combine before the shuffle; one wide aggregate over many
-    distinct counts would repeat the whole row per column. ``approximate`` gives
-    the relative error of a sketch that needs one pass and no such rows.
+    Exact counts unpivot the columns to narrow (column, value) rows, which combine
+    before the shuffle and carry their number and newest timestamp along, so the
+    row count falls out of any one column. ``approximate`` gives the relative error
+    of a sketch that needs no such rows.
     """
     present = [c for c in required if c in df.columns]
     stamped = timestamp in df.columns
     newest = [F.max(timestamp).alias("latest_harmonization")] if stamped else []
-    if approximate is not None:
+    if approximate is not None or not present:
         sketches = [F.approx_count_distinct(c, approximate).alias(f"distinct_{c}") for c in present]
         return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *sketches, *newest)
 
-    families: dict[str, list[str]] = {}
-    for c in present:
-        kind = df.schema[c].dataType
-        family = "bigint" if isinstance(kind, _WHOLE) else "double" if isinstance(kind, _REAL) else "string"
-        families.setdefault(family, []).append(c)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *newest).withColumn("_c", F.lit("row_count"))
-    for family, columns in families.items():
-        cells = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast(family).alias("_v")) for c in columns])
-        values = df.select(*by, F.inline(cells)).filter(F.col("_v").isNotNull()).distinct()
-        counted = values.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n"))
-        sizes = sizes.unionByName(counted, allowMissingColumns=True)
-    wide = [
-        F.coalesce(F.max(F.when(F.col("_c") == c, F.col("_n"))), F.lit(0).cast("bigint")).alias(f"distinct_{c}")
-        for c in present
-    ]
-    rows = F.max(F.when(F.col("_c") == "row_count", F.col("_n"))).alias("row_count")
-    latest = [F.max("latest_harmonization").alias("latest_harmonization")] if stamped else []
-    return sizes.groupBy(*by).agg(rows, *wide, *latest)
+    def cell(c: str) -> Column:
+        kind, value = df.schema[c].dataType, F.col(f"`{c}`")
+        family = "n" if isinstance(kind, _WHOLE) else "d" if isinstance(kind, _REAL) else "s"
+        parts = {"n": "bigint", "d": "double", "s": "string"}
+        return F.struct(F.lit(c).alias("_c"), *[(value if f == family else F.lit(None)).cast(t).alias(f"_{f}") for f, t in parts.items()])
+
+    stamp = [F.col(timestamp).alias("_t")] if stamped else []
+    cells = df.select(*by, *stamp, F.inline(F.array(*map(cell, present))))
+    latest = [F.max("_t").alias("_t")] if stamped else []
+    values = cells.groupBy(*by, "_c", "_n", "_d", "_s").agg(F.count(F.lit(1)).alias("_rows"), *latest)
+    known = F.coalesce(F.col("_n").isNotNull() | F.col("_d").isNotNull() | F.col("_s").isNotNull(), F.lit(False))
+    return values.groupBy(*by).agg(
+        F.sum(F.when(F.col("_c") == present[0], F.col("_rows")).otherwise(0)).alias("row_count"),
+        *[F.count_if((F.col("_c") == c) & known).alias(f"distinct_{c}") for c in present],
+        *([F.max("_t").alias("latest_harmonization")] if stamped else []),
+    )
 
 
 def feed_counts(feeds: Mapping[str, DataFrame], file_column: str = "_source_file") -> DataFrame:

@@ -96,23 +96,19 @@ def apply_decisions(queue: DataFrame, decisions: DataFrame, *, now: Column | Non
     )
 
 
-def _with_previous(df: DataFrame, order: str, span: int, width: int) -> DataFrame:
+def _with_previous(df: DataFrame, order: str, width: int) -> DataFrame:
     """Add ``_before``: the ``_state`` of the previous row of the same key.
 
-    ``order`` is a whole number, unique per key, over a range of ``span``. A range
-    wider than ``width`` is cut into stretches: rows look back within their
-    stretch, and the last states of the stretches, one row each, are linked in the
-    same way. So no window holds more than ``width`` rows of a key.
+    ``order`` is a whole number, unique per key. Rows look back within a stretch of
+    ``width`` numbers, and the last states of the stretches, one row each, are
+    linked per key. So no window holds more than ``width`` rows of a key or one
+    row per stretch.
     """
-    if span <= width:
-        by_key = Window.partitionBy(*KEYS).orderBy(order)
-        return df.withColumn("_before", F.lag("_state").over(by_key))
     stretch = f"_stretch{order}"
     cut = df.withColumn(stretch, F.floor(F.col(order) / F.lit(width)))
     inside = Window.partitionBy(*KEYS, stretch).orderBy(order)
     ends = cut.groupBy(*KEYS, stretch).agg(F.max_by("_state", order).alias("_state"))
-    linked = _with_previous(ends, stretch, span // width + 1, width)
-    carried = linked.select(*KEYS, stretch, F.col("_before").alias("_carried"))
+    carried = ends.select(*KEYS, stretch, F.lag("_state").over(Window.partitionBy(*KEYS).orderBy(stretch)).alias("_carried"))
     return (
         cut.withColumn("_inside", F.lag("_state").over(inside))
         .join(carried, [*KEYS, stretch])
@@ -132,16 +128,14 @@ def audit_rows(
     """One audit row per applied decision with status and target before and after it.
 
     The state before a decision is what the previous one of the same key set.
-    ``seq`` is a whole number, unique per key; its range is read first and decides
-    how often the look-back is cut into stretches of ``width`` numbers.
+    ``seq`` is a whole number, unique per key; ``width`` is how many of its numbers
+    one window looks back over.
     """
     now = F.current_timestamp() if now is None else now
-    lowest, highest = decisions.agg(F.min("seq"), F.max("seq")).first()
-    span = 0 if lowest is None else highest - lowest + 1
     state = F.struct(F.col("new_status").alias("status"), F.col("new_global").alias("target"))
     effects = _effects(decisions, queue).withColumn("_state", state)
     start = F.struct(F.col("_status").alias("status"), F.col("_final").alias("target"))
-    traced = _with_previous(effects, "seq", span, width).withColumn("_old", F.coalesce("_before", start))
+    traced = _with_previous(effects, "seq", width).withColumn("_old", F.coalesce("_before", start))
     return traced.select(
         *KEYS,
         "seq",
