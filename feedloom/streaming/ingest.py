@@ -76,14 +76,19 @@ def ingest_feeds(
     }
 
 
+def _written(spark: SparkSession, target: str) -> DataFrame:
+    """All rows; the partition values are texts on disk."""
+    return spark.read.parquet(target).withColumn(KEPT, F.col(KEPT).cast("boolean"))
+
+
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
     """The rows kept by :func:`ingest_feed`, read through the sink's commit log."""
-    return spark.read.parquet(target).filter(F.col(KEPT)).drop(FAILED, KEPT)
+    return _written(spark, target).filter(F.col(KEPT)).drop(FAILED, KEPT)
 
 
 def read_dropped(spark: SparkSession, target: str) -> DataFrame:
     """The rows that failed a drop rule, with the names of all rules they failed."""
-    return spark.read.parquet(target).filter(~F.col(KEPT)).drop(KEPT)
+    return _written(spark, target).filter(~F.col(KEPT)).drop(KEPT)
 
 
 def ingested_counts(
@@ -92,7 +97,7 @@ def ingested_counts(
     """Passed and failed records per expectation and the output rows, over everything written so far; one aggregate."""
     rules = expectation_rules(warn, drop)
     failed = [F.count_if(F.array_contains(FAILED, name)).alias(f"n{i}") for i, (name, _, _) in enumerate(rules)]
-    sums = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(KEPT)).alias("output_rows"), *failed)
+    sums = _written(spark, target).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(KEPT)).alias("output_rows"), *failed)
     rows = [
         F.struct(
             F.lit(name).alias("expectation"), F.lit(kind).alias("kind"), (F.col("n") - F.col(f"n{i}")).alias("passed_records"),
