@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 21
+#: Texts of a run at most, for work that costs memory per text.
+ROWS = 8192
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
 _ALL = (1 << 64) - 1
@@ -106,7 +108,7 @@ def texts(column: pa.Array | pa.ChunkedArray, size: int = CHUNK) -> Iterator[Tex
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
-        last = min(last, len(column))
+        last = min(last, first + ROWS, len(column))
         bounds = offsets[first : last + 1]
         yield Texts(first, data[bounds[0] : bounds[-1]], bounds - bounds[0])
         first = last

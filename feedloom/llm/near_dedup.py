@@ -7,9 +7,12 @@ of lower variance. Bands of ``rows`` values become bucket keys. With the default
 pair at similarity 0.8 misses all bands with probability 6e-7, a pair at 0.9 with 1e-14.
 
 * Documents with the same set (128-bit sum over it, and its size) are one class from the start; only the smallest id goes on.
+* A wide signature keeps one bit of every minimum and maximum of many more hash functions. A pair goes on to the full sets only if
+  its bits agree as those of a link would (five standard deviations), so few texts are moved.
 * Each bucket links its members to its smallest one, so it costs one pair per member and not one per pair of members.
-* Members of one bucket that this leaves in different components are compared once more, all of them, against the members
-  outside their component: no link between different texts is lost to the choice of the smallest one.
+* Members of one bucket that this leaves in different components are compared by their wide signatures inside the join, and a pair
+  that may be a link goes on once, however many buckets it shares. So no link between different texts is lost to the choice of the
+  smallest member, and what a bucket of merely similar documents costs is bit counting, not rows.
 * Every link is confirmed on the full sets.
 
 Rows with a null id are in no component: ``component_id`` null, kept. Rows that share an id are one document: its component is
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
@@ -31,6 +34,10 @@ from .shared import picked, stored
 
 EVALUATIONS = 90
 BAND_ROWS = 5
+#: Evaluations of the wide signature, the ones of the bands among them; two bits of each are kept. A multiple of 32.
+WIDE = 1024
+#: Places of the table that texts are looked up by before they are shuffled: what is broadcast has at most so many rows.
+SLOTS = 1 << 20
 
 
 def sets_of(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -42,21 +49,28 @@ def sets_of(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.
         yield block.first, *blocks.distinct(runs, edge)
 
 
-def signature(values: np.ndarray, edge: np.ndarray, evaluations: int) -> np.ndarray:
-    """Min and max of each hash function over each set, next to each other; the empty set has zeros."""
-    out = np.zeros((len(edge) - 1, 2 * evaluations), np.uint64)
+def signature(values: np.ndarray, edge: np.ndarray, evaluations: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set: min and max of the first ``evaluations`` hash functions, and one bit of min and max of all ``wide`` ones.
+
+    The empty set has zeros.
+    """
+    n = len(edge) - 1
+    out, bits = np.zeros((n, 2 * evaluations), np.uint64), np.zeros((n, 2 * wide), np.uint8)
     some = np.flatnonzero(np.diff(edge))
     if not len(some):
-        return out
+        return out, bits
     at = edge[some]
-    odd, add = blocks.stream(11, evaluations) | np.uint64(1), blocks.stream(12, evaluations)
-    for k in range(evaluations):
+    odd, add = blocks.stream(11, wide + 1) | np.uint64(1), blocks.stream(12, wide)
+    for k in range(wide):
         hashed = values * odd[k] + add[k]
         hashed ^= hashed >> np.uint64(32)
-        hashed *= odd[-1 - k]
-        out[some, 2 * k] = np.minimum.reduceat(hashed, at)
-        out[some, 2 * k + 1] = np.maximum.reduceat(hashed, at)
-    return out
+        hashed *= odd[k + 1]
+        for side, kind in enumerate((np.minimum, np.maximum)):
+            found = kind.reduceat(hashed, at)
+            if k < evaluations:
+                out[some, 2 * k + side] = found
+            bits[some, 2 * k + side] = blocks.mix(found) & np.uint64(1)
+    return out, bits
 
 
 def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
@@ -70,22 +84,40 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
-def sketches(docs: DataFrame, width: int = 4, evaluations: int = EVALUATIONS, rows: int = BAND_ROWS) -> DataFrame:
-    """Rows (id, text) to (id, n, d1, d2, bands)."""
-    schema = f"id {dict(docs.dtypes)['id']}, n long, d1 long, d2 long, bands array<long>"
+def _bit_words(bits: np.ndarray) -> pa.Array:
+    """Rows of bits as lists of 64-bit words."""
+    words = np.packbits(bits, axis=1).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.reshape(-1)))
+
+
+def _alike(wide: int, percent: int) -> Column:
+    """Whether ``bits_a`` and ``bits_b`` allow the similarity.
+
+    Bits of a pair differ with probability (1 - J) / 2. The bound is five standard deviations above the mean at just this
+    similarity, so one of three million pairs there is lost, and fewer above it.
+    """
+    n, unlike = 2 * wide, (1 - percent / 100) / 2
+    most = int(n * unlike + 5 * (n * unlike * (1 - unlike)) ** 0.5)
+    return F.expr(f"{' + '.join(f'bit_count(bits_a[{k}] ^ bits_b[{k}])' for k in range(n // 64))} <= {most}")
+
+
+def sketches(docs: DataFrame, width: int = 4, evaluations: int = EVALUATIONS, rows: int = BAND_ROWS, wide: int = WIDE) -> DataFrame:
+    """Rows (id, text) to (id, n, d1, d2, bands, bits): set size, set digest, bucket keys, wide signature."""
+    schema = f"id {dict(docs.dtypes)['id']}, n long, d1 long, d2 long, bands array<long>, bits array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, values, edge in sets_of(batch.column(1), width):
                 n = np.diff(edge)
-                keys = band_keys(signature(values, edge, evaluations), rows)
+                whole, bits = signature(values, edge, evaluations, wide)
+                keys = band_keys(whole, rows)
                 sizes = np.where(n > 0, keys.shape[1], 0)
                 flat = keys[n > 0].reshape(-1).view(np.int64)
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
                 sums = [blocks.per_text(np.add, blocks.mix(values + np.uint64(salt)), edge, 0).view(np.int64) for salt in (0, 0x51ED2701)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(n)), pa.array(n.astype(np.int64)), *map(pa.array, sums), bands],
-                    ["id", "n", "d1", "d2", "bands"],
+                    [batch.column(0).slice(first, len(n)), pa.array(n.astype(np.int64)), *map(pa.array, sums), bands, _bit_words(bits)],
+                    ["id", "n", "d1", "d2", "bands", "bits"],
                 )
 
     return docs.select("id", "text").mapInArrow(run, schema)
@@ -119,6 +151,22 @@ def _rows_of(column: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield values[a:b]
 
 
+def _likely(rows: DataFrame, classes: DataFrame, wide: int, percent: int) -> DataFrame:
+    """Pairs of one bucket in different components whose wide signatures allow the similarity; each pair once."""
+    full = stored(rows.join(classes.select("rep", "bands", "bits"), "rep"), "wide")
+    left, right = (full.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "head", "root", "bands", "bits"))) for side in ("a", "b"))
+    near = left.join(
+        right,
+        (left["key"] == right["key"])
+        & F.expr("rep_a < rep_b and root_a <> root_b and rep_a <> head_a")
+        & F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        & _alike(wide, percent)
+        # Of the buckets that both are in, the one with the smallest key names the pair.
+        & (left["key"] == F.array_min(F.array_intersect("bands_a", "bands_b"))),
+    )
+    return near.select(F.col("rep_b").alias("a"), F.col("rep_a").alias("b"))
+
+
 def near_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -127,34 +175,31 @@ def near_dedup(
     percent: int = 80,
     evaluations: int = EVALUATIONS,
     band_rows: int = BAND_ROWS,
+    wide: int = WIDE,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     source = picked(docs, id=id_col, text=text_col)
-    work = stored(sketches(source, width, evaluations, band_rows), "sketches")
+    work = stored(sketches(source, width, evaluations, band_rows, wide), "sketches")
     found = work.filter("id is not null and n > 0")
-    classes = stored(found.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = stored(found.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
     buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
     heads = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = stored(buckets.join(heads, "key").select("key", "rep", "n", "head", "members"), "buckets")
-    stars = stored(shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct(), "stars")
-    first = stored(confirmed(stars, _texts(source, stars), width, percent), "links")
+    stars = shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    for side in ("a", "b"):
+        stars = stars.join(classes.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    likely = stars.filter(_alike(wide, percent)).filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    stars = stored(likely.select("a", "b"), "stars")
+    first = stored(confirmed(stars, stored(_texts(source, stars), "texts"), width, percent), "links")
     root = components(first)
     # Buckets of three and more members that still hold several components.
     label = root.select(F.col("node").alias("rep"), F.col("root"))
-    # Without a second component in reach of a bucket there is nothing left to compare in it.
-    placed = stored(shared.filter("members > 2").join(label, "rep", "left").select("key", "rep", "n", "head", F.coalesce("root", "rep").alias("root")), "placed")
+    members = shared.filter("members > 2").join(label, "rep", "left")
+    placed = stored(members.select("key", "rep", "n", "head", F.coalesce("root", "rep").alias("root")), "placed")
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
     open_rows = stored(placed.join(mixed, "key"), "open")
-    left, right = (open_rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "head", "root"))) for side in ("a", "b"))
-    rest = (
-        left.join(right, "key")
-        .filter("rep_a < rep_b and root_a <> root_b and rep_a <> head_a")
-        .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select(F.col("rep_b").alias("a"), F.col("rep_a").alias("b"))
-        .distinct()
-    )
-    rest = stored(rest, "rest")
-    second = confirmed(rest, _texts(source, rest), width, percent)
+    rest = stored(_likely(open_rows, classes, wide, percent), "rest")
+    second = confirmed(rest, stored(_texts(source, rest), "texts"), width, percent)
     links = stored(first.unionByName(second), "links")
     # Rows of one id with several sets hold these sets together.
     own = found.select("id", "d1", "d2", "n").distinct().join(classes.select("d1", "d2", "n", "rep"), ["d1", "d2", "n"])
@@ -171,5 +216,9 @@ def near_dedup(
 
 
 def _texts(source: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of all ids in the pairs. Ids that fall into no place of a needed one go before the shuffle."""
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    return source.join(needed, "id", "left_semi").filter("text is not null")
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int")
+    slots = needed.select(slot.alias("slot")).distinct()
+    maybe = source.filter("text is not null").withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+    return maybe.join(needed, "id", "left_semi")
