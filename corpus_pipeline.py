@@ -31,7 +31,7 @@ def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     queries.ship(spark)
-    gone = near_dedup.near_dedup(docs).filter("not kept").select("doc_id").distinct()
+    gone = near_dedup.near_dedup(docs, width=5).filter("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -32,6 +32,8 @@ from . import blocks
 from .components import components
 from .shared import picked, stored
 
+#: Words of a shingle; a contract may say otherwise, as the one of the ``op7_`` query does.
+WIDTH = 5
 EVALUATIONS = 90
 BAND_ROWS = 5
 #: Evaluations of the wide signature, the ones of the bands among them; two bits of each are kept. A multiple of 32.
@@ -101,7 +103,7 @@ def _alike(wide: int, percent: int) -> Column:
     return F.expr(f"{' + '.join(f'bit_count(bits_a[{k}] ^ bits_b[{k}])' for k in range(n // 64))} <= {most}")
 
 
-def sketches(docs: DataFrame, width: int = 4, evaluations: int = EVALUATIONS, rows: int = BAND_ROWS, wide: int = WIDE) -> DataFrame:
+def sketches(docs: DataFrame, width: int = WIDTH, evaluations: int = EVALUATIONS, rows: int = BAND_ROWS, wide: int = WIDE) -> DataFrame:
     """Rows (id, text) to (id, n, d1, d2, bands, bits): set size, set digest, bucket keys, wide signature."""
     schema = f"id {dict(docs.dtypes)['id']}, n long, d1 long, d2 long, bands array<long>, bits array<long>"
 
@@ -171,7 +173,7 @@ def near_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    width: int = 4,
+    width: int = WIDTH,
     percent: int = 80,
     evaluations: int = EVALUATIONS,
     band_rows: int = BAND_ROWS,

@@ -60,7 +60,7 @@ WEIGHTS = {("domain0",): 4, ("domain1",): 3, ("domain2",): 2} | {(f"domain{k}",
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4)
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

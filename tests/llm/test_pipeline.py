@@ -62,3 +62,16 @@ def test_every_query_returns_all_documents(spark, sf, documents, name):
         assert out.agg(F.sum("n_docs")).first()[0] == documents.count()
     else:
         assert out.count() == documents.count()
+
+
+def test_near_dedup_stage_equals_brute_force_on_five_words(spark, sf):
+    from test_operators import SCHEMA, brute_components
+
+    base = [f"t{k}" for k in range(112)]
+    changed = [f"n{k}" if k in (20, 55, 90) else w for k, w in enumerate(base)]  # J4 = 97/121, J5 = 93/123
+    rows = [(1, " ".join(base), "en", "s1", 0), (2, " ".join(changed), "en", "s1", 0)]
+    rows += [(3, " ".join(base[:-1]), "en", "s1", 0), (4, "other words only", "en", "s1", 0), (None, " ".join(base), "en", "s1", 0)]
+    out = corpus_pipeline.remove_near_copies(spark, spark.createDataFrame(rows, SCHEMA), sf)
+    component = brute_components(rows, width=5)
+    assert component != brute_components(rows)
+    assert {r["doc_id"] for r in out.collect()} == {i for i, root in component.items() if i == root} | {None} == {1, 2, 4, None}
