@@ -38,8 +38,11 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     queries.ship(spark)
     plan = mixing.mix(docs, percent=MIX_PERCENT, weights=queries.WEIGHTS, max_epochs=1)
-    out = plan.filter("copies = 0").select(F.col("doc_id").alias("out_id")).distinct()
-    return docs.join(out, docs["doc_id"].eqNullSafe(out["out_id"]), "left_anti").select(docs.columns)
+    # A row's place in the plan is its leaf and its id; the domain follows from the source.
+    key = ("doc_id", "lang", "source")
+    out = plan.filter("copies = 0").select(*(F.col(c).alias(f"out_{c}") for c in key)).distinct()
+    same = [docs[c].eqNullSafe(out[f"out_{c}"]) for c in key]
+    return docs.join(out, same, "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

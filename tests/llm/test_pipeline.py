@@ -1,11 +1,13 @@
 """The pipeline's stages and the registered queries on the smallest tables."""
 
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedloom.llm import exact_dedup, near_dedup, queries, toxicity
+from feedloom.llm import exact_dedup, mixing, near_dedup, queries, toxicity
 from feedloom.llm.oracles import ORACLES
 
 
@@ -75,3 +77,17 @@ def test_near_dedup_stage_equals_brute_force_on_five_words(spark, sf):
     component = brute_components(rows, width=5)
     assert component != brute_components(rows)
     assert {r["doc_id"] for r in out.collect()} == {i for i, root in component.items() if i == root} | {None} == {1, 2, 4, None}
+
+
+def test_mixing_stage_decides_per_leaf_for_null_and_repeated_ids(spark, sf):
+    from test_operators import SCHEMA
+
+    leaves = [(lang, source) for lang in ("en", "de", None) for source in ("src0", "src1", "src2", None)]
+    rows = [(i if i % 3 else None, "one two three four", lang, source, 18) for i in range(30) for lang, source in leaves]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.mix(docs, percent=corpus_pipeline.MIX_PERCENT, weights=queries.WEIGHTS, max_epochs=1).collect()
+    key = ("doc_id", "lang", "source")
+    taken = Counter(tuple(r[c] for c in key) for r in plan if r["copies"])
+    ids = {c: {r["doc_id"] for r in plan if bool(r["copies"]) == c} for c in (True, False)}
+    assert None in ids[True] & ids[False] and len(ids[True] & ids[False]) > 1
+    assert Counter(tuple(r[c] for c in key) for r in corpus_pipeline.mix_sources(spark, docs, sf).collect()) == taken
