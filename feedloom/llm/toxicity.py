@@ -5,9 +5,10 @@ Grades 0 (clean) to 3 (severe) are ordered; one weight vector over sparse text f
 
 Features are the different words of a text (letters and digits, A-Z lower-cased) and their first 4, 5 and 6 bytes, as 64-bit
 hashes. Those in significantly more toxic than clean labelled texts, or the other way round, are kept (z of the log odds, at
-most ``FEATURES``). Labels say toxic or not; the grade of a toxic text is
-the third of the toxic texts that the sum of its toxic features' z falls into. Features are counted and the regression is fitted
-on a bounded sample: ``sample`` labelled documents, the smallest by a hash of the id. All documents are scored. A text without any kept feature gets the base rate.
+most ``FEATURES``); the counts behind this cover all labelled documents. Labels say toxic or not; the grade of a toxic text is
+the third of the toxic texts that the sum of its toxic features' z falls into. The regression is fitted on a bounded sample:
+``sample`` labelled documents, the smallest by a hash of the id. All documents are scored. A text without any kept feature gets
+the base rate.
 
 Labels: one document with several labels is toxic if one of them says so; null labels and labels of unknown documents don't
 count. Without labels of both kinds nothing is toxic (severity 0). Null text is empty; ids may be null or repeated, each row is
@@ -32,9 +33,11 @@ from .shared import picked, stored
 FEATURES = 4096
 #: Least z of a feature's log odds.
 LEAST_Z = 3.0
-#: Labelled documents that features are counted on and the regression is fitted on at most.
+#: Labelled documents that the regression is fitted on at most.
 SAMPLE = 20_000
 GRADES = 3
+#: Places of the bit table of labelled ids; what is broadcast of it are at most ``SLOTS / 8`` bytes.
+SLOTS = 1 << 27
 PREFIXES = (4, 5, 6)
 
 
@@ -133,11 +136,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     """The model of labelled documents. What reaches the driver: FEATURES rows of counts, and ``sample`` rows of known features."""
     marks = picked(labels, id=id_col, toxic=label_col).filter("id is not null and toxic is not null")
     marks = marks.groupBy("id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    # At most ``sample`` short rows, so they can go to every task and no text has to be shuffled.
-    chosen = marks.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = picked(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").select("id", "text", "toxic")
-    counts = stored(rows.mapInArrow(_counts, "key long, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-counts")
+    marks = stored(marks, "toxic-marks")
+    source = picked(docs, id=id_col, text=text_col)
+    rows = _maybe_in(source, marks).join(marks, "id").select("id", "text", "toxic")
+    counts = rows.mapInArrow(_counts, "key long, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # The key 0 counts the texts themselves.
+    counts = stored(counts.filter("key = 0 or toxic + clean > 2"), "toxic-counts")
     total = counts.filter("key = 0").first()
     if total is None or not total["toxic"] or not total["clean"]:
         return Model(np.zeros(0, np.uint64), np.zeros(0), None)
@@ -159,7 +163,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(number.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(block.first, len(block)), lists], ["toxic", "found"])
 
-    picked_rows = rows.select("text", "toxic").mapInArrow(known, "toxic int, found array<int>").collect()
+    # At most ``sample`` short rows, so they can go to every task and no text is shuffled again.
+    chosen = marks.orderBy(F.xxhash64("id"), "id").limit(sample)
+    sampled = source.join(F.broadcast(chosen), "id")
+    picked_rows = sampled.select("text", "toxic").mapInArrow(known, "toxic int, found array<int>").collect()
     toxic = np.array([r["toxic"] for r in picked_rows], np.int64)
     row = np.repeat(np.arange(len(picked_rows)), [len(r["found"]) for r in picked_rows])
     number = np.array([x for r in picked_rows for x in r["found"]], np.int64)
@@ -181,6 +188,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     return model
 
 
+def _maybe_in(source: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows whose id is in ``marks``, and few others: those that share a place of the bit table with such an id.
+
+    So only labelled texts are shuffled, but for about one in ``SLOTS / labels``.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
+    part, place = F.bitmap_bucket_number(slot).alias("part"), F.bitmap_bit_position(slot).alias("place")
+    bits = marks.select(part, place).groupBy("part").agg(F.bitmap_construct_agg("place").alias("bits"))
+    # Byte ``place div 8`` holds the place in its bit ``place % 8``.
+    is_set = F.expr("getbit(cast(conv(hex(substring(bits, cast(place div 8 as int) + 1, 1)), 16, 10) as int), cast(place % 8 as int)) = 1")
+    return source.select("*", part, place).join(F.broadcast(bits), "part").filter(is_set).select(source.columns)
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch and feature the number of toxic and of clean texts that have it."""
     for batch in batches:

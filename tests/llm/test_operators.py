@@ -269,6 +269,32 @@ def test_toxic_documents_are_found_and_clean_ones_left_alone(labelled):
     assert toxicity.without_toxic(docs, model).columns == docs.columns
 
 
+def test_toxic_features_are_counted_on_all_labelled_documents(labelled):
+    docs, marks = labelled
+    whole, small = toxicity.fit(docs, marks), toxicity.fit(docs, marks, sample=40)
+    assert len(whole.keys) and small.keys.tolist() == whole.keys.tolist()
+    texts = {r["doc_id"]: r["text"].lower() for r in docs.collect()}
+    flags = {r["doc_id"]: r["toxic"] for r in marks.collect()}
+    counts = {k: [0, 0] for k in whole.keys.tolist()}
+    import pyarrow as pa
+
+    for i, flag in flags.items():
+        (block,) = blocks.texts(pa.array([texts[i]]))
+        for key in {k for keys, _ in toxicity.features(block) for k in keys.tolist()} & counts.keys():
+            counts[key][1 - flag] += 1
+    t, c = sum(flags.values()), len(flags) - sum(flags.values())
+    for a, b in counts.values():
+        odds = math.log((a + 0.5) / (t - a + 0.5)) - math.log((b + 0.5) / (c - b + 0.5))
+        assert a + b > 2 and abs(odds) >= 3 * math.sqrt(1 / (a + 0.5) + 1 / (t - a + 0.5) + 1 / (b + 0.5) + 1 / (c - b + 0.5))
+
+
+def test_only_texts_that_may_be_labelled_go_to_the_join(spark):
+    docs = spark.range(5000).select(F.col("id"), F.lit("a").alias("text")).unionByName(spark.createDataFrame([(None, "b")], "id long, text string"))
+    marks = spark.range(0, 5000, 7).select("id", F.lit(1).alias("toxic"))
+    got = {r["id"] for r in toxicity._maybe_in(docs, marks).collect()}
+    assert got >= set(range(0, 5000, 7)) and len(got) < 5000 / 7 + 20
+
+
 # 6
 
 
