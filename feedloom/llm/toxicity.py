@@ -7,7 +7,7 @@ Features are the different words of a text (letters and digits, A-Z lower-cased)
 hashes. Those in significantly more toxic than clean labelled texts, or the other way round, are kept (z of the log odds, at
 most ``FEATURES``); the counts behind this cover all labelled documents. Labels say toxic or not; the grade of a toxic text is
 the third of the toxic texts that the sum of its toxic features' z falls into. The regression is fitted on a bounded sample:
-``sample`` labelled documents, the smallest by a hash of the id. All documents are scored. A text without any kept feature gets
+``sample`` labelled documents, the smallest by a hash of the id, one row of each. All documents are scored. A text without any kept feature gets
 the base rate.
 
 Labels: one document with several labels is toxic if one of them says so; null labels and labels of unknown documents don't
@@ -136,8 +136,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     """The model of labelled documents. What reaches the driver: FEATURES rows of counts, and ``sample`` rows of known features."""
     marks = picked(labels, id=id_col, toxic=label_col).filter("id is not null and toxic is not null")
     marks = marks.groupBy("id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    marks = stored(marks, "toxic-marks")
     source = picked(docs, id=id_col, text=text_col)
+    # Without the labels of absent documents; the ids are of the documents' own type.
+    marks = stored(source.select("id").distinct().join(marks, "id"), "toxic-marks")
     rows = _maybe_in(source, marks).join(marks, "id").select("id", "text", "toxic")
     counts = rows.mapInArrow(_counts, "key long, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # The key 0 counts the texts themselves.
@@ -155,18 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     keys, z = keys[order], np.array([r["z"] for r in best])[order]
     finder = Finder(keys)
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks.texts(batch.column(0)):
-                row, number = finder(block)
-                sizes = np.bincount(row, minlength=len(block))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(number.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(block.first, len(block)), lists], ["toxic", "found"])
-
     # At most ``sample`` short rows, so they can go to every task and no text is shuffled again.
     chosen = marks.orderBy(F.xxhash64("id"), "id").limit(sample)
-    sampled = source.join(F.broadcast(chosen), "id")
-    picked_rows = sampled.select("text", "toxic").mapInArrow(known, "toxic int, found array<int>").collect()
+    # In the order of the ids, so that sums don't depend on the order of tasks.
+    picked_rows = sorted(_found(source.join(F.broadcast(chosen), "id"), finder).collect(), key=lambda r: r["id"])
     toxic = np.array([r["toxic"] for r in picked_rows], np.int64)
     row = np.repeat(np.arange(len(picked_rows)), [len(r["found"]) for r in picked_rows])
     number = np.array([x for r in picked_rows for x in r["found"]], np.int64)
@@ -201,6 +194,23 @@ def _maybe_in(source: DataFrame, marks: DataFrame) -> DataFrame:
     return source.select("*", part, place).join(F.broadcast(bits), "part").filter(is_set).select(source.columns)
 
 
+def _found(rows: DataFrame, finder: Finder) -> DataFrame:
+    """Rows (id, text, toxic) to one row (id, toxic, found) per id; of an id's several texts, the one whose features have the smallest hash."""
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks.texts(batch.column(1)):
+                row, number = finder(block)
+                sizes = np.bincount(row, minlength=len(block))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(number.astype(np.int32)))
+                own = (batch.column(k).slice(block.first, len(block)) for k in (0, 2))
+                yield pa.RecordBatch.from_arrays([*own, lists], ["id", "toxic", "found"])
+
+    found = rows.select("id", "text", "toxic").mapInArrow(known, f"id {dict(rows.dtypes)['id']}, toxic int, found array<int>")
+    least = F.min(F.struct(F.xxhash64("found").alias("place"), "toxic", "found")).alias("least")
+    return found.groupBy("id").agg(least).select("id", "least.toxic", "least.found")
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch and feature the number of toxic and of clean texts that have it."""
     for batch in batches:

@@ -295,6 +295,19 @@ def test_only_texts_that_may_be_labelled_go_to_the_join(spark):
     assert got >= set(range(0, 5000, 7)) and len(got) < 5000 / 7 + 20
 
 
+def test_toxic_sample_is_of_present_documents_and_one_row_of_each(spark, labelled):
+    docs, marks = labelled
+    absent = spark.range(1000, 40_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    model = toxicity.fit(docs, marks.unionByName(absent), sample=400)
+    assert model.thetas is not None and model.thetas.tolist() == toxicity.fit(docs, marks, sample=400).thetas.tolist()
+    rows = docs.filter("doc_id < 20").selectExpr("doc_id AS id", "text", "1 AS toxic")
+    hot = rows.unionByName(rows.filter("id = 7").selectExpr("id", "explode(array_repeat(text, 500)) AS text", "toxic"))
+    finder = toxicity.Finder(model.keys)
+    one = {r["id"]: r["found"] for r in toxicity._found(rows, finder).collect()}
+    got = toxicity._found(hot, finder).collect()
+    assert len(got) == len(one) == 20 and all(r["found"] == one[r["id"]] for r in got)
+
+
 # 6
 
 
