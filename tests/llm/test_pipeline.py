@@ -67,7 +67,7 @@ def test_every_query_returns_all_documents(spark, sf, documents, name):
 
 
 def test_near_dedup_stage_equals_brute_force_on_five_words(spark, sf):
-    from test_operators import SCHEMA, brute_components
+    from test_llm_operators import SCHEMA, brute_components
 
     base = [f"t{k}" for k in range(112)]
     changed = [f"n{k}" if k in (20, 55, 90) else w for k, w in enumerate(base)]  # J4 = 97/121, J5 = 93/123
@@ -80,7 +80,7 @@ def test_near_dedup_stage_equals_brute_force_on_five_words(spark, sf):
 
 
 def test_mixing_stage_decides_per_leaf_for_null_and_repeated_ids(spark, sf):
-    from test_operators import SCHEMA
+    from test_llm_operators import SCHEMA
 
     leaves = [(lang, source) for lang in ("en", "de", None) for source in ("src0", "src1", "src2", None)]
     rows = [(i if i % 3 else None, "one two three four", lang, source, 18) for i in range(30) for lang, source in leaves]
