@@ -99,18 +99,25 @@ class Words:
 def texts(column: pa.Array | pa.ChunkedArray, size: int = CHUNK) -> Iterator[Texts]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
     if not len(column):
         return
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+    wide = pa.types.is_large_string(column.type)
+    if not wide and not pa.types.is_string(column.type):
+        column = column.cast(pa.string())
+    _, places, data = column.buffers()
+    places = np.frombuffer(places, np.int64 if wide else np.int32, len(column) + 1, column.offset * (8 if wide else 4))
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(places, int(places[first]) + size, "right")) - 1)
         last = min(last, first + ROWS, len(column))
-        bounds = offsets[first : last + 1]
-        yield Texts(first, data[bounds[0] : bounds[-1]], bounds - bounds[0])
+        part = column.slice(first, last - first)
+        if part.null_count:
+            # Nothing says what stands in the bytes of a null.
+            yield from (Texts(first + t.first, t.raw, t.bounds) for t in texts(part.fill_null(""), size))
+        else:
+            bounds = places[first : last + 1].astype(np.int64)
+            yield Texts(first, data[bounds[0] : bounds[-1]], bounds - bounds[0])
         first = last
 
 

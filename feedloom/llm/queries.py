@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_counts, toxicity
+from . import alignment, bpe, exact_dedup, lm_scoring, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, spelling, token_counts, toxicity
 
 _shipped: set[str] = set()
 
@@ -76,6 +77,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), size=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def _shipping(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -89,6 +103,6 @@ QUERIES = {
     q.__name__: _shipping(q)
     for q in (
         op1_bpe, op2_pii, op3_token_counts, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_near_dedup, op8_lm_scoring,
-        op9_exact_dedup, op10_toxicity,
+        op9_exact_dedup, op10_toxicity, op11_packing, op12_alignment, op13_spelling,
     )
 }
