@@ -1002,7 +1002,9 @@ def _dirty(where: str) -> str:
         bad = f"{ids} % 100 = 0"
         parts.append(
             f"SELECT '{code}' AS feed, {ids} AS id, {month} AS \"month\", CASE WHEN {bad} THEN NULL ELSE {premium} END "
-            f"AS premium, CASE WHEN {bad} THEN 'n/a' END AS rescued_premium FROM feed_{code}_dirty"
+            f"AS premium, CASE WHEN {bad} THEN 'n/a' END AS rescued_premium, "
+            f"CASE WHEN {month} % 3 <> 0 THEN {M.FEEDS[code.upper()][22][0]} END AS currency, "
+            f"CASE WHEN {month} % 3 = 0 THEN 'n' || {ids} END AS rescued_note FROM feed_{code}_dirty"
         )
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE {where}"
 
@@ -1015,6 +1017,15 @@ oracle(
     """SELECT 'es' AS feed, printf('%d%02d', anio, mes) AS yyyymm, COUNT(*) AS n FROM feed_es_dirty GROUP BY 2 UNION ALL
     SELECT 'it', printf('%d%02d', anno_riferimento, mese_riferimento), COUNT(*) FROM feed_it_dirty GROUP BY 2""",
 )
+oracle(
+    "header_drift", "feed_es_dirty feed_it_dirty",
+    " UNION ALL ".join(
+        f"""SELECT DISTINCT '{code}' AS feed, printf('%d%02d', {y}, {m}) AS yyyymm,
+        CASE WHEN {m} % 3 = 0 THEN '{cur}' ELSE '' END AS missing_columns,
+        CASE WHEN {m} % 3 = 0 THEN 'note' ELSE '' END AS new_columns, {m} % 3 = 2 AS reordered FROM feed_{code}_dirty"""
+        for code, y, m, cur in (("es", "anio", "mes", M.FEEDS["ES"][22][0]), ("it", "anno_riferimento", "mese_riferimento", M.FEEDS["IT"][22][0]))
+    ),
+)
 oracle(
     "write_monthly", "feed_es feed_it",
     """SELECT printf('%d%02d', y, m) AS yyyymm, CASE WHEN y < 1998 THEN 'EUR' ELSE 'XXX' END AS moneda, COUNT(*) AS n

@@ -28,6 +28,7 @@ from ..schemas import (
 from ..schemas import categorical_targets as model_categories
 from ..sources import feeds as S
 from ..sources import keys, sinks
+from ..sources.headers import header_drift as header_drift_of
 from ..streaming.ingest import ingest_feeds, ingested_counts, read_ingested
 from . import property_model as M
 from .fixtures import frame
@@ -826,7 +827,10 @@ def read_answer_key(spark, d):
 
 
 def _write_csv(spark, d) -> str:
-    """Both dirty feeds as CSV files per month below one folder, with ``n/a`` for some premiums."""
+    """Both dirty feeds as CSV files per month below one folder, with ``n/a`` for some premiums.
+
+    Headers drift: every third month has its columns in reverse, every third one lacks the currency and has a new column in front.
+    """
     root = scratch_dir(spark, "landing")
     for code, columns in M.FEEDS.items():
         ids, year, month, premium = (columns[i][0] for i in (0, 1, 2, 8))
@@ -836,7 +840,14 @@ def _write_csv(spark, d) -> str:
         )
         if code == "ES":
             damaged = damaged.withColumn("fecha_carga", F.date_format("fecha_carga", "yyyy-MM-dd HH:mm:ss"))
-        sinks.write_monthly(damaged, f"{root}/{code.lower()}", year, month)
+        currency, turn = columns[22][0], F.col(month) % 3
+        shapes = (
+            damaged.filter(turn == 1),
+            damaged.filter(turn == 2).select(*reversed(damaged.columns)),
+            damaged.filter(turn == 0).select(F.concat(F.lit("n"), F.col(ids)).alias("note"), *[c for c in damaged.columns if c != currency]),
+        )
+        for shape in shapes:
+            sinks.write_monthly(shape, f"{root}/{code.lower()}", year, month)
     return root
 
 
@@ -849,7 +860,8 @@ def _feed_shape(df: DataFrame, code: str) -> DataFrame:
     rescued = F.get_json_object("_rescued_data", f"$.{premium}")
     return df.select(
         F.lit(code.lower()).alias("feed"), F.col(ids).alias("id"), F.col(month).alias("month"),
-        F.col(premium).alias("premium"), rescued.alias("rescued_premium"),
+        F.col(premium).alias("premium"), rescued.alias("rescued_premium"), F.col(M.FEEDS[code][22][0]).alias("currency"),
+        F.get_json_object("_rescued_data", "$.note").alias("rescued_note"),
     )
 
 
@@ -859,6 +871,19 @@ def rescue_rows(spark, d):
     return _feed_shape(found["es"], "ES").unionByName(_feed_shape(found["it"], "IT"))
 
 
+@query
+def header_drift(spark, d):
+    """Months by how their files' headers differ from the feed's schema."""
+    root = _write_csv(spark, d)
+    parts = []
+    for code, schema in _feed_schemas().items():
+        drift = header_drift_of(spark, f"{root}/{code}", schema)
+        parts.append(drift.select(F.lit(code).alias("feed"), F.regexp_extract("file", r"yyyymm=(\d{6})", 1).alias("yyyymm"), "missing_columns", "new_columns", "reordered"))
+    both = parts[0].unionByName(parts[1]).distinct()
+    lists = {c: F.array_join(c, ",") for c in ("missing_columns", "new_columns")}
+    return both.withColumns(lists)
+
+
 @query
 def stream_ingest(spark, d):
     """Both feeds as file streams with expectations into Parquet, read back."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import METADATA_COLUMNS
+from .headers import distinct_names, escaped_path, feed_files, file_headers
 
 CORRUPT = "_corrupt_record"
 
@@ -40,49 +41,63 @@ def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _csv_options(reader, schema: T.StructType, strict_header: bool):
-    """CSV fields go by position. A strict header stops on other or reordered names; without it, extra
-    trailing fields are accepted and their lines end up in the rescued data."""
-    return (
-        reader.schema(text_schema(schema))
+def _read_layout(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Files of one header as text columns of these names. Fields go by position within them; a line with another number of
+    fields ends up in the corrupt column."""
+    schema = text_schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
+    reader = (
+        spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", not strict_header)
-        .option("recursiveFileLookup", True)
+        .option("enforceSchema", True)
     )
+    return with_provenance(reader.csv([escaped_path(f) for f in files]))
 
 
-def read_feed(spark: SparkSession, path: str, schema: T.StructType, *, strict_header: bool = True) -> DataFrame:
-    """All files of a feed as a batch, typed, with provenance and rescued texts."""
-    return rescue_rows(with_provenance(_csv_options(spark.read, schema, strict_header).csv(path)), schema)
-
+def read_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, *, strict_header: bool = False) -> DataFrame:
+    """The rows of these CSV files, typed, with provenance and rescued texts.
 
-def stream_feed(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    max_files_per_trigger: int | None = None,
-    *,
-    strict_header: bool = True,
-) -> DataFrame:
-    """The files of a feed as a stream; with a checkpoint each file is picked up once."""
-    reader = _csv_options(spark.readStream, schema, strict_header)
+    Fields go by the names in each file's own header: files of one header are one read, and the reads are a union, so no row
+    waits for a join. Columns may come in any order; a column that a file lacks is NULL; fields of names that the schema does
+    not have are kept in ``_rescued_data``. ``strict_header`` stops on any header other than the schema's own.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, names in sorted(file_headers(spark, files).items()):
+        if names:
+            layouts.setdefault(distinct_names(names, (CORRUPT, *METADATA_COLUMNS)), []).append(file)
+    if strict_header and (other := [f for names, found in layouts.items() if list(names) != schema.names for f in found]):
+        raise ValueError(f"CSV header differs from the schema in {other[:5]}")
+    if not layouts:
+        nothing = spark.createDataFrame([], text_schema(schema))
+        return rescue_rows(nothing.withColumns({"_source_file": F.lit(""), "_ingested_at": F.current_timestamp()}), schema)
+    return reduce(DataFrame.unionByName, [rescue_rows(_read_layout(spark, found, names), schema) for names, found in layouts.items()])
+
+
+def read_feed(spark: SparkSession, path: str, schema: T.StructType, *, strict_header: bool = False) -> DataFrame:
+    """All files of a feed as a batch; see :func:`read_files`."""
+    return read_files(spark, feed_files(spark, path), schema, strict_header=strict_header)
+
+
+def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The files of a feed as a stream of paths; with a checkpoint each file is picked up once. No content is read here."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return rescue_rows(with_provenance(reader.csv(path)), schema)
+    return reader.load(path).select("path")
 
 
 def read_feeds(
     spark: SparkSession, root: str, codes: str, schemas: Mapping[str, T.StructType], *, streaming: bool = False
 ) -> dict[str, DataFrame]:
-    """One flow per source code, read from ``root/<code>``."""
+    """One flow per source code, read from ``root/<code>``: its rows, or with ``streaming`` its files (see :func:`stream_files`)."""
     wanted = parse_sources(codes)
     unknown = [code for code in wanted if code not in schemas]
     if unknown:
         raise ValueError(f"no schema for sources {unknown}")
-    read = stream_feed if streaming else read_feed
-    return {code: read(spark, f"{root.rstrip('/')}/{code}", schemas[code]) for code in wanted}
+    folder = {code: f"{root.rstrip('/')}/{code}" for code in wanted}
+    return {code: stream_files(spark, at) if streaming else read_feed(spark, at, schemas[code]) for code, at in folder.items()}
 
 
 def union_feeds(feeds: Mapping[str, DataFrame], label: str = "feed") -> DataFrame:
@@ -97,7 +112,8 @@ def with_provenance(df: DataFrame) -> DataFrame:
 
 
 def rescue_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text columns to ``schema``; texts that do not fit go to ``_rescued_data`` as a JSON object.
+    """Cast text columns to ``schema``; texts that do not fit go to ``_rescued_data`` as a JSON object, as do the values of columns
+    that the schema does not have.
 
     A line that does not parse at all is kept under the key of the corrupt column.
     """
@@ -112,6 +128,9 @@ def rescue_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
             lost = raw.isNotNull() & value.isNull()
             misfit = misfit | lost
             kept.append(F.when(lost, raw).alias(field.name))
+    for name in (c for c in df.columns if c not in {*schema.names, *METADATA_COLUMNS, CORRUPT}):
+        misfit = misfit | F.col(f"`{name}`").isNotNull()
+        kept.append(F.col(f"`{name}`"))
     if CORRUPT in present:
         kept.append(F.col(CORRUPT))
     rescued = F.when(misfit, F.to_json(F.struct(*kept))) if kept else F.lit(None).cast("string")

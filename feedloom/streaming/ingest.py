@@ -11,10 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.conditions import holds
 from ..operators.expectations import expectation_rules
-from ..sources.feeds import stream_feed
+from ..sources.feeds import read_files, stream_files
 
 #: Names of the rules that a written row failed, and whether it passed all drop rules (a partition column).
 FAILED, KEPT = "_failed_expectations", "_kept"
+#: The batch that wrote a row, a partition column.
+BATCH = "_batch"
 
 
 def ingest_feed(
@@ -31,24 +33,23 @@ def ingest_feed(
 ) -> StreamingQuery:
     """Append new feed files to a Parquet table.
 
-    The file log in ``checkpoint`` and the sink's commit log together write each
-    file's rows once, also after a lost executor or a restart. Without
-    ``continuous`` the query stops when all present files are written. Rows that
+    The stream carries the paths of new files, each once by the log in ``checkpoint``; a batch reads its files by their headers
+    (see :func:`read_files`) and replaces its own folder of the table, so a batch that is run again after a lost executor or a
+    restart leaves no row twice. Without ``continuous`` the query stops when all present files are written. Rows that
     fail a drop rule are kept apart with the names of their failed rules, so
     :func:`ingested_counts` is complete over all batches and restarts.
     """
     rules = expectation_rules(warn, drop)
     failed = F.array_compact(F.array(*[F.when(~holds(F.expr(rule)), F.lit(name)) for name, _, rule in rules]).cast("array<string>"))
     dropping = F.array(*[F.lit(name) for name, kind, _ in rules if kind == "drop"]).cast("array<string>")
-    rows = stream_feed(spark, path, schema, max_files_per_trigger).withColumn(FAILED, failed)
-    writer = (
-        rows.withColumn(KEPT, ~F.arrays_overlap(F.col(FAILED), dropping))
-        .writeStream.format("parquet")
-        .partitionBy(KEPT)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .option("path", target)
-    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        files = [row["path"] for row in batch.distinct().collect()]
+        rows = read_files(batch.sparkSession, files, schema).withColumn(FAILED, failed)
+        kept = rows.withColumn(KEPT, ~F.arrays_overlap(F.col(FAILED), dropping))
+        kept.write.partitionBy(KEPT).mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH}={number}")
+
+    writer = stream_files(spark, path, max_files_per_trigger).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.start() if continuous else writer.trigger(availableNow=True).start()
 
 
@@ -78,11 +79,11 @@ def ingest_feeds(
 
 def _written(spark: SparkSession, target: str) -> DataFrame:
     """All rows; the partition values are texts on disk."""
-    return spark.read.parquet(target).withColumn(KEPT, F.col(KEPT).cast("boolean"))
+    return spark.read.parquet(target).withColumn(KEPT, F.col(KEPT).cast("boolean")).drop(BATCH)
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """The rows kept by :func:`ingest_feed`, read through the sink's commit log."""
+    """The rows kept by :func:`ingest_feed`, of all batches."""
     return _written(spark, target).filter(F.col(KEPT)).drop(FAILED, KEPT)
 
 

@@ -11,7 +11,7 @@ from feedloom.plans.queries import QUERIES
 
 WRITERS = {
     "stream_ingest", "rescue_rows", "provenance", "write_monthly", "append_rows", "overwrite_slice", "read_answer_key",
-    "log_run", "stream_counts",
+    "log_run", "stream_counts", "header_drift",
 }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from feedloom.operators.expectations import expect_rows, expectation_metrics
 from feedloom.schemas import conform, struct
 from feedloom.sources import feeds, keys, sinks
+from feedloom.sources.headers import header_drift
 from feedloom.streaming.ingest import ingest_feed, ingest_feeds, ingested_counts, read_dropped, read_ingested
 
 SCHEMA = struct("id bigint, month int, premium double, name string")
@@ -50,12 +51,60 @@ def test_rescue_keeps_typed_values_and_raw_text(spark, tmp_path):
     assert feeds.business_columns(found).columns == SCHEMA.names
 
 
-def test_other_header_stops_unless_it_may_be_longer(spark, tmp_path):
+def test_fields_go_by_header_name(spark, tmp_path):
+    put(tmp_path / "f", "a.csv", HEAD + "1,2,3.5,x\n")
+    put(tmp_path / "f", "b.csv", "\ufeffname,id,premium,month\ny,2,4.5,3\nz,9,n/a,4\n")
+    put(tmp_path / "f", "c.csv", "id,name,extra,,id\n3,w,new,blank,33\n")
+    put(tmp_path / "f", "d [x].csv", '"premium","id"\n7.5,4\n')
+    put(tmp_path / "f", "e.csv", "")
+    put(tmp_path / "f", "g.csv", HEAD)
+    found = feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA)
+    assert found.columns == [*SCHEMA.names, "_source_file", "_ingested_at", "_rescued_data"]
+    assert rows(found, *SCHEMA.names) == [(1, 2, 3.5, "x"), (2, 3, 4.5, "y"), (3, None, None, "w"), (4, None, 7.5, None), (9, 4, None, "z")]
+    rescued = {r["id"]: json.loads(r["_rescued_data"] or "null") for r in found.collect()}
+    assert rescued == {1: None, 2: None, 3: {"extra": "new", "_c_3": "blank", "id_4": "33"}, 4: None, 9: {"premium": "n/a"}}
+
+
+def test_strict_header_stops_on_other_headers(spark, tmp_path):
     put(tmp_path / "f", "a.csv", "id,month,premium,name,extra\n1,2,3.5,x,new\n")
-    with pytest.raises(Exception, match="CSV header"):
-        feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA).collect()
-    row = feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA, strict_header=False).first()
-    assert row["id"] == 1 and "new" in row["_rescued_data"]
+    with pytest.raises(ValueError, match="CSV header"):
+        feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA, strict_header=True)
+    row = feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA).first()
+    assert row["id"] == 1 and json.loads(row["_rescued_data"]) == {"extra": "new"}
+
+
+def test_folder_without_rows_keeps_the_schema(spark, tmp_path):
+    put(tmp_path / "f", "a.csv", "")
+    found = feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA)
+    assert found.count() == 0 and found.columns[:4] == SCHEMA.names
+
+
+def test_header_drift_and_compressed_files(spark, tmp_path):
+    import gzip
+
+    put(tmp_path / "f", "a.csv", HEAD + "1,2,3.5,x\n")
+    with gzip.open(tmp_path / "f" / "b.csv.gz", "wt") as out:
+        out.write("name,id,extra\nq,5,e\n")
+    drift = {r["file"].rsplit("/")[-1]: r for r in header_drift(spark, str(tmp_path / "f"), SCHEMA).collect()}
+    assert not drift["a.csv"]["drifted"]
+    b = drift["b.csv.gz"]
+    assert (b["missing_columns"], b["new_columns"], b["reordered"]) == (["month", "premium"], ["extra"], True)
+    assert rows(feeds.read_feed(spark, str(tmp_path / "f"), SCHEMA), "id", "name") == [(1, "x"), (5, "q")]
+
+
+def test_stream_takes_new_headers_and_a_batch_again_leaves_no_row_twice(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    put(source, "a.csv", HEAD + "1,2,3.5,x\n")
+    ingest_feed(spark, source, SCHEMA, target, checkpoint, **RULES).awaitTermination()
+    put(source, "b.csv", "extra,premium,id\nq,1.5,2\n")
+    ingest_feed(spark, source, SCHEMA, target, checkpoint, **RULES).awaitTermination()
+    assert rows(read_ingested(spark, target), "id", "premium") == [(1, 3.5), (2, 1.5)]
+    # As if the last batch had not been recorded as done.
+    newest = max((tmp_path / "check" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    newest.unlink()
+    (newest.parent / f".{newest.name}.crc").unlink(missing_ok=True)
+    ingest_feed(spark, source, SCHEMA, target, checkpoint, **RULES).awaitTermination()
+    assert rows(read_ingested(spark, target), "id", "premium") == [(1, 3.5), (2, 1.5)]
 
 
 def test_inferred_schema(spark, tmp_path):
