@@ -11,15 +11,36 @@ from pyspark.sql import functions as F
 from ..functions.conditions import as_col
 
 
+#: Width of a piece of a value, and the places of the pieces' units (powers of two), the highest first. Fixed values.
+PIECE_BITS = 26
+UNITS = (52, 26, 0, -26, -52, -78)
+#: Values from here on are not cut into pieces.
+WILD = 2.0**100
+
+
 def total(column: str) -> str:
     """SQL sum of the values of a money column as they are.
 
-    They add up as decimals of 18 places, so the order of the rows does not show in
-    the result. With a NaN, an infinity or a value of 1e18 and more in the group it
-    is the plain floating-point sum.
+    Every value is cut into whole numbers of 26 bits at fixed places, which add up as
+    integers, so neither the order of the rows nor the partitions show in the result:
+    values of 2 ** -26 and more add up exactly, of smaller ones what is below 2 ** -78
+    is cut off. The sums are joined once per group. With a NaN, an infinity or a value
+    of 2 ** 100 and more in the group, or after some 10 ** 11 rows of full pieces, it is the plain floating-point sum.
     """
-    wild = f"bool_or(isnan({column}) OR abs({column}) >= 1e18D)"
-    return f"if({wild}, sum({column}), cast(sum(try_cast({column} AS decimal(38,18))) AS double))"
+    tame = f"if(abs({column}) < {WILD!r}D, {column}, if({column} IS NULL, NULL, 0D))"
+    pieces = [f"try_sum(cast({tame} / {2.0 ** UNITS[0]!r}D AS bigint))"]
+    for above, unit in zip(UNITS, UNITS[1:]):
+        pieces.append(f"try_sum(cast({tame} % {2.0**above!r}D * {2.0**-unit!r}D AS bigint))")
+    # Carries go up from the lowest piece, rounded to the nearest, so each digit is at most half of the place above it and
+    # nothing cancels when the digits are added up.
+    half, carried, digits = 1 << (PIECE_BITS - 1), None, []
+    for piece in reversed(pieces[1:]):
+        whole = piece if carried is None else f"({piece} + {carried})"
+        digits.append(f"((({whole} + {half}L) & {2 * half - 1}L) - {half}L)")
+        carried = f"shiftright({whole} + {half}L, {PIECE_BITS})"
+    exact = " + ".join(f"{digit} * {2.0**unit!r}D" for digit, unit in zip(digits, reversed(UNITS[1:])))
+    exact = f"({exact} + ({pieces[0]} + {carried}) * {2.0 ** UNITS[0]!r}D)"
+    return f"if(max(abs({column})) >= {WILD!r}D, sum({column}), coalesce({exact}, sum({column})))"
 
 
 def ratio(parts: Sequence[str], whole: str) -> str:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,34 +29,48 @@ def _comparable(field: T.StructField) -> Column:
     return cell if isinstance(field.dataType, (*_WHOLE, *_TIME)) else cell.cast("string")
 
 
+#: Tasks whose samples are merged first, before those of all tasks are.
+MERGED = 1024
+
+
+def _task_samples(df: DataFrame, k: int) -> DataFrame:
+    """One row per task: for each column the ``k`` smallest distinct values that the task has seen."""
+    kinds = [f.dataType for f in df.schema.fields]
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(kind)) for f, kind in zip(df.schema.fields, kinds)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] | None = None
+        for batch in batches:
+            if held is None:
+                held = [c.slice(0, 0) for c in batch.columns]
+            for i, cells in enumerate(batch.columns):
+                seen = pc.unique(pa.concat_arrays([held[i], pc.unique(cells)])).drop_null()
+                held[i] = seen.take(pc.array_sort_indices(seen).slice(0, k))
+        if held is not None:
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()), h) for h in held]
+            yield pa.RecordBatch.from_arrays(lists, schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def sample_values(df: DataFrame, k: int = 5) -> DataFrame:
     """Up to ``k`` smallest distinct non-NULL values per column as text, in the order of the type.
 
-    The next value of every column is one plain minimum over the values beyond the
-    one before, so a round is one aggregate of one row that combines in the tasks:
-    no shuffle of values, no rows on the driver, the same plan for every input.
+    One read: each task keeps ``k`` values per column while it reads, and only these
+    are shuffled, to be merged in two levels.
     """
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, _NESTED)]
     if not fields:
         raise ValueError("the frame has no column of a simple type")
-    found: dict[str, list[str]] = {f.name: [] for f in fields}
-    open_fields, last = fields, {}
-    for _ in range(k):
-        def next_value(i: int, f: T.StructField) -> Column:
-            value = _comparable(f)
-            return F.min(value if f.name not in last else F.when(value > F.lit(last[f.name]).cast(value_types[f.name]), value)).alias(f"v{i}")
-
-        value_types = {f.name: df.select(_comparable(f).alias("v")).schema["v"].dataType for f in open_fields}
-        one = df.agg(*[next_value(i, f) for i, f in enumerate(open_fields)])
-        texts = one.select(*[F.col(f"v{i}").cast("string").alias(f"v{i}") for i in range(len(open_fields))]).first()
-        for i, f in enumerate(open_fields):
-            if texts[i] is not None:
-                found[f.name].append(texts[i])
-                last[f.name] = texts[i]
-        open_fields = [f for i, f in enumerate(open_fields) if texts[i] is not None]
-        if not open_fields:
-            break
-    rows = [(name, values) for name, values in found.items() if values]
+    cells = df.select(*[_comparable(f).alias(f"v{i}") for i, f in enumerate(fields)])
+
+    def merged(column: str) -> Column:
+        return F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(column)))), 1, k).alias(column)
+
+    tasks = _task_samples(cells, k).withColumn("_group", F.spark_partition_id() % MERGED)
+    groups = tasks.groupBy("_group").agg(*map(merged, cells.columns))
+    texts = groups.agg(*map(merged, cells.columns)).select(*[F.col(c).cast("array<string>").alias(c) for c in cells.columns]).first()
+    rows = [(f.name, values) for f, values in zip(fields, texts) if values]
     return local_frame(df.sparkSession, rows, struct("column_name string, sample_values array<string>"))
 
 

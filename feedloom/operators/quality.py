@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.guarded import guarded
 from ..schemas import COLUMN_MAPPED, VALUE_MAPPED
 
 
@@ -66,23 +67,13 @@ def analysis_error(df: DataFrame, predicate: str) -> str | None:
     return None if isinstance(kind, T.BooleanType) else f"not a boolean: {kind.simpleString()}"
 
 
-def failing_rules(df: DataFrame, rules: Sequence[Rule]) -> dict[str, str]:
-    """Rules whose predicate stops at run time, with the error class.
-
-    One pass tries all rules together; only if it stops are they tried one by one.
-    """
+def failing_rules(df: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
+    """Rules whose predicate stops on some rows, with the number of these rows; one aggregate over all rules."""
     usable = [r for r in rules if analysis_error(df, r.predicate) is None]
-
-    def attempt(some: Sequence[Rule]) -> str | None:
-        try:
-            df.agg(*[F.count_if(F.expr(r.predicate)).alias(r.name) for r in some]).collect()
-        except PySparkException as error:
-            return error.getCondition() or type(error).__name__
-        return None
-
-    if not usable or attempt(usable) is None:
+    if not usable:
         return {}
-    return {r.name: error for r in usable if (error := attempt([r])) is not None}
+    found = df.agg(*[F.count_if(guarded(df, r.predicate).isNull()).alias(f"n{i}") for i, r in enumerate(usable)]).first()
+    return {r.name: n for r, n in zip(usable, found) if n}
 
 
 def _declared(counted: DataFrame, sources: DataFrame | None, by: Sequence[str]) -> DataFrame:
@@ -101,14 +92,13 @@ def quality_checks(
     allowed: Mapping[str, Sequence[str]] | None = None,
     rules: Sequence[Rule] = (),
     by: Sequence[str] = (),
-    failing: Mapping[str, str] | None = None,
     sources: DataFrame | None = None,
     raw: DataFrame | None = None,
 ) -> DataFrame:
     """Not-null, allow-list, rule, status and parity checks of a table from a single aggregate.
 
-    A missing column or a broken predicate still gives its row. ``failing`` takes
-    the result of :func:`failing_rules` for predicates that stop at run time.
+    A missing column or a broken predicate still gives its row. Rows on which a predicate stops are
+    counted in the same aggregate; a rule that stops anywhere has failed for every source.
     ``sources`` declares the ``by`` values that get all rows, also without rows in
     the table. ``raw``, the feed behind the table, adds the row-count check; the
     table's own count comes from the same aggregate.
@@ -116,6 +106,7 @@ def quality_checks(
     present = set(df.columns)
     counts: list[Column] = []
     checks: list[Column] = []
+    everywhere: dict[str, Column] = {}
 
     def counted(condition: Column) -> str:
         name = f"_c{len(counts)}"
@@ -141,11 +132,17 @@ def quality_checks(
         )
 
     for rule in rules:
-        error = analysis_error(df, rule.predicate) or (failing or {}).get(rule.name)
+        error = analysis_error(df, rule.predicate)
         if error is not None:
             checks.append(_fixed(rule.name, "FAILED", 0.0, f"predicate failed to evaluate: {error}"))
             continue
-        checks.append(_counted(rule.name, counted(F.expr(rule.predicate)), rule.severity, f"{rule.text}: ", " violations"))
+        outcome = guarded(df, rule.predicate)
+        violations, stops = counted(outcome["v"]), counted(outcome.isNull())
+        everywhere[f"{stops}_all"] = F.sum(stops).over(Window.partitionBy(F.lit(0)))
+        stopped = F.col(f"{stops}_all")
+        text = F.concat(F.lit("predicate failed to evaluate: stops on "), stopped.cast("string"), F.lit(" rows"))
+        fine = _counted(rule.name, violations, rule.severity, f"{rule.text}: ", " violations")
+        checks.append(F.when(stopped > 0, _check(rule.name, F.lit("FAILED"), F.lit(0.0), text)).otherwise(fine))
 
     if "mapping_status" in present:
         n = counted(~F.col("mapping_status").isin(COLUMN_MAPPED, VALUE_MAPPED))
@@ -165,7 +162,8 @@ def quality_checks(
         )
         one = both.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["_raw", *sizes]])
         checks.append(_parity())
-    return _declared(one, sources, by).select(*by, _rows(checks))
+    # The window runs over one row per source.
+    return _declared(one, sources, by).withColumns(everywhere).select(*by, _rows(checks))
 
 
 def _parity() -> Column:

@@ -111,7 +111,6 @@ def publish(
             quality.check_mapping_coverage(mandatory, dictionary, by, sources),
             quality.quality_checks(
                 rows, required=required, allowed=allow_lists, rules=rules, by=by, sources=sources, raw=raw,
-                failing=quality.failing_rules(rows, rules),
             ),
         ],
         run_id,

@@ -207,10 +207,11 @@ def _inventory_oracle() -> str:
     for code, feed in M.FEEDS.items():
         for position, (name, kind, _) in enumerate(feed, start=1):
             values = f"list_slice(list_sort(list(DISTINCT {name})), 1, 5)"
-            text = (
-                f"CAST(len({values}) AS VARCHAR)" if kind in ("DOUBLE", "TIMESTAMP")
-                else f"array_to_string({values}, '; ')"
-            )
+            if kind == "DOUBLE":
+                values = f"[printf('%.6f', x + 0.0) FOR x IN {values}]"
+            elif kind == "TIMESTAMP":
+                values = f"[strftime(x, '%Y-%m-%d %H:%M:%S') FOR x IN {values}]"
+            text = f"array_to_string({values}, '; ')"
             parts.append(
                 f"SELECT '{M.SYSTEMS[code]}' AS source_system, 'feed_{code.lower()}' AS source_table, "
                 f"'{name}' AS local_column_name, {position} AS ordinal_position, "
@@ -302,7 +303,8 @@ def _dq_oracle() -> str:
     for r in M.RULES:
         rule(r.name, r.predicate, r.severity, r.text)
     add("broken_rule", "'FAILED'", "0", "'predicate failed to evaluate'")
-    add("stopping_rule", "'FAILED'", "0", "'predicate failed to evaluate'")
+    for name in ("stopping_rule", *(f"stopping_{x}" for x in M.STOPPING)):
+        add(name, "'FAILED'", "0", "'predicate failed to evaluate'")
     n = "COUNT(*) FILTER (WHERE mapping_status <> 'APPROVED_COLUMN_AND_VALUE_MAPPING')"
     add("column_mapping_version_present", f"CASE WHEN {n} = 0 THEN 'PASSED' ELSE 'WARNING' END", n,
         f"{n} || ' rows without expected mapping_status flag'")
@@ -1017,6 +1019,14 @@ oracle(
     """SELECT 'es' AS feed, printf('%d%02d', anio, mes) AS yyyymm, COUNT(*) AS n FROM feed_es_dirty GROUP BY 2 UNION ALL
     SELECT 'it', printf('%d%02d', anno_riferimento, mese_riferimento), COUNT(*) FROM feed_it_dirty GROUP BY 2""",
 )
+oracle(
+    "exact_sums", "",
+    """SELECT l_linenumber AS line,
+    CAST(SUM(CAST(FLOOR(l_extendedprice) AS HUGEINT)) * 3 AS DOUBLE) AS huge,
+    CAST(SUM(CAST(FLOOR(l_extendedprice) AS HUGEINT)) AS DOUBLE) AS mixed,
+    CASE WHEN l_linenumber = 6 AND BOOL_OR(l_partkey % 97 = 0) THEN 'nan' WHEN l_linenumber = 7 AND BOOL_OR(l_partkey % 97 = 0) THEN 'inf'
+    WHEN l_linenumber < 6 THEN 'none' END AS wild FROM lineitem GROUP BY 1""",
+)
 oracle(
     "header_drift", "feed_es_dirty feed_it_dirty",
     " UNION ALL ".join(

@@ -191,10 +191,9 @@ def inventory_samples(spark, d):
         for code in ("ES", "IT")
     ]
     both = parts[0].unionByName(parts[1])
-    # The texts of fractional numbers and times differ between engines; the samples of the other types are compared.
-    text = F.when(
-        F.col("local_data_type").isin("double", "timestamp_ntz", "timestamp"), F.size("sample_values").cast("string")
-    ).otherwise(F.array_join("sample_values", "; "))
+    # Engines write fractional numbers in different ways, so these are printed alike.
+    numbers = F.transform("sample_values", lambda v: F.format_string("%.6f", v.cast("double") + 0.0))
+    text = F.array_join(F.when(F.col("local_data_type") == "double", numbers).otherwise(F.col("sample_values")), "; ")
     return both.select(
         "source_system", "source_table", "local_column_name", "ordinal_position", text.alias("samples")
     )
@@ -262,6 +261,7 @@ def dq_report(spark, d):
         *M.RULES,
         quality.Rule("broken_rule", "no_such_column > 1", "WARNING", "never"),
         quality.Rule("stopping_rule", "1 / (claims_paid_count * 0) > 1", "WARNING", "never"),
+        *(quality.Rule(f"stopping_{name}", predicate, "WARNING", "never") for name, predicate in M.STOPPING.items()),
     ]
     report = quality.quality_report(
         [
@@ -271,7 +271,6 @@ def dq_report(spark, d):
                 required=[*M.REQUIRED, "absent_column"],
                 allowed={**M.ALLOWED, "absent_category": ["a", "b"]},
                 rules=rules,
-                failing=quality.failing_rules(rows, rules),
                 by=by,
                 sources=sources,
                 raw=raw,
@@ -279,7 +278,7 @@ def dq_report(spark, d):
         ],
         "run",
     )
-    broken = F.col("check_name").isin("broken_rule", "stopping_rule")
+    broken = F.col("check_name").isin("broken_rule", "stopping_rule", *(f"stopping_{name}" for name in M.STOPPING))
     return report.select(
         "source_system", "check_name", "check_status", "metric_value",
         F.when(broken, F.lit("predicate failed to evaluate")).otherwise(F.col("details")).alias("details"),
@@ -804,6 +803,27 @@ def money_totals(spark, d):
     return _rounded(sums, *sorted(names), digits=4)
 
 
+@query
+def exact_sums(spark, d):
+    """Sums far beyond the decimal range, of values that cancel, and of groups with a NaN or an infinity, by line number."""
+    x = F.col("l_extendedprice")
+    wild = F.when(F.col("l_linenumber") == 6, F.when(F.col("l_partkey") % 97 == 0, F.lit(float("nan"))).otherwise(x))
+    wild = wild.when(F.col("l_linenumber") == 7, F.when(F.col("l_partkey") % 97 == 0, F.lit(float("inf"))).otherwise(x))
+    rows = frame(spark, d, "lineitem").select(
+        F.col("l_linenumber").alias("line"),
+        # Whole numbers of about 1e18 each.
+        (F.floor(x) * F.lit(2.0**40)).alias("huge"),
+        # 2**60 and its opposite around small numbers; a plain floating-point sum loses these.
+        (F.when(F.col("l_partkey") % 2 == 0, F.lit(2.0**60)).otherwise(F.lit(-(2.0**60)))).alias("cancels"),
+        F.floor(x).cast("double").alias("small"),
+        wild.alias("wild"),
+    )
+    both = rows.select("line", "huge", "wild", F.inline(F.array(*(F.struct(v.alias("mixed")) for v in (F.col("cancels"), -F.col("cancels"), F.col("small"))))))
+    sums = both.groupBy("line").agg(F.expr(total("huge")).alias("huge"), F.expr(total("mixed")).alias("mixed"), F.expr(total("wild")).alias("wild"))
+    kind = F.when(F.isnan("wild"), "nan").when(F.abs("wild") == float("inf"), "inf").when(F.col("wild").isNull(), "none")
+    return sums.select("line", (F.col("huge") / F.lit(2.0**40)).alias("huge"), "mixed", kind.alias("wild"))
+
+
 @query
 def categorical_targets(spark, d):
     """Allow-list entries with the number of shared rows that use them."""

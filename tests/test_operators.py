@@ -261,15 +261,54 @@ def test_checks_never_count_null_and_survive_broken_rules(spark):
         quality.Rule("x", "true", "INFO")
 
 
-def test_rule_that_stops_at_run_time_is_isolated(spark):
-    df = frame(spark, "a int, t string", (0, "x"), (1, "2"))
-    rules = [quality.Rule("ok", "a > 0"), quality.Rule("cast", "cast(t AS int) > 1"), quality.Rule("unresolved", "zz > 1")]
-    failing = quality.failing_rules(df, rules)
-    assert set(failing) == {"cast"}
-    checks = quality.quality_checks(df, rules=rules, failing=failing)
-    assert rows(checks, "check_name", "check_status", "metric_value") == [
-        ("cast", "FAILED", 0.0), ("ok", "FAILED", 1.0), ("unresolved", "FAILED", 0.0),
+def test_rules_that_stop_at_run_time_are_isolated_in_one_pass(spark):
+    df = frame(spark, "a int, t string, s string", (0, "x", "S"), (1, "2", "S"), (None, None, "R"))
+    rules = [
+        quality.Rule("ok", "a > 0"), quality.Rule("cast", "cast(t AS int) > 1"), quality.Rule("unresolved", "zz > 1"),
+        quality.Rule("half", "1 / a > 0"), quality.Rule("other_half", "1 / a > 5"), quality.Rule("sum", "a + 2147483647 > 0"),
+        quality.Rule("raised", "if(a = 0, raise_error('no'), true)"), quality.Rule("place", "element_at(array(1), a + 1) = 1"),
     ]
+    assert quality.failing_rules(df, rules) == {"cast": 1, "half": 1, "other_half": 1, "sum": 1, "raised": 1, "place": 1}
+    checks = quality.quality_checks(df, rules=rules, by=["s"], sources=frame(spark, "s string", ("S",), ("R",), ("none",)))
+    found = {(r["s"], r["check_name"]): (r["check_status"], r["metric_value"]) for r in checks.collect()}
+    for source, violations in (("S", 1.0), ("R", 0.0), ("none", 0.0)):
+        assert found[source, "ok"] == ("FAILED" if violations else "PASSED", violations)
+        for name in ("cast", "unresolved", "half", "other_half", "sum", "raised", "place"):
+            assert found[source, name] == ("FAILED", 0.0)
+    fresh = quality.quality_checks(df, rules=rules, by=["s"])
+    assert fresh._jdf.queryExecution().executedPlan().toString().count("Scan ") == 1
+    text = checks.filter("check_name = 'half' AND s = 'none'").first()["details"]
+    assert text == "predicate failed to evaluate: stops on 1 rows"
+
+
+def test_sums_are_exact_and_free_of_order(spark):
+    import math
+    import random
+    from fractions import Fraction
+
+    from feedloom.operators.metrics import total
+
+    r = random.Random(4)
+    groups = {
+        "money": [r.uniform(-1e6, 1e6) for _ in range(500)],
+        "huge": [9e17] * 200,
+        "cancel": [1e25, 0.1, -1e25, 2.0**-20, 3e7, -5.25],
+        "negative": [-r.uniform(0, 1e12) for _ in range(99)],
+        "one": [-0.3],
+        "none": [None],
+    }
+    data = [(g, x) for g, values in groups.items() for x in values] + [("nan", 1.0), ("nan", float("nan")), ("inf", float("inf")), ("inf", 2.0), ("wild", 1e200), ("wild", 1e200)]
+    results = []
+    for seed, parts in ((1, 1), (2, 7)):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, "g string, x double").repartition(parts)
+        results.append({row["g"]: row["s"] for row in df.groupBy("g").agg(F.expr(total("x")).alias("s")).collect()})
+    for g, values in groups.items():
+        if g != "none":
+            exact = float(sum(map(Fraction, values)))
+            assert abs(results[0][g] - exact) <= math.ulp(exact)
+    assert results[0]["none"] is None and math.isnan(results[0].pop("nan")) and results[0]["inf"] == float("inf") and results[0]["wild"] == 2e200
+    assert math.isnan(results[1].pop("nan")) and results[0] == results[1]
 
 
 def test_all_checks_of_a_table_are_one_aggregate(spark, sf):
@@ -310,7 +349,8 @@ def test_a_declared_source_without_rows_gets_all_checks(spark):
 
 def test_sums_are_of_the_values_as_they_are(spark):
     total = lambda *v: frame(spark, "a double", *[(x,) for x in v]).agg(F.expr(metrics.total("a"))).first()[0]
-    assert total(0.00004, 0.00004, 0.00004) == 0.00012
+    # The doubles themselves add up, not their shortest decimal forms.
+    assert total(0.00004, 0.00004, 0.00004) == 3 * 0.00004
     assert total(1e15, 0.25) == 1e15 + 0.25 and total(None) is None and total(1e30, 1.0) == 1e30
     assert str(total(float("nan"), 1.0)) == "nan"
 

@@ -61,13 +61,17 @@ def test_review_queue_filters(spark, sf):
     assert review.preview(queue).count() == 5
 
 
-def test_samples_move_no_values(spark):
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("samples", "samples")
-    profile.sample_values(spark.range(0, 100_000, 1, 64).select("id"), 5)
-    jobs = tracker.getJobIdsForGroup("samples")
-    spark.sparkContext.setJobGroup("rest", "rest")
-    assert len(jobs) <= 10
+def test_samples_read_once_and_move_k_values_per_task(spark, sf, monkeypatch):
+    seen = []
+    within = profile._task_samples
+    monkeypatch.setattr(profile, "_task_samples", lambda df, k: seen.append(within(df, k)) or seen[-1])
+    feed = derived(spark, sf, "lineitem")
+    profile.sample_values(feed, 5)
+    assert len(seen) == 1 and plan(seen[0]).count("FileScan") == 1
+    kept = seen[0].collect()
+    assert len(kept) <= feed.rdd.getNumPartitions() and all(len(values) <= 5 for row in kept for values in row)
+    many = within(spark.range(0, 100_000, 1, 64).select("id"), 5).collect()
+    assert len(many) == 64 and all(len(row[0]) == 5 for row in many)
 
 
 def test_checks_read_each_feed_once(spark, sf):
