@@ -171,9 +171,9 @@ GLOSSARY = [
 # Predicates that stop on some rows, each with another error; two of them share the part that stops.
 STOPPING = {
     "cast": "cast(policy_number AS int) > 5",
-    "position": "element_at(array(1, 2), claims_reported_count) = 9",
-    "overflow": "record_id + 9223372036854775807 < 0",
-    "raised": "if(claims_reported_count = 2, raise_error('two'), false)",
+    "position": "element_at(array(1, 2), if(record_id % 1000 = 1, 3, 1)) = 9",
+    "overflow": "record_id % 1000 + 9223372036854774810 < 0",
+    "raised": "if(record_id % 1000 = 2, raise_error('two'), false)",
     "shared_a": "10 / (claims_reported_count - 1) > 100",
     "shared_b": "10 / (claims_reported_count - 1) > 200",
 }

@@ -266,9 +266,10 @@ def test_rules_that_stop_at_run_time_are_isolated_in_one_pass(spark):
     rules = [
         quality.Rule("ok", "a > 0"), quality.Rule("cast", "cast(t AS int) > 1"), quality.Rule("unresolved", "zz > 1"),
         quality.Rule("half", "1 / a > 0"), quality.Rule("other_half", "1 / a > 5"), quality.Rule("sum", "a + 2147483647 > 0"),
+        quality.Rule("whole", "3 div a > 0"), quality.Rule("decided", "a = 0 OR 1 / a > 5"), quality.Rule("sparing", "a <> 0 AND 1 / a > 5"),
         quality.Rule("raised", "if(a = 0, raise_error('no'), true)"), quality.Rule("place", "element_at(array(1), a + 1) = 1"),
     ]
-    assert quality.failing_rules(df, rules) == {"cast": 1, "half": 1, "other_half": 1, "sum": 1, "raised": 1, "place": 1}
+    assert quality.failing_rules(df, rules) == {"cast": 1, "half": 1, "other_half": 1, "sum": 1, "whole": 1, "raised": 1, "place": 1}
     checks = quality.quality_checks(df, rules=rules, by=["s"], sources=frame(spark, "s string", ("S",), ("R",), ("none",)))
     found = {(r["s"], r["check_name"]): (r["check_status"], r["metric_value"]) for r in checks.collect()}
     for source, violations in (("S", 1.0), ("R", 0.0), ("none", 0.0)):
