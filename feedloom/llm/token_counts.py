@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import codec, vocabulary_path
+from .shared import stored
 
 RANGE = 4096
 
@@ -46,6 +47,8 @@ def length_histogram(docs: DataFrame, text_col: str = "text", group_cols: Sequen
     truncated_total (tokens left at limit L), docs_total, tokens_total and quantile (share of documents of at most L)."""
     names = [f"g{k}" for k in range(len(group_cols))]
     counts = encoded_lengths(docs, text_col, group_cols, path).groupBy(*names, "n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    # Both levels of the sums read the counts; written once, no text is encoded twice.
+    counts = stored(counts, "lengths")
     rows = counts.withColumns({"tokens": F.col("n_tokens") * F.col("n_docs"), "range": F.floor(F.col("n_tokens") / RANGE)})
     order = W.partitionBy(*names, "range").orderBy("n_tokens")
     sums = rows.withColumns(
