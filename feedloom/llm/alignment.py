@@ -11,8 +11,8 @@ most ``FAN`` runs meet in one merge, and more are merged over several levels. As
 gives every A id's highest count. The runs then stream by once more and get their pairs' counts, which go back to their blocks, where
 the documents add them up. So a pair that every document holds costs one record per block, not one per document.
 
-Both vocabularies cut a text before a space that follows no white space, and no token of either crosses such a place. The pieces
-between are therefore encoded on their own, each different one once (``words.Known``), also those of very long texts.
+No token of either crosses some places that two bytes tell: before a space that follows no white space, and between letters, digits and
+other signs that no piece of B has side by side. The pieces between are therefore encoded on their own, each different one once (``words.Known``), also those of very long texts.
 
 Texts that are null or empty, or whose joined tokens differ from the text (B has no form for U+2581), have no tokens: zeros and ''. Rows
 with null or repeated ids are documents of their own. An empty table gives no rows; other columns are ignored, whatever their names.
@@ -27,7 +27,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate, groupby
+from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from . import blocks
 from .bpe import byte_letters, vocabulary_path
 from .shared import picked, stored
-from .words import Known, ragged
+from .words import Known, byte_classes, cut_before, cut_table, flattened, ragged
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Radix partitions of the A ids.
@@ -72,47 +72,91 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         ]
-        self.step = -(-(1 + max(self.a_bytes)) // PARTS)
-        self.known = Known(self.learn)
-
-    def pair(self, a: int, b: int) -> int:
-        """A number of the pair; by partition, then A id, then B id."""
+        self.a_sizes = np.zeros(1 + max(self.a_bytes), np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.step = -(-len(self.a_sizes) // PARTS)
+        # B puts a space before a text; a line feed, which is in no token but its byte's, keeps it away from the piece.
+        self.lead = self.b.encode("\n")
+        self.cuts = self._cuts()
+        self.known = Known(self.learn, np.int32 if self.pair(0, 0, top=True) < 1 << 31 else np.int64)
+
+    def _cuts(self) -> np.ndarray:
+        """Where tokens of both end in any text: before a space that follows a character, and between letters, digits and other signs
+        of ASCII that stand side by side in no token of B. (A's splitting separates these.)"""
+        kind = byte_classes()
+        left, right = kind[:, None], kind[None, :]
+        flags = (left > 0) & (right > 0) & (left != right)
+        for token in {t for i, t in enumerate(self.b_bytes) if not self.b.is_control(i)}:
+            for x, y in zip(token, token[1:]):
+                flags[x, y] = False
+        # White space of more than one byte before the space is looked at in ``cut``.
+        before = np.ones(256, bool)
+        before[[32, *range(9, 14), *range(28, 32)]] = False
+        flags[:, 32] = before
+        return cut_table(flags)
+
+    def pair(self, a, b, top: bool = False):
+        """A number of the pair; by partition, then A id, then B id. With ``top`` one above all numbers."""
+        if top:
+            return PARTS * self.step * len(self.b_bytes)
         return ((a % PARTS) * self.step + a // PARTS) * len(self.b_bytes) + b
 
     def part_edges(self) -> np.ndarray:
         return np.arange(PARTS + 1, dtype=np.int64) * self.step * len(self.b_bytes)
 
-    def learn(self, pieces: list[bytes]) -> tuple[list[list[int]], list[str]]:
+    def learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Per piece (right, A tokens, B tokens, groups, links, then pair and links of it ...) and its groups as text."""
         texts = [p.decode() for p in pieces]
-        # B puts a space before what it encodes, so the piece's own first one goes; but before nothing it puts none.
-        values, names = [], []
-        for piece, ea, b in zip(pieces, self.a.encode_batch(texts, add_special_tokens=False), self.b.encode([t[1:] for t in texts], num_threads=1)):
-            a, b = ea.ids, b or [self.b.piece_to_id("▁")]
-            in_a, in_b = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(in_a) != piece or b"".join(in_b) != piece:
-                values.append([0, 0, 0, 0, 0])
-                names.append("")
-                continue
-            ends_a, ends_b = list(accumulate(map(len, in_a))), list(accumulate(map(len, in_b)))
-            i = j = links = 0
-            groups, pairs = [], {}
-            for end in sorted(set(ends_a) & set(ends_b)):
-                first_i, first_j = i, j
-                while i < len(a) and ends_a[i] <= end:
-                    i += 1
-                while j < len(b) and ends_b[j] <= end:
-                    j += 1
-                mine_a, mine_b = a[first_i:i], b[first_j:j]
-                links += len(mine_a) * len(mine_b)
-                groups.append(",".join(map(str, mine_a)) + "|" + ",".join(map(str, mine_b)))
-                for x in mine_a:
-                    for y in mine_b:
-                        key = self.pair(x, y)
-                        pairs[key] = pairs.get(key, 0) + 1
-            values.append([1, len(a), len(b), len(groups), links, *(x for kv in pairs.items() for x in kv)])
-            names.append(";".join(groups))
-        return values, names
+        count, length = len(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        size_a, a = flattened([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+        size_b, b = flattened([x[len(self.lead) :] for x in self.b.encode(["\n" + t for t in texts], num_threads=1)])
+        of_a, of_b = np.repeat(np.arange(count), size_a), np.repeat(np.arange(count), size_b)
+        # Behind which byte of all pieces together each token ends; pieces whose tokens have other bytes are put right first.
+        good = (np.bincount(of_a, self.a_sizes[a], count) == length) & (np.bincount(of_b, self.b_sizes[b], count) == length)
+        joined = b"".join(pieces)
+        if not good.all() or b"".join([self.a_bytes[i] for i in a.tolist()]) != joined or b"".join([self.b_bytes[i] for i in b.tolist()]) != joined:
+            for k, (to_a, to_b) in enumerate(zip(np.cumsum(size_a).tolist(), np.cumsum(size_b).tolist())):
+                in_a, in_b = (b"".join([known[i] for i in ids]) for known, ids in ((self.a_bytes, a[to_a - size_a[k] : to_a].tolist()), (self.b_bytes, b[to_b - size_b[k] : to_b].tolist())))
+                good[k] = in_a == in_b == pieces[k]
+            kept_a, kept_b = good[of_a], good[of_b]
+            a, of_a, b, of_b = a[kept_a], of_a[kept_a], b[kept_b], of_b[kept_b]
+        size_a, size_b = np.bincount(of_a, minlength=count), np.bincount(of_b, minlength=count)
+        end_a, end_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        marks = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(marks, end_a), np.searchsorted(marks, end_b)
+        n_groups = np.bincount(of_a[np.searchsorted(end_a, marks)], minlength=count)
+        # Each A token meets the B tokens of its group.
+        first_b = np.searchsorted(group_b, np.arange(len(marks) + 1))
+        at, edges = ragged(first_b, group_a)
+        owner = np.repeat(of_a, np.diff(edges))
+        pairs = self.pair(np.repeat(a.astype(np.int64), np.diff(edges)), b[at].astype(np.int64))
+        n_links = np.bincount(owner, minlength=count)
+        top = self.pair(0, 0, top=True)
+        key, times = np.unique(owner * top + pairs, return_counts=True)
+        owner = key // top
+        n_pairs = np.bincount(owner, minlength=count)
+        sizes = 5 + 2 * n_pairs
+        heads = np.cumsum(sizes) - sizes
+        flat = np.zeros(int(sizes.sum()), np.int64)
+        for k, value in enumerate((good, size_a, size_b, n_groups, n_links)):
+            flat[heads + k] = value
+        place = heads[owner] + 5 + 2 * (np.arange(len(key)) - (np.cumsum(n_pairs) - n_pairs)[owner])
+        flat[place], flat[place + 1] = key % top, times
+        return sizes, flat, self._shown(a, b, group_a, group_b, n_groups)
+
+    @staticmethod
+    def _shown(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, n_groups: np.ndarray) -> list[str]:
+        """``a1,a2|b1;a3|b2`` per piece."""
+        groups = int(n_groups.sum())
+        shown_a, shown_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        cuts_a, cuts_b = (np.searchsorted(g, np.arange(groups + 1)).tolist() for g in (group_a, group_b))
+        each = [
+            f"{shown_a[i] if j - i == 1 else ','.join(shown_a[i:j])}|{shown_b[k] if m - k == 1 else ','.join(shown_b[k:m])}"
+            for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])
+        ]
+        last = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
+        return [";".join(each[i:j]) for i, j in zip(last, last[1:])]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -124,27 +168,21 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return _aligners[byte_path, piece_path]
 
 
-def _is_space(raw: np.ndarray) -> np.ndarray:
-    return (raw == 32) | ((raw >= 9) & (raw <= 13)) | ((raw >= 28) & (raw <= 31))
-
-
-def cut(block: blocks.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def cut(block: blocks.Texts, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The texts' bytes with a space before each, and the pieces' starts, ends and first numbers per text. Empty texts have none."""
     sizes = np.diff(block.bounds)
     full = sizes > 0
     bounds = np.concatenate([[0], np.cumsum(sizes + full)])
     raw = np.insert(block.raw, block.bounds[:-1][full], 32)
-    space = np.flatnonzero(raw == 32)
-    before = space - 1
-    inner = space[(before >= 0) & ~_is_space(raw[before])]
-    # A character before the space may be white space of more than one byte: C2 85, C2 A0, or E1, E2, E3 with these last bytes.
-    last, mid, first = raw[inner - 1], raw[np.maximum(inner - 2, 0)], raw[np.maximum(inner - 3, 0)]
+    starts = np.flatnonzero(cut_before(raw, bounds, table)[:-1])
+    # A character before a space may be white space of more than one byte: C2 85, C2 A0, or E1, E2, E3 with these last bytes.
+    last, mid, first = (raw[np.maximum(starts - k, 0)] for k in (1, 2, 3))
     wide = (mid == 0xC2) & ((last == 0x85) | (last == 0xA0))
     wide |= (first == 0xE1) & (((mid == 0x9A) & (last == 0x80)) | ((mid == 0xA0) & (last == 0x8E)))
     wide |= (first == 0xE2) & (mid == 0x80) & (((last >= 0x80) & (last <= 0x8A)) | (last == 0xA8) | (last == 0xA9) | (last == 0xAF))
     wide |= (first == 0xE2) & (mid == 0x81) & (last == 0x9F)
     wide |= (first == 0xE3) & (mid == 0x80) & (last == 0x80)
-    starts = np.union1d(inner[~wide], bounds[:-1][full])
+    starts = starts[~wide | np.isin(starts, bounds)]
     ends = np.concatenate([starts[1:], [len(raw)]]) if len(starts) else starts
     return raw, starts, ends, np.searchsorted(starts, bounds)
 
@@ -178,7 +216,7 @@ class Rows:
 
 def aligned(block: blocks.Texts, with_: Aligner) -> Rows:
     known = with_.known
-    raw, starts, ends, of = cut(block)
+    raw, starts, ends, of = cut(block, with_.cuts)
     entries = known(raw, starts, ends, blocks.span_hashes(blocks.prefix_sums(raw), starts, ends))
     n, text = len(block), np.repeat(np.arange(len(block)), np.diff(of))
     head = known.edges[:-1][entries]
@@ -193,7 +231,7 @@ def aligned(block: blocks.Texts, with_: Aligner) -> Rows:
     inner = np.arange(len(at)) - np.repeat(edges[:-1], np.diff(edges))
     at, inner, owner = at[inner >= 5], inner[inner >= 5], np.repeat(text, np.diff(edges) - 5)
     odd = (inner - 5) % 2 == 1
-    pairs, places = np.unique(known.flat[at[~odd]], return_inverse=True)
+    pairs, places = np.unique(known.flat[at[~odd]].astype(np.int64), return_inverse=True)
     key = owner[~odd] * max(len(pairs), 1) + places
     key, back = np.unique(key, return_inverse=True)
     times = np.bincount(back, known.flat[at[odd]], len(key)).astype(np.int64)

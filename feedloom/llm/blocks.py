@@ -121,6 +121,11 @@ def texts(column: pa.Array | pa.ChunkedArray, size: int = CHUNK) -> Iterator[Tex
         first = last
 
 
+def words_flags(raw: np.ndarray) -> np.ndarray:
+    """Whether each byte is none of white space."""
+    return ~_SPACE[raw]
+
+
 def words(block: Texts, inner: np.ndarray = ~_SPACE) -> Words:
     """Maximal runs of bytes that ``inner`` (256 flags) holds; by default all but white space."""
     inside = inner[block.raw]
