@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import blocks
 from .bpe import vocabulary_path
 from .shared import picked, stored
-from .words import Known, ragged
+from .words import Known, byte_classes, cut_before, cut_table, flattened, ragged
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -47,7 +47,7 @@ _known: dict[str, Known] = {}
 
 
 def _encoder(path: str) -> Known:
-    """Ids by the tokenizers library. Its splitting drops white space, so a text's ids are those of its words, one after the other."""
+    """Ids by the tokenizers library, one list per piece of a text."""
     if path not in _known:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -55,15 +55,48 @@ def _encoder(path: str) -> Known:
         coder = Tokenizer.from_file(path)
         coder.no_truncation()
         coder.no_padding()
-        _known[path] = Known(lambda words: ([e.ids for e in coder.encode_batch([w.decode() for w in words], add_special_tokens=False)], None))
+
+        def learn(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, None]:
+            made = coder.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+            return *flattened([e.ids for e in made]), None
+
+        _known[path] = Known(learn)
     return _known[path]
 
 
+def _cuts() -> np.ndarray:
+    """Where the tokenizer's splitting always ends a piece: letters, single digits and other signs of ASCII never share one.
+
+    The apostrophe may stand in a piece with letters, and what is beyond ASCII may join what is before it, so neither is cut off.
+    """
+    kind = byte_classes()
+    left, right = kind[:, None], kind[None, :]
+    return cut_table((left > 0) & (right > 0) & ((left != right) | (left == 2)))
+
+
+_CUTS = _cuts()
+
+
+def pieces(block: blocks.Texts) -> tuple[blocks.Texts, blocks.Words]:
+    """The text that is hashed, and its pieces without white space, which the splitting drops. Where a special string may stand, only
+    white space cuts, and capitals stay; elsewhere A-Z are lower-cased, as the tokenizer does itself."""
+    if b"<|" in block.raw.tobytes():
+        return block, blocks.words(block)
+    block = block.lower()
+    inside = blocks.words_flags(block.raw)
+    cut = cut_before(block.raw, block.bounds, _CUTS)
+    begin, end = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1] | cut[1:-1]
+    end[:-1] &= ~inside[1:] | cut[1:-1]
+    starts = np.flatnonzero(begin)
+    return block, blocks.Words(starts, np.flatnonzero(end) + 1, np.searchsorted(starts, block.bounds))
+
+
 def token_blocks(column: pa.Array, path: str, end: int = END) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, ids and edges, for runs of texts; each text has the end id behind its own ones."""
     known = _encoder(path)
     for block in blocks.texts(column):
-        found = blocks.words(block)
+        block, found = pieces(block)
         entries = known(block.raw, found.starts, found.ends, blocks.word_hashes(block, found))
         at, word_edges = ragged(known.edges, entries)
         # Each text's end id goes behind its words' ids.
