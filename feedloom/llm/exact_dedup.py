@@ -244,9 +244,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns."""
-    rows = docs.withColumn("__digest", F.unhex(F.sha2(normalised(F.col(f"`{text_col}`")), 256)))
-    found = stored(digests(docs, id_col, text_col), "digests")
-    copies = build_index(found, shard_count(found.count())).filter("group_size > 1").select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    kept = rows.join(copies, "__digest", "left")
-    return kept.filter(F.col("__keep").isNull() | F.col(f"`{id_col}`").eqNullSafe(F.col("__keep"))).select(*(f"`{c}`" for c in docs.columns))
+    """One row per different text, with its own columns, whatever their names: of equal texts the one with the smallest id.
+
+    Of rows that share that id (or of texts without any id, of all) the one with the smallest hash over all its columns stays.
+    """
+    own = docs.columns
+    names = [f"c{k}" for k in range(len(own))]
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(own, names)))
+    text, doc = names[own.index(text_col)], names[own.index(id_col)]
+    found = stored(digests(rows, doc, text), "digests")
+    copies = build_index(found, shard_count(found.count())).filter("group_size > 1").select(F.col("digest").alias("copy_of"), "keep_id")
+    marked = rows.withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)), 256))).join(copies, F.col("digest") == F.col("copy_of"), "left")
+    single = marked.filter("copy_of is null").select(names)
+    # What is left of a group are the rows of one id; they are combined in the map tasks already.
+    group = marked.filter("copy_of is not null").filter(F.col(doc).eqNullSafe(F.col("keep_id")))
+    first = group.groupBy("digest").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
+    return single.unionByName(first).select(*(F.col(n).alias(c) for c, n in zip(own, names)))

@@ -54,7 +54,7 @@ def _mixing() -> str:
     lang = "CASE WHEN domain IS NULL THEN 1 WHEN lang = 'en' THEN 5 WHEN lang IN ('de', 'fr') THEN 2 ELSE 1 END"
     return rf"""
 WITH d AS (SELECT doc_id, 'domain' || (TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4) AS domain, lang, source,
-  CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS tokens FROM documents),
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens FROM documents),
 leaf AS (SELECT domain, lang, source, SUM(tokens) AS tokens, 4 * SUM(tokens) AS cap FROM d GROUP BY ALL),
 {_level(0, domain)}, {_level(1, lang)}, {_level(2, "1")},
 plan AS (SELECT l.domain, l.lang, l.source, CASE WHEN l.tokens = 0 THEN CAST(s.share > 0 AS BIGINT) ELSE s.share // CAST(l.tokens AS BIGINT) END AS whole,

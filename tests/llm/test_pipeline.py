@@ -62,6 +62,11 @@ def test_every_query_returns_all_documents(spark, sf, documents, name):
     out = queries.QUERIES[name](spark, sf)
     if name == "op3_token_counts":
         assert out.agg(F.sum("n_docs")).first()[0] == documents.count()
+    elif name == "op11_packing":
+        assert out.select("doc_id").distinct().count() == documents.count()
+    elif name == "op13_spelling":
+        # One row per word; its counts are held against brute force elsewhere.
+        assert out.count() == out.select("word").distinct().count() > 0
     else:
         assert out.count() == documents.count()
 
@@ -91,3 +96,25 @@ def test_mixing_stage_decides_per_leaf_for_null_and_repeated_ids(spark, sf):
     ids = {c: {r["doc_id"] for r in plan if bool(r["copies"]) == c} for c in (True, False)}
     assert None in ids[True] & ids[False] and len(ids[True] & ids[False]) > 1
     assert Counter(tuple(r[c] for c in key) for r in corpus_pipeline.mix_sources(spark, docs, sf).collect()) == taken
+
+
+def test_exact_dedup_stage_keeps_one_row_of_each_text(spark):
+    from feedloom.llm import exact_dedup
+
+    rows = [(1, "a  b", "x", "p"), (1, "a b", "y", "q"), (1, "a b", "y", "q"), (0, "c", "x", "p"), (None, "c", "x", "p"), (None, None, "n", "p"), (None, "", "n", "p"), (5, "a\tb", "x", "p"), (6, "d", "x", "p"), (6, "e", "x", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __keep string, __digest string").repartition(3)
+    out = exact_dedup.deduped(docs)
+    assert out.columns == docs.columns
+    kept = [(r[0], " ".join((r[1] or "").split())) for r in out.collect()]
+    assert sorted(kept, key=repr) == sorted([(1, "a b"), (0, "c"), (None, ""), (6, "d"), (6, "e")], key=repr)
+    assert exact_dedup.deduped(docs.limit(0)).count() == 0
+
+
+def test_mixing_sql_counts_words_between_all_white_space():
+    import duckdb
+
+    from feedloom.llm.oracles import ORACLES
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT 1 AS doc_id, 'a' || chr(13) || 'b' || chr(11) || 'c' || chr(12) || 'd e' AS text, 'en' AS lang, 'src1' AS source")
+    assert con.execute(f"SELECT tokens FROM ({ORACLES['op6_mixing']})").fetchall() == [(5,)]
