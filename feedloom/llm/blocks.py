@@ -7,6 +7,7 @@ free of seeds that vary by process, and the same on every executor.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,15 +45,31 @@ _LOWER[65:91] += 32
 #: Lower-case letters, digits and all bytes of letters beyond ASCII.
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):
+    # Not every C library has it.
+    _trim = None
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
 def _grown(name: str, base: int, n: int) -> np.ndarray:
-    if len(_powers[name]) < n:
-        steps = np.full(max(n, CHUNK + 1), base, np.uint64)
-        steps[0] = 1
-        _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[name]
+    """Powers of the base; those for longer texts than a run's are not kept."""
+    if len(_powers[name]) >= n:
+        return _powers[name]
+    steps = np.full(max(n, CHUNK + 1), base, np.uint64)
+    steps[0] = 1
+    powers = np.cumprod(steps, dtype=np.uint64)
+    if len(powers) <= CHUNK + 1:
+        _powers[name] = powers
+    return powers
+
+
+def release() -> None:
+    """Gives memory that is free back to the system; workers live on between tasks, and each would keep its largest batch."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def prefix_sums(raw: np.ndarray) -> np.ndarray:
@@ -119,6 +136,7 @@ def texts(column: pa.Array | pa.ChunkedArray, size: int = CHUNK) -> Iterator[Tex
             bounds = places[first : last + 1].astype(np.int64)
             yield Texts(first, data[bounds[0] : bounds[-1]], bounds - bounds[0])
         first = last
+    release()
 
 
 def words_flags(raw: np.ndarray) -> np.ndarray:

@@ -31,7 +31,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: What GPT-2's public tokenizer splits a text by before merging; a fixed value.
 SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Words whose tokens a worker remembers at least; of up to twice as many, those not met lately go. This changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Letters of these words at most.
+REMEMBERED_LETTERS = 1 << 22
 #: Bytes from which on a word is merged with a heap.
 SHORT = 200
 
@@ -100,6 +102,7 @@ class Codec:
         self.proposed = {token: i for token, i in self.ids.items() if self.merged(token) == [i]}
         self.words: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.letters = 0
         self.speculated = self.mended = 0
 
     # -- one word -----------------------------------------------------------------------------------------------------
@@ -201,6 +204,7 @@ class Codec:
             good[of[1:][inner][bad]] = False
         self.speculated += len(words)
         self.mended += int((~good).sum())
+        self.letters += sum(map(len, words))
         for word, tokens, right in zip(words, proposals, good.tolist()):
             self.words[word] = tuple(tokens) if right else tuple(self.merged(word.encode()))
 
@@ -235,13 +239,14 @@ class Codec:
 
     def _encode(self, texts: list[str]) -> Iterator[list[int]]:
         cut = [self.pieces(text) for text in texts]
-        if len(self.words) > REMEMBERED:
-            self.words, self.older = {}, self.words
+        if len(self.words) > REMEMBERED or self.letters > REMEMBERED_LETTERS:
+            self.words, self.older, self.letters = {}, self.words, 0
         for name, i in self.special.items():
             self.words[name] = (i,)
         new = set().union(*cut).difference(self.words)
         for word in new & self.older.keys():
             self.words[word] = self.older[word]
+            self.letters += len(word)
         new.difference_update(self.words)
         if new:
             self.learn(list(new))

@@ -54,10 +54,10 @@ def sets_of(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.
 def signature(values: np.ndarray, edge: np.ndarray, evaluations: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each set: min and max of the first ``evaluations`` hash functions, and one bit of min and max of all ``wide`` ones.
 
-    The empty set has zeros.
+    The empty set has zeros. The bits are packed into 64-bit words from the start.
     """
     n = len(edge) - 1
-    out, bits = np.zeros((n, 2 * evaluations), np.uint64), np.zeros((n, 2 * wide), np.uint8)
+    out, bits = np.zeros((n, 2 * evaluations), np.uint64), np.zeros((n, 2 * wide // 64), np.uint64)
     some = np.flatnonzero(np.diff(edge))
     if not len(some):
         return out, bits
@@ -71,7 +71,8 @@ def signature(values: np.ndarray, edge: np.ndarray, evaluations: int, wide: int)
             found = kind.reduceat(hashed, at)
             if k < evaluations:
                 out[some, 2 * k + side] = found
-            bits[some, 2 * k + side] = blocks.mix(found) & np.uint64(1)
+            word, place = divmod(2 * k + side, 64)
+            bits[some, word] |= (blocks.mix(found) & np.uint64(1)) << np.uint64(place)
     return out, bits
 
 
@@ -87,8 +88,8 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 
 def _bit_words(bits: np.ndarray) -> pa.Array:
-    """Rows of bits as lists of 64-bit words."""
-    words = np.packbits(bits, axis=1).view(np.int64)
+    """Rows of 64-bit words as lists."""
+    words = bits.view(np.int64)
     return pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.reshape(-1)))
 
 
