@@ -3,7 +3,9 @@
 Toxicity (documents that it rejects go), exact dedup (of equal texts the smallest id stays), near-dedup (one document of each
 component stays), mixing to target weights (a budget of 80 percent of the tokens; at most one epoch, so no document is repeated),
 BPE encoding and decoding (the encoded corpus, one row per document). Inputs may have nulls in any column; a document with a null
-id is never a duplicate of another, but for equal texts with an id. An empty table stays empty.
+id is never a near-duplicate of another. Rows that repeat id and text are copies, of which one stays; ties among copies go to the
+smallest id, in the mixing to a hash of it. Texts of any length are taken whole. Other columns, whatever their names, are carried
+along to the last stage. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import functions as F
 from feedloom.llm import bpe, exact_dedup, mixing, near_dedup, queries, toxicity
 from feedloom.llm.shared import stored
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIX_PERCENT = 80
 
 
