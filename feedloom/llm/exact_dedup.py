@@ -255,8 +255,10 @@ def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = stored(digests(rows, doc, text), "digests")
     copies = build_index(found, shard_count(found.count())).filter("group_size > 1").select(F.col("digest").alias("copy_of"), "keep_id")
     marked = rows.withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)), 256))).join(copies, F.col("digest") == F.col("copy_of"), "left")
-    single = marked.filter("copy_of is null").select(names)
+    stays = F.col("copy_of").isNull() | F.col(doc).eqNullSafe(F.col("keep_id"))
+    # Written, as both parts below read it: texts are hashed and joined once.
+    left = stored(marked.filter(stays).select(*names, "copy_of"), "left")
+    single = left.filter("copy_of is null").select(names)
     # What is left of a group are the rows of one id; they are combined in the map tasks already.
-    group = marked.filter("copy_of is not null").filter(F.col(doc).eqNullSafe(F.col("keep_id")))
-    first = group.groupBy("digest").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
+    first = left.filter("copy_of is not null").groupBy("copy_of").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
     return single.unionByName(first).select(*(F.col(n).alias(c) for c, n in zip(own, names)))
