@@ -172,7 +172,7 @@ GLOSSARY = [
 STOPPING = {
     "cast": "cast(policy_number AS int) > 5",
     "position": "element_at(array(1, 2), if(record_id % 1000 = 1, 3, 1)) = 9",
-    "overflow": "record_id % 1000 + 9223372036854774810 < 0",
+    "overflow": "record_id % 1000 + 9223372036854774817 < 0",
     "raised": "if(record_id % 1000 = 2, raise_error('two'), false)",
     "shared_a": "10 / (claims_reported_count - 1) > 100",
     "shared_b": "10 / (claims_reported_count - 1) > 200",
