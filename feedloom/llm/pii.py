@@ -52,6 +52,8 @@ CONTEXT = {
 }
 LABELERS = ("shape", "gazetteer", "context", "edges", "make-up")
 STEPS = 25
+#: Code points of the pieces in which the characters around a span are looked up.
+PIECE = 1024
 
 
 def _hits(text: Column, pattern: str) -> Column:
@@ -64,15 +66,51 @@ def _hits(text: Column, pattern: str) -> Column:
     )
 
 
+def _sums(lengths: Column) -> Column:
+    """What stands before each of the lengths, and at last the total.
+
+    Arrays grow by copying, so sums run in pieces of about the square root of the number, then over the pieces.
+    """
+    piece = F.ceil(F.sqrt(F.size(lengths).cast("double"))).cast("int")
+
+    def within(part: Column) -> Column:
+        # Each entry's sum before it; the last is the total of the piece.
+        return F.aggregate(part, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+    def joined(parts: Column) -> Column:
+        before = F.aggregate(parts, F.array(F.lit(0)), lambda done, p: F.concat(done, F.array(F.element_at(done, -1) + F.element_at(p, -1))))
+        # One evaluation of the sums over pieces serves all of them.
+        return F.flatten(
+            F.transform(
+                F.array(before),
+                lambda at: F.concat(
+                    F.flatten(F.transform(parts, lambda p, k: F.transform(F.slice(p, 1, F.size(p) - 1), lambda x: x + F.get(at, k)))),
+                    F.array(F.element_at(at, -1)),
+                ),
+            )
+        )
+
+    def of(all_: Column, size: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / size).cast("int")), lambda k: within(F.slice(all_, k * size + 1, size)))
+        return F.flatten(F.transform(F.array(pieces), joined))
+
+    bound = F.flatten(F.transform(F.array(F.struct(lengths.alias("all"), piece.alias("size"))), lambda v: of(v["all"], v["size"])))
+    return F.when(F.size(lengths) > 0, bound).otherwise(F.array(F.lit(0)))
+
+
 def _offsets(hits: Column) -> Column:
     """From the gaps and matches to (start, end, hit); the last entry, the gap behind the last match, goes."""
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        end = start + F.char_length(x["hit"])
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit")))).alias("spans"))
+    found = F.filter(hits, lambda x: x["hit"].isNotNull())
+
+    def of(v: Column) -> Column:
+        def span(x: Column, k: Column) -> Column:
+            start = F.get(v["sums"], k) + x["gap"]
+            return F.struct(start.alias("start"), (start + F.char_length(x["hit"])).alias("end"), x["hit"].alias("hit"))
+
+        return F.transform(v["found"], span)
 
-    none = F.expr("cast(array() as array<struct<start: int, end: int, hit: string>>)")
-    return F.aggregate(F.filter(hits, lambda x: x["hit"].isNotNull()), F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda done: done["spans"])
+    sums = _sums(F.transform(found, lambda x: x["gap"] + F.char_length(x["hit"])))
+    return F.flatten(F.transform(F.array(F.struct(found.alias("found"), sums.alias("sums"))), of))
 
 
 def _digits(hit: Column) -> Column:
@@ -176,11 +214,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     wide = "|".join(f"(?:{p})" for p in WIDER.values())
     may = F.col("text").rlike(r"[0-9]{3}-|\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\b|AKIA|password|passwd|token|secret|api_key")
     found = found.withColumn("hits_more", F.when(may, _hits(F.col("text"), wide)).otherwise(empty))
-    spans = found.select("doc_id", "text", *(_offsets(F.col(f"hits_{k}")).alias(k) for k in [*BASE, "more"]))
+    hit_somewhere = F.greatest(*(F.size(f"hits_{k}") for k in [*BASE, "more"])) > 0
+    pieces = F.when(hit_somewhere, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+    spans = found.select("doc_id", pieces.alias("pieces"), *(_offsets(F.col(f"hits_{k}")).alias(k) for k in [*BASE, "more"]))
+
+    def cut(start: Column, size: Column) -> Column:
+        """``size`` code points (40 at most) from ``start`` on; places in a long text are only found from its begin, those in a piece at once."""
+        at = F.floor(start / PIECE).cast("int")
+        two = F.concat(F.coalesce(F.get("pieces", at), F.lit("")), F.coalesce(F.get("pieces", at + 1), F.lit("")))
+        return F.substring(two, start - at * PIECE + 1, size)
+
+    def placed(x: Column) -> Column:
+        return x.withField("before", cut(F.greatest(x["start"] - 40, F.lit(0)), F.least(x["start"], F.lit(40)))).withField("right", cut(x["end"], F.lit(1)))
 
     def described(x: Column, kind: Column) -> Column:
-        before = F.substring(F.col("text"), F.greatest(x["start"] - 39, F.lit(1)), F.least(x["start"], F.lit(40)))
-        left, right = F.right(before, F.lit(1)), F.substring(F.col("text"), x["end"] + 1, F.lit(1))
+        before, left, right = x["before"], F.right(x["before"], F.lit(1)), x["right"]
         return F.struct(
             kind.alias("kind"),
             x["start"].alias("start"),
@@ -190,14 +238,14 @@ def candidates(docs: DataFrame) -> DataFrame:
         )
 
     def of_kind(k: str) -> Column:
-        return F.transform(F.filter(F.col(k), lambda x: _valid(k, x["hit"])), lambda x: described(x, F.lit(k)))
+        return F.transform(F.transform(F.filter(F.col(k), lambda x: _valid(k, x["hit"])), placed), lambda x: described(x, F.lit(k)))
 
     def wider_kind(hit: Column) -> Column:
         named = hit.rlike(r"^(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? ")
         numbers = F.when(hit.rlike(r"^[0-9]{3}-[0-9]{2}-"), "national_id").when(hit.rlike(r"^\(?[0-9]"), "local_phone")
         return numbers.when(named, "name").otherwise("secret")
 
-    more = F.transform("more", lambda x: described(x, wider_kind(x["hit"])))
+    more = F.transform(F.transform("more", placed), lambda x: described(x, wider_kind(x["hit"])))
     return spans.select("doc_id", F.concat(*map(of_kind, BASE)).alias("base"), more.alias("more"))
 
 
@@ -237,7 +285,7 @@ def reliabilities(patterns: DataFrame) -> DataFrame:
 
 
 def pii(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_more."""
+    """Per row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_more, n_spans (all of them)."""
     work = stored(candidates(picked(docs, doc_id=id_col, text=text_col)), "pii-candidates")
     each = work.select(F.explode(F.concat("base", "more")).alias("c")).select("c.votes", "c.features")
     patterns = stored(each.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "pii-patterns")
@@ -286,4 +334,5 @@ def pii(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: s
         F.sha2(text([*BASE]).cast("binary"), 256).alias("base_sha256"),
         text(KINDS).alias("spans"),
         F.size("more").cast("long").alias("n_more"),
+        (F.size("base") + F.size("more")).cast("long").alias("n_spans"),
     )

@@ -5,14 +5,17 @@ Grades 0 (clean) to 3 (severe) are ordered; one weight vector over sparse text f
 
 Features are the different words of a text (letters and digits, A-Z lower-cased) and their first 4, 5 and 6 bytes, as 64-bit
 hashes. Those in significantly more toxic than clean labelled texts, or the other way round, are kept (z of the log odds, at
-most ``FEATURES``); the counts behind this cover all labelled documents. Labels say toxic or not; the grade of a toxic text is
+most ``most`` of them; the model says how many more there were); the counts behind this cover all labelled documents. Texts are
+counted where they are read: two bit tables over places of the ids say who is toxic and who is clean, and only rows whose place
+holds ids of different labels, or of none, go through a join. Labels say toxic or not; the grade of a toxic text is
 the third of the toxic texts that the sum of its toxic features' z falls into. The regression is fitted on a bounded sample:
 ``sample`` labelled documents, the smallest by a hash of the id, one row of each. All documents are scored. A text without any kept feature gets
 the base rate.
 
 Labels: one document with several labels is toxic if one of them says so; null labels and labels of unknown documents don't
 count. Without labels of both kinds nothing is toxic (severity 0). Null text is empty; ids may be null or repeated, each row is
-scored alone. Ties at the features' limit go by hash. An empty table gives no rows.
+scored alone. Long texts are taken whole, each a run of its own. Other columns play no part, whatever their names. Ties at the
+features' limit go by hash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,20 +26,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
 from .shared import picked, stored
 
-#: Features of the model at most.
+#: Features of the model at most, unless ``fit`` is told otherwise.
 FEATURES = 4096
 #: Least z of a feature's log odds.
 LEAST_Z = 3.0
 #: Labelled documents that the regression is fitted on at most.
 SAMPLE = 20_000
 GRADES = 3
-#: Places of the bit table of labelled ids; what is broadcast of it are at most ``SLOTS / 8`` bytes.
+#: Places of the two bit tables of labelled ids; what is broadcast of each are at most ``SLOTS / 8`` bytes.
 SLOTS = 1 << 27
 PREFIXES = (4, 5, 6)
 
@@ -94,6 +97,8 @@ class Model:
     thetas: np.ndarray | None
     #: The severity from which on a text counts as toxic: the one with the least errors on the sample, false alarms counted twice.
     least: float = 0.5
+    #: Significant features beyond the limit, which the model does not have.
+    dropped: int = 0
 
     def probabilities(self, scores: np.ndarray) -> np.ndarray:
         if self.thetas is None:
@@ -132,14 +137,15 @@ def regression(rows: np.ndarray, numbers: np.ndarray, grades: np.ndarray, n: int
     return w, first[0] + np.concatenate([[0], np.cumsum(np.exp(gaps))])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """The model of labelled documents. What reaches the driver: FEATURES rows of counts, and ``sample`` rows of known features."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = FEATURES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """The model of labelled documents. What reaches the driver: ``most`` rows of counts, and ``sample`` rows of known features."""
     marks = picked(labels, id=id_col, toxic=label_col).filter("id is not null and toxic is not null")
     marks = marks.groupBy("id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     source = picked(docs, id=id_col, text=text_col)
-    # Without the labels of absent documents; the ids are of the documents' own type.
-    marks = stored(source.select("id").distinct().join(marks, "id"), "toxic-marks")
-    rows = _maybe_in(source, marks).join(marks, "id").select("id", "text", "toxic")
+    # All ids of documents, in the documents' own type; labels of absent documents fall out.
+    ids = stored(source.select("id").filter("id is not null").distinct().join(marks, "id", "left"), "toxic-ids")
+    marks = ids.filter("toxic is not null")
+    rows = _labelled(source, ids)
     counts = rows.mapInArrow(_counts, "key long, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # The key 0 counts the texts themselves.
     counts = stored(counts.filter("key = 0 or toxic + clean > 2"), "toxic-counts")
@@ -150,7 +156,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     odds = f"ln((toxic + 0.5D) / ({t} - toxic + 0.5D)) - ln((clean + 0.5D) / ({c} - clean + 0.5D))"
     error = f"sqrt(1 / (toxic + 0.5D) + 1 / ({t} - toxic + 0.5D) + 1 / (clean + 0.5D) + 1 / ({c} - clean + 0.5D))"
     scored = counts.filter("key <> 0 and toxic + clean > 2").selectExpr("key", f"({odds}) / {error} AS z").filter(f"abs(z) >= {LEAST_Z}")
-    best = scored.orderBy(F.abs("z").desc(), "key").limit(FEATURES).collect()
+    best = scored.orderBy(F.abs("z").desc(), "key").limit(most).collect()
+    dropped = scored.count() - len(best)
     keys = np.array([r["key"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, z = keys[order], np.array([r["z"] for r in best])[order]
@@ -164,12 +171,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     row = np.repeat(np.arange(len(picked_rows)), [len(r["found"]) for r in picked_rows])
     number = np.array([x for r in picked_rows for x in r["found"]], np.int64)
     if not len(keys) or not toxic.any() or toxic.all():
-        return Model(keys, np.zeros(len(keys)), None)
+        return Model(keys, np.zeros(len(keys)), None, dropped=dropped)
     strength = np.bincount(row, np.maximum(z, 0)[number], len(toxic))
     cuts = np.quantile(strength[toxic == 1], [k / GRADES for k in range(1, GRADES)])
     grades = np.where(toxic == 1, 1 + np.searchsorted(cuts, strength, "right"), 0)
     weights, thetas = regression(row, number, np.minimum(grades, GRADES), len(keys))
-    model = Model(keys, weights, thetas)
+    model = Model(keys, weights, thetas, dropped=dropped)
     severity = model.probabilities(np.bincount(row, weights[number], len(toxic))).sum(1)
     values = np.unique(severity)
     cuts = (values[1:] + values[:-1]) / 2
@@ -181,17 +188,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     return model
 
 
-def _maybe_in(source: DataFrame, marks: DataFrame) -> DataFrame:
-    """The rows whose id is in ``marks``, and few others: those that share a place of the bit table with such an id.
+def _labelled(source: DataFrame, ids: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Rows (id, text, toxic) of the labelled documents; ``ids`` are (id, toxic) of all documents, toxic null without a label.
 
-    So only labelled texts are shuffled, but for about one in ``SLOTS / labels``.
+    Ids meet in ``slots`` places by hash. Where all ids of a place have one label, the place alone tells it, and no text is moved.
+    The rows of the other places are joined with their labels: about one in ``slots / ids`` while there are fewer ids than places,
+    up to all labelled texts, once, when there are far more.
     """
-    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
-    part, place = F.bitmap_bucket_number(slot).alias("part"), F.bitmap_bit_position(slot).alias("place")
-    bits = marks.select(part, place).groupBy("part").agg(F.bitmap_construct_agg("place").alias("bits"))
-    # Byte ``place div 8`` holds the place in its bit ``place % 8``.
-    is_set = F.expr("getbit(cast(conv(hex(substring(bits, cast(place div 8 as int) + 1, 1)), 16, 10) as int), cast(place % 8 as int)) = 1")
-    return source.select("*", part, place).join(F.broadcast(bits), "part").filter(is_set).select(source.columns)
+    slot = F.pmod(F.xxhash64("id"), F.lit(slots))
+    # 2: an id without a label. Places of such ids only are of no interest.
+    places = ids.select(slot.alias("slot"), F.coalesce("toxic", F.lit(2)).alias("toxic")).groupBy("slot").agg(F.min("toxic").alias("least"), F.max("toxic").alias("most")).filter("least < 2")
+    part, place = F.bitmap_bucket_number("slot").alias("part"), F.bitmap_bit_position("slot").alias("place")
+    bits = places.select(part, place, "least", "most").groupBy("part").agg(
+        F.expr("bitmap_construct_agg(place) FILTER (WHERE most > 0)").alias("toxics"),
+        F.expr("bitmap_construct_agg(place) FILTER (WHERE least = 0 OR most = 2)").alias("cleans"),
+    )
+
+    def is_set(bits: str) -> Column:
+        # Byte ``place div 8`` holds the place in its bit ``place % 8``.
+        return F.expr(f"getbit(cast(conv(hex(substring({bits}, cast(place div 8 as int) + 1, 1)), 16, 10) as int), cast(place % 8 as int)) = 1")
+
+    rows = source.withColumn("slot", slot).select("id", "text", part, place).join(F.broadcast(bits), "part")
+    rows = rows.select("id", "text", is_set("toxics").alias("is_toxic"), is_set("cleans").alias("is_clean"))
+    told = rows.filter("is_toxic <> is_clean").select("id", "text", F.col("is_toxic").cast("int").alias("toxic"))
+    asked = rows.filter("is_toxic and is_clean").select("id", "text").join(ids.filter("toxic is not null"), "id")
+    return told.unionByName(asked.select("id", "text", "toxic"))
 
 
 def _found(rows: DataFrame, finder: Finder) -> DataFrame:

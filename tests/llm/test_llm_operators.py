@@ -184,6 +184,13 @@ def test_pii_base_equals_brute_force_and_wider_spans_are_added(spark):
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pii_of_a_text_with_very_many_hits(spark):
+    text = "a.b@c.de 1.2.3.4 " * 20_000
+    (row,) = pii.pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert (row["n_email"], row["n_ip"], row["n_spans"]) == (20_000, 20_000, 40_000)
+    assert row["base_sha256"] == hashlib.sha256(base_spans(text).encode()).hexdigest()
+
+
 # 3
 
 
@@ -288,11 +295,20 @@ def test_toxic_features_are_counted_on_all_labelled_documents(labelled):
         assert a + b > 2 and abs(odds) >= 3 * math.sqrt(1 / (a + 0.5) + 1 / (t - a + 0.5) + 1 / (b + 0.5) + 1 / (c - b + 0.5))
 
 
-def test_only_texts_that_may_be_labelled_go_to_the_join(spark):
-    docs = spark.range(5000).select(F.col("id"), F.lit("a").alias("text")).unionByName(spark.createDataFrame([(None, "b")], "id long, text string"))
-    marks = spark.range(0, 5000, 7).select("id", F.lit(1).alias("toxic"))
-    got = {r["id"] for r in toxicity._maybe_in(docs, marks).collect()}
-    assert got >= set(range(0, 5000, 7)) and len(got) < 5000 / 7 + 20
+@pytest.mark.parametrize("slots", [toxicity.SLOTS, 5000, 64, 1])
+def test_labels_from_bit_tables_equal_the_join(spark, slots):
+    docs = spark.range(5000).select(F.col("id"), F.lit("a").alias("text")).unionByName(spark.createDataFrame([(None, "b"), (7, "c"), (7, "c"), (8, "d")], "id long, text string"))
+    ids = docs.select("id").dropna().distinct().selectExpr("id", "CASE WHEN id % 7 = 0 THEN 1 WHEN id % 3 = 0 THEN 0 END AS toxic")
+    expected = docs.join(ids.dropna(), "id").select("id", "text", "toxic")
+    assert by_id(toxicity._labelled(docs, ids, slots)) == by_id(expected)
+    assert by_id(toxicity._labelled(docs, ids.filter("id < 0"), slots)) == []
+
+
+def test_features_beyond_the_limit_are_reported(labelled):
+    docs, marks = labelled
+    whole = toxicity.fit(docs, marks)
+    few = toxicity.fit(docs, marks, most=3)
+    assert whole.dropped == 0 and len(few.keys) == 3 and few.dropped == len(whole.keys) - 3
 
 
 def test_toxic_sample_is_of_present_documents_and_one_row_of_each(spark, labelled):
