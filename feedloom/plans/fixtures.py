@@ -99,6 +99,16 @@ _LOCAL_TYPES = [
     for _, t, _ in M.FEEDS[code]
 ]
 
+def _quoted(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
+
+
+_FEED_COLUMNS = ", ".join(
+    f"({n}, {_quoted(name)}, {_quoted('_'.join(t[:3] for t in name.split('_')).upper())}, {_quoted(kind.lower())}, {_quoted(target)})"
+    for n, feed in enumerate((M.FEED_ES, M.FEED_IT))
+    for name, kind, target in feed
+)
+
 SQL: dict[str, str] = {
     "feed_es": _feed("ES"),
     "feed_it": _feed("IT"),
@@ -318,6 +328,21 @@ SQL: dict[str, str] = {
         SELECT 'user' || c_custkey AS user, CASE c_custkey % 10 WHEN 0 THEN 'admins'
             WHEN 1 THEN 'stewards_es' WHEN 2 THEN 'stewards_it' ELSE 'stewards_' || lower(c_mktsegment) END AS "group"
         FROM {customer}""",
+    # The columns of a feed for every customer, named in one of four styles: as they are, without vowels, three letters
+    # of each token, or between a prefix and the nation's number.
+    "styled_columns": f"""
+        SELECT 'SYS_' || c_custkey AS source_system,
+          CASE c_custkey % 8 WHEN 0 THEN 'plain' WHEN 1 THEN 'plain' WHEN 2 THEN 'no vowels' WHEN 3 THEN 'no vowels'
+            WHEN 4 THEN 'three letters' WHEN 5 THEN 'three letters' ELSE 'wrapped' END AS style,
+          CASE c_custkey % 8 WHEN 0 THEN full_name WHEN 1 THEN full_name
+            WHEN 2 THEN upper(substr(full_name, 1, 1) || translate(substr(full_name, 2), 'aeiou', ''))
+            WHEN 3 THEN upper(substr(full_name, 1, 1) || translate(substr(full_name, 2), 'aeiou', ''))
+            WHEN 4 THEN short_name WHEN 5 THEN short_name ELSE 'dw_' || full_name || '_n' || c_nationkey END AS local_column_name,
+          kind AS local_data_type, target AS global_column_name,
+          CASE kind WHEN 'string' THEN c_mktsegment WHEN 'double' THEN c_custkey || '.5' WHEN 'timestamp' THEN '2024-01-31 10:00:00'
+            ELSE CAST(c_custkey AS VARCHAR(20)) END AS sample_value
+        FROM {{customer}} JOIN (VALUES {_FEED_COLUMNS}) AS v(language, full_name, short_name, kind, target)
+          ON language = c_custkey % 2""",
 }
 
 
@@ -339,4 +364,4 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ansi(name: str) -> str:
     """The same input as SQL over the plain table names."""
-    return SQL[name].format(**{t: t for t in tables_of(SQL[name])})
+    return SQL[name].format(**{t: t for t in tables_of(SQL[name])})
\ No newline at end of file

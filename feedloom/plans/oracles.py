@@ -1060,3 +1060,56 @@ oracle(
 oracle(
     "control_table_schema", "candidates", "SELECT candidate_id, source_system, review_status, mandatory_flag FROM candidates"
 )
+
+
+def _learned(asked: str, known: str) -> str:
+    """CTEs up to ``best``: (out, name, family, shape, proposed, score); ``known`` says which columns teach which index."""
+    begun = "SELECT name, substr('^' || t, i, {n}) AS f FROM tokens, range(1, 80) r(i) WHERE i <= length(t) + 2 - {n}"
+    return f"""
+    col AS (SELECT style, local_column_name AS name, COALESCE(global_column_name, 'NO_MATCH') AS target,
+        CASE WHEN local_data_type IN ('int', 'bigint') THEN 'integer' WHEN local_data_type = 'double' THEN 'floating'
+          WHEN local_data_type = 'timestamp' THEN 'time' ELSE 'string' END AS family,
+        '#' || regexp_replace(regexp_replace(sample_value, '[\\p{{L}}]+', 'a', 'g'), '[0-9]+', '9', 'g') AS shape,
+        source_system FROM styled_columns),
+    tokens AS (SELECT DISTINCT name, unnest(string_split(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '_')) AS t
+      FROM (SELECT DISTINCT name FROM col)),
+    bare AS (SELECT name, '^' || substr(t, 1, 1) || translate(substr(t, 2), 'aeiou', '') AS b FROM tokens),
+    pieces AS ({begun.format(n=2)} UNION {begun.format(n=3)}
+      UNION SELECT name, '~' || substr(b, i, 2) FROM bare, range(1, 80) r(i) WHERE i < length(b)),
+    kinds AS (SELECT DISTINCT name, shape FROM col),
+    ft AS MATERIALIZED (SELECT name, shape, f FROM kinds JOIN pieces USING (name) UNION ALL SELECT name, shape, shape FROM kinds),
+    asked AS (SELECT DISTINCT {asked}),
+    kn AS MATERIALIZED (SELECT DISTINCT {known}),
+    sz AS (SELECT out, target, COUNT(*) AS n FROM kn GROUP BY ALL),
+    fam AS (SELECT out, target, family, COUNT(*) AS same FROM kn GROUP BY ALL),
+    ct AS (SELECT out, f, target, COUNT(*) AS c FROM kn JOIN ft USING (name, shape) GROUP BY ALL),
+    rare AS (SELECT out, f, ln(1 + total / COUNT(*)) AS idf
+      FROM ct JOIN (SELECT out, COUNT(*) AS total FROM sz GROUP BY ALL) USING (out) GROUP BY out, f, total),
+    ix AS MATERIALIZED (SELECT out, f, target, idf, idf * c / n AS w FROM ct JOIN rare USING (out, f) JOIN sz USING (out, target)),
+    lengths AS (SELECT out, target, sqrt(SUM(w * w)) AS length FROM ix GROUP BY ALL),
+    own AS (SELECT out, name, shape, sqrt(SUM(idf * idf)) AS own,
+        COUNT(idf) / COUNT(*) AS share FROM (SELECT DISTINCT out, name, shape FROM asked) JOIN ft USING (name, shape)
+        LEFT JOIN rare USING (out, f) GROUP BY ALL),
+    dots AS (SELECT out, name, family, shape, target, SUM(idf * w) AS dot FROM asked JOIN ft USING (name, shape)
+      JOIN ix USING (out, f) GROUP BY ALL),
+    best AS (SELECT out, name, family, shape, target AS proposed,
+        ROUND(dot / (length * own) * share * ((COALESCE(same, 0) + 0.5) / (n + 1)), 6) AS score
+      FROM dots JOIN lengths USING (out, target) JOIN own USING (out, name, shape) JOIN sz USING (out, target)
+      LEFT JOIN fam USING (out, target, family)
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY out, name, family, shape ORDER BY score DESC, target) = 1)"""
+
+
+ORACLES["unseen_names"] = f"""WITH {_with(["styled_columns"])}, {_learned(
+    "style AS out, name, family, shape FROM col",
+    "o.style AS out, c.target, c.name, c.family, c.shape FROM col c JOIN (SELECT DISTINCT style FROM col) o ON o.style <> c.style",
+)}
+SELECT style, COUNT(*) AS n_columns, CAST(SUM(CASE WHEN COALESCE(proposed, 'NO_MATCH') = target THEN 1 ELSE 0 END) AS BIGINT) AS n_right,
+  ROUND(SUM(CASE WHEN COALESCE(proposed, 'NO_MATCH') = target THEN 1 ELSE 0 END) / COUNT(*), 4) AS accuracy
+FROM col LEFT JOIN best ON out = style AND best.name = col.name AND best.family = col.family AND best.shape = col.shape GROUP BY style"""
+ORACLES["learned_mappings"] = f"""WITH {_with(["styled_columns"])}, {_learned(
+    "1 AS out, name, family, shape FROM col WHERE style IN ('no vowels', 'three letters')",
+    "1 AS out, target, name, family, shape FROM col WHERE style = 'plain'",
+)}
+SELECT source_system, col.name AS local_column_name, COALESCE(proposed, 'NO_MATCH') AS proposed, COALESCE(score, 0.0) AS score
+FROM col LEFT JOIN best ON best.name = col.name AND best.family = col.family AND best.shape = col.shape
+WHERE style IN ('no vowels', 'three letters')"""

@@ -13,7 +13,7 @@ from ..functions.scratch import scratch_dir
 from ..operators import dictionary as D
 from ..operators import evaluate as E
 from ..operators import gate as G
-from ..operators import match, merge, ops, profile, quality, review, security, summaries, values
+from ..operators import learned, match, merge, ops, profile, quality, review, security, summaries, values
 from ..operators.expectations import expect_rows, expectation_metrics
 from ..operators.harmonize import harmonize, mapping_report, project, resolve_columns
 from ..operators.metrics import PROPERTY_KPIS, last_periods, top_by_measure, total
@@ -406,6 +406,25 @@ def propose_mappings(spark, d):
     )
 
 
+def _styled(spark, d) -> DataFrame:
+    return frame(spark, d, "styled_columns").withColumn("sample_values", F.array("sample_value"))
+
+
+@query
+def unseen_names(spark, d):
+    """Every column of each style matched by what the other styles teach, without a glossary; rows per style."""
+    return learned.held_out_accuracy(_styled(spark, d), "style")
+
+
+@query
+def learned_mappings(spark, d):
+    """The abbreviated columns of all sources matched by the pairs of the sources with plain names."""
+    columns = _styled(spark, d)
+    plain = columns.filter("style = 'plain'")
+    found = learned.learned_matches(columns.filter("style in ('no vowels', 'three letters')"), plain)
+    return found.select("source_system", "local_column_name", "proposed", "score")
+
+
 @query
 def propose_feeds(spark, d):
     """Both feeds from inventory to staged candidates, scored against the answer keys."""
