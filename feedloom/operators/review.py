@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.conditions import holds
+from ..functions.conditions import folded, holds
 from ..schemas import REVIEW_ACTIONS
 
 KEYS = ["source_system", "local_column_name"]
@@ -160,7 +160,7 @@ def decide_from_key(queue: DataFrame, key: DataFrame, reviewer: str, *, label: s
     rated = pending.join(key.select(*KEYS, "expected_global_column_name"), KEYS, "left")
     expected = F.col("expected_global_column_name")
     proposed = F.col("proposed_global_column_name")
-    equal = F.lower(F.coalesce(proposed, F.lit(""))) == F.lower(expected)
+    equal = folded(F.coalesce(proposed, F.lit(""))) == folded(expected)
     action = F.when(expected.isNull(), "REJECT").when(equal, "APPROVE").otherwise("CORRECT")
     decided = rated.withColumn("action", action)
     corrected = F.col("action") == "CORRECT"

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import REVIEW_STATUSES
+from .listing import ordered_listing
+
 
 def _resolved() -> Column:
     return F.col("review_status").isin("APPROVED", "CORRECTED")
@@ -32,6 +34,11 @@ def status_columns(candidates: DataFrame) -> DataFrame:
     )
 
 
+def status_listing(candidates: DataFrame) -> DataFrame:
+    """The lists of :func:`status_columns` as rows (status, flag, position, name, repeats), of any length."""
+    return ordered_listing(candidates, ["review_status", "mandatory_flag"], "local_column_name")
+
+
 def queue_counters(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Total, per status, accepted, and mandatory pending rows in one pass."""
     status = F.col("review_status")

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import folded
 from ..functions.text import outermost_object
 from ..schemas import AUTO_APPROVER, VALUE_MAPPED, VALUE_MAPPING_CANDIDATES, VALUE_MAPPING_DICTIONARY, conform
-
+from .listing import ordered_listing
 
 
 def value_prompt(values: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -17,14 +18,19 @@ def value_prompt(values: DataFrame, allowed: DataFrame) -> DataFrame:
 
     ``values`` is (source_field, raw_value), ``allowed`` (source_field, allowed_value).
     """
-    lists = allowed.groupBy("source_field").agg(
-        F.array_join(F.array_sort(F.collect_set("allowed_value")), ", ").alias("_allowed")
-    )
     asked = values.groupBy("source_field").agg(
         F.array_join(F.array_sort(F.collect_set("raw_value")), ", ").alias("_local")
     )
+    return _prompted(asked, allowed)
+
+
+def _prompted(asked: DataFrame, allowed: DataFrame) -> DataFrame:
+    """The columns of ``asked`` with its texts of local values put into prompts."""
+    lists = allowed.groupBy("source_field").agg(
+        F.array_join(F.array_sort(F.collect_set("allowed_value")), ", ").alias("_allowed")
+    )
     return asked.join(lists, "source_field").select(
-        "source_field",
+        *[c for c in asked.columns if c != "_local"],
         F.concat(
             F.lit("Give one allowed value for every local value of '"),
             "source_field",
@@ -37,6 +43,19 @@ def value_prompt(values: DataFrame, allowed: DataFrame) -> DataFrame:
     )
 
 
+def value_prompts(values: DataFrame, allowed: DataFrame, size: int = 200) -> DataFrame:
+    """Prompts of at most ``size`` local values each, numbered from 1 per field, as :func:`value_prompt` in order.
+
+    Values get their places by :func:`listing.ordered_listing`, so neither a task nor a
+    prompt grows with the values of a field.
+    """
+    listed = ordered_listing(values.select("source_field", "raw_value").distinct(), ["source_field"], "raw_value")
+    part = F.floor((F.col("position") - 1) / size).cast("bigint")
+    numbered = listed.select(F.struct("source_field", (part + 1).alias("part")).alias("_f"), "raw_value")
+    asked = numbered.groupBy("_f").agg(F.array_join(F.array_sort(F.collect_list("raw_value")), ", ").alias("_local"))
+    return _prompted(asked.select("_f.*", "_local"), allowed)
+
+
 def parse_value_reply(replies: DataFrame, allowed: DataFrame, reply: str = "reply") -> DataFrame:
     """Replies to rows (..., raw_value, proposed_value, ai_error_status).
 
@@ -76,11 +95,11 @@ def replied_values(values: DataFrame, replies: DataFrame, allowed: DataFrame, re
 
 
 def propose_values(values: DataFrame, allowed: DataFrame, glossary: DataFrame) -> DataFrame:
-    """A code per distinct local value: the equal code after trim and case folding, else the glossary's.
+    """A code per distinct local value: the equal code after trim and full case folding, else the glossary's.
 
     ``glossary`` is (source_field, raw_value, code); a code outside the allow-list is not proposed.
     """
-    fold = lambda c: F.lower(F.trim(c))
+    fold = lambda c: folded(F.trim(c))
     codes = allowed.groupBy("source_field", fold(F.col("allowed_value")).alias("_key")).agg(
         F.min("allowed_value").alias("_same")
     )

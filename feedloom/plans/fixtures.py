@@ -328,6 +328,14 @@ SQL: dict[str, str] = {
         SELECT 'user' || c_custkey AS user, CASE c_custkey % 10 WHEN 0 THEN 'admins'
             WHEN 1 THEN 'stewards_es' WHEN 2 THEN 'stewards_it' ELSE 'stewards_' || lower(c_mktsegment) END AS "group"
         FROM {customer}""",
+    # Pairs of targets that differ in case only, or in more than that.
+    "cased_targets": """
+        SELECT 'SYS_' || o_custkey AS source_system, 'col_' || o_orderkey AS local_column_name,
+          CASE o_orderkey % 6 WHEN 0 THEN 'Stra\u00dfe' WHEN 1 THEN 'k\u0131sa' WHEN 2 THEN '\u03a4\u039f\u03a3'
+            WHEN 3 THEN 'regi\u00f3n' WHEN 4 THEN 'regi\u00f3n' ELSE '\ufb01re' END || o_custkey AS proposed,
+          CASE o_orderkey % 6 WHEN 0 THEN 'STRASSE' WHEN 1 THEN 'kisa' WHEN 2 THEN '\u03c4\u03bf\u03c2'
+            WHEN 3 THEN 'REGI\u00d3N' WHEN 4 THEN 'region' ELSE 'FIRE' END || o_custkey AS expected
+        FROM {orders}""",
     # The columns of a feed for every customer, named in one of four styles: as they are, without vowels, three letters
     # of each token, or between a prefix and the nation's number.
     "styled_columns": f"""

@@ -274,13 +274,15 @@ oracle("expect_metrics", "feed_es_dirty feed_it_dirty", _expectation_oracle())
 
 
 # Quality
-def _dq_oracle() -> str:
+def _dq_oracle(probes: bool = True) -> str:
+    """The checks of both feeds; ``probes`` adds a source without rows, absent columns and rules that break."""
     parts = []
 
     def add(name: str, status: str, metric: str, details: str, source: str = "shared") -> None:
         columns = f"'{name}' AS check_name, {status} AS check_status, CAST({metric} AS DOUBLE) AS metric_value, {details} AS details"
         parts.append(f"SELECT source_system, {columns} FROM {source} GROUP BY source_system")
-        parts.append(f"SELECT 'EMPTY' AS source_system, {columns} FROM {source} WHERE FALSE HAVING COUNT(*) = 0")
+        if probes:
+            parts.append(f"SELECT 'EMPTY' AS source_system, {columns} FROM {source} WHERE FALSE HAVING COUNT(*) = 0")
 
     def rule(name: str, test: str, severity: str, text: str) -> None:
         n = f"COUNT(*) FILTER (WHERE {test})"
@@ -291,19 +293,21 @@ def _dq_oracle() -> str:
         f"SELECT '{M.SYSTEMS[c]}', 'column_mapping_coverage', 'PASSED', 100.0, '14/14 mandatory columns have active dict entries'"
         for c in M.FEEDS
     )
-    parts.append("SELECT 'EMPTY', 'column_mapping_coverage', 'PASSED', 100.0, '0/0 mandatory columns have active dict entries'")
+    if probes:
+        parts.append("SELECT 'EMPTY', 'column_mapping_coverage', 'PASSED', 100.0, '0/0 mandatory columns have active dict entries'")
     for c in M.REQUIRED:
         n = f"COUNT(*) FILTER (WHERE {c} IS NULL)"
         add(f"not_null_{c}", f"CASE WHEN {n} = 0 THEN 'PASSED' ELSE 'FAILED' END", n, f"{n} || ' null {c} values'")
-    add("not_null_absent_column", "'FAILED'", "0", "'target column ''absent_column'' is missing'")
+    if probes:
+        add("not_null_absent_column", "'FAILED'", "0", "'target column ''absent_column'' is missing'")
     for c, values in M.ALLOWED.items():
         listed = ", ".join(f"'{v}'" for v in values)
         rule(f"values_in_allowed_list_{c}", f"{c} NOT IN ({listed})", "WARNING", f"{c} values are in the configured allow-list")
-    add("values_in_allowed_list_absent_category", "'WARNING'", "2", "'column is missing'")
+    if probes:
+        add("values_in_allowed_list_absent_category", "'WARNING'", "2", "'column is missing'")
     for r in M.RULES:
         rule(r.name, r.predicate, r.severity, r.text)
-    add("broken_rule", "'FAILED'", "0", "'predicate failed to evaluate'")
-    for name in ("stopping_rule", *(f"stopping_{x}" for x in M.STOPPING)):
+    for name in ("broken_rule", "stopping_rule", *(f"stopping_{x}" for x in M.STOPPING)) if probes else ():
         add(name, "'FAILED'", "0", "'predicate failed to evaluate'")
     n = "COUNT(*) FILTER (WHERE mapping_status <> 'APPROVED_COLUMN_AND_VALUE_MAPPING')"
     add("column_mapping_version_present", f"CASE WHEN {n} = 0 THEN 'PASSED' ELSE 'WARNING' END", n,
@@ -1113,3 +1117,61 @@ ORACLES["learned_mappings"] = f"""WITH {_with(["styled_columns"])}, {_learned(
 SELECT source_system, col.name AS local_column_name, COALESCE(proposed, 'NO_MATCH') AS proposed, COALESCE(score, 0.0) AS score
 FROM col LEFT JOIN best ON best.name = col.name AND best.family = col.family AND best.shape = col.shape
 WHERE style IN ('no vowels', 'three letters')"""
+
+# Stored parts: the same numbers as from the rows
+for _part, _direct in {
+    "parts_by_source": "kpi_by_source",
+    "parts_all_dimensions": "kpi_all_dimensions",
+    "parts_loss_ratio_last3m": "kpi_loss_ratio_last3m",
+    "parts_top_channel": "kpi_top_channel",
+    "merge_candidates_buckets": "merge_candidates",
+    "sync_decisions_buckets": "sync_decisions",
+    "publish_run": "harmonized_rows",
+}.items():
+    ORACLES[_part] = ORACLES[_direct]
+oracle(
+    "distinct_sketches", "shared",
+    "SELECT source_country, COUNT(*) AS row_count, "
+    + ", ".join(f"COUNT(DISTINCT {c}) AS distinct_{c}, TRUE AS near_{c}" for c in M.REQUIRED)
+    + " FROM shared GROUP BY 1",
+)
+
+# Ordered lists
+oracle(
+    "status_listing", "candidates",
+    """SELECT review_status, mandatory_flag, local_column_name, COUNT(*) AS repeats, CAST(SUM(COUNT(*)) OVER (PARTITION BY
+    review_status, mandatory_flag ORDER BY local_column_name) - COUNT(*) + 1 AS BIGINT) AS position
+    FROM candidates WHERE local_column_name IS NOT NULL GROUP BY 1, 2, 3""",
+)
+oracle(
+    "value_prompts", "delivered allowed",
+    f"""SELECT f.source_field, part, 'Give one allowed value for every local value of ''' || f.source_field
+    || '''. Allowed: ' || (SELECT string_agg(allowed_value, ', ' ORDER BY allowed_value) FROM allowed a
+      WHERE a.source_field = f.source_field) || '. Local: ' || string_agg(raw_value, ', ' ORDER BY raw_value)
+    || '. Answer with one JSON object from local to allowed value, null where none is safe.' AS prompt
+    FROM (SELECT source_field, raw_value, (ROW_NUMBER() OVER (PARTITION BY source_field ORDER BY raw_value) - 1) // 2 + 1 AS part
+      FROM (SELECT DISTINCT source_field, raw_value FROM ({_FOUND}) WHERE source_field <> 'region')) f
+    GROUP BY f.source_field, part""",
+)
+
+# Case folding
+oracle(
+    "folded_scores", "cased_targets",
+    """SELECT source_system, local_column_name, substr(local_column_name, 5)::BIGINT % 6 NOT IN (1, 4) AS correct
+    FROM cased_targets""",
+)
+
+# Flows
+_OLD = ", ".join(f"c.{n}" for n in ("source_system", "local_column_name"))
+ORACLES["propose_run"] = f"""WITH proposed AS ({ORACLES['propose_feeds']}), candidates AS ({ansi('candidates')})
+    SELECT source_system, local_column_name, proposed AS proposed_global_column_name, proposed_match_type, confidence,
+    mandatory_flag, 'PENDING' AS review_status FROM proposed UNION ALL
+    SELECT {_OLD}, c.proposed_global_column_name, c.proposed_match_type, c.confidence, c.mandatory_flag, c.review_status
+    FROM candidates c"""
+oracle(
+    "dictionary_run", "mapping_dictionary key",
+    """SELECT source_system, local_column_name, global_column_name, approved_by, mapping_version, active_flag
+    FROM mapping_dictionary UNION ALL
+    SELECT source_system, local_column_name, expected, 'reader', 'v1', TRUE FROM key WHERE expected IS NOT NULL""",
+)
+oracle("publish_checks", "shared", _dq_oracle(probes=False))

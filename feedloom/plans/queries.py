@@ -14,14 +14,19 @@ from ..operators import dictionary as D
 from ..operators import evaluate as E
 from ..operators import gate as G
 from ..operators import learned, match, merge, ops, profile, quality, review, security, summaries, values
+from ..operators import sketches as K
+from ..operators.buckets import BucketedTable
 from ..operators.expectations import expect_rows, expectation_metrics
 from ..operators.harmonize import harmonize, mapping_report, project, resolve_columns
 from ..operators.metrics import PROPERTY_KPIS, last_periods, top_by_measure, total
+from ..operators.partials import PROPERTY_PARTS, last_stored_periods
 from ..schemas import (
     COLUMN_MAPPING_CANDIDATES,
+    COLUMN_MAPPING_DICTIONARY,
     DATA_QUALITY_RESULTS,
     WORKFLOW_RUN_METRICS,
     conform,
+    empty_table,
     financial_columns,
     struct,
 )
@@ -30,6 +35,7 @@ from ..sources import feeds as S
 from ..sources import keys, sinks
 from ..sources.headers import header_drift as header_drift_of
 from ..streaming.ingest import ingest_feeds, ingested_counts, read_ingested
+from . import flows
 from . import property_model as M
 from .fixtures import frame
 
@@ -1006,3 +1012,197 @@ def control_table_schema(spark, d):
     return conform(frame(spark, d, "candidates"), COLUMN_MAPPING_CANDIDATES).select(
         "candidate_id", "source_system", "review_status", "mandatory_flag"
     )
+
+
+# Stored parts
+
+
+def _stored_parts(spark, d) -> DataFrame:
+    """Parts of both sources with their values as delivered, then the slices of one source after the other replaced."""
+    path = scratch_dir(spark, "parts")
+    PROPERTY_PARTS.refresh(_columns_only(spark, d), path)
+    rows = shared(spark, d)
+    for code in M.FEEDS:
+        PROPERTY_PARTS.refresh(rows.filter(F.col("source_country") == code), path)
+    return PROPERTY_PARTS.read(spark, path, PROPERTY_PARTS.parts(rows).schema)
+
+
+@query
+def parts_by_source(spark, d):
+    view = PROPERTY_PARTS.view()
+    kpi = view.query(_stored_parts(spark, d), ["country"], list(view.measures))
+    return _rounded(_rounded(kpi, "loss_ratio", "expense_ratio", "combined_ratio"), *MONEY, digits=4)
+
+
+@query
+def parts_all_dimensions(spark, d):
+    view = PROPERTY_PARTS.view()
+    measures = ["gross_written_premium", "claims_reported", "loss_ratio"]
+    kpi = view.query(_stored_parts(spark, d), list(view.dimensions), measures, where="country IN ('ES', 'IT')")
+    return _rounded(_rounded(kpi, "loss_ratio"), "gross_written_premium", digits=4)
+
+
+@query
+def parts_loss_ratio_last3m(spark, d):
+    recent = last_stored_periods(_stored_parts(spark, d), 3)
+    return _rounded(PROPERTY_PARTS.view().query(recent, ["country"], ["loss_ratio"]), "loss_ratio")
+
+
+@query
+def parts_top_channel(spark, d):
+    kpi = PROPERTY_PARTS.view().query(_stored_parts(spark, d), ["country", "distribution_channel"], ["combined_ratio"])
+    return _rounded(top_by_measure(kpi, "combined_ratio", ["country"]), "combined_ratio")
+
+
+@query
+def distinct_sketches(spark, d):
+    """Stored sketches per source and year, the slices of one source replaced, their union against the exact counts."""
+    path = scratch_dir(spark, "sketches")
+    by, columns = ["source_country", "reporting_year"], M.REQUIRED
+    rows = shared(spark, d)
+    stale = rows.withColumn("policy_number", F.concat("policy_number", F.lit("-"), F.col("record_id").cast("string")))
+    K.refresh_sketches(stale, path, columns, by)
+    for code in M.FEEDS:
+        K.refresh_sketches(rows.filter(F.col("source_country") == code), path, columns, by)
+    kept = spark.read.schema(K.column_sketches(rows, columns, by).schema).parquet(path)
+    found = K.merged_counts(kept, columns, ["source_country"])
+    exact = profile.required_profile(rows, columns, by=["source_country"]).drop("latest_harmonization")
+    near = [
+        (F.abs(F.col(f"f.distinct_{c}") - F.col(f"e.distinct_{c}")) <= F.ceil(F.col(f"e.distinct_{c}") * K.error_bound()))
+        .alias(f"near_{c}")
+        for c in columns
+    ]
+    return found.alias("f").join(exact.alias("e"), "source_country").select(
+        "source_country", F.col("f.row_count").alias("row_count"), *[F.col(f"e.distinct_{c}") for c in columns], *near
+    )
+
+
+# Tables in buckets
+
+
+@query
+def merge_candidates_buckets(spark, d):
+    """The merge of staged candidates into a table with a folder per hash of source and column."""
+
+    def listed(df):
+        return df.withColumns(
+            {"local_sample_values": F.array("local_data_type"), "reviewed_at": F.lit(None).cast("timestamp")}
+        )
+
+    old = listed(frame(spark, d, "candidates"))
+    table = BucketedTable(scratch_dir(spark, "candidates"), old.schema, ["source_system", "local_column_name"], 64)
+    table.write(old)
+    table.merge(listed(frame(spark, d, "staged_candidates")), merge.merge_candidates)
+    return table.read(spark).withColumn("local_sample_values", F.array_join("local_sample_values", "|")).drop("reviewed_at")
+
+
+@query
+def sync_decisions_buckets(spark, d):
+    """Decisions synced into a table bucketed by the source system."""
+    old = frame(spark, d, "candidates")
+    table = BucketedTable(scratch_dir(spark, "candidates"), old.schema, ["source_system"], 64)
+    table.write(old)
+    table.merge(frame(spark, d, "queue_state"), merge.sync_decisions)
+    return table.read(spark).select("source_system", "local_column_name", "proposed_global_column_name", *merge.DECISION_COLUMNS)
+
+
+# Ordered lists
+
+
+@query
+def status_listing(spark, d):
+    return summaries.status_listing(frame(spark, d, "candidates"))
+
+
+@query
+def value_prompts(spark, d):
+    found = profile.distinct_values(_columns_only(spark, d), M.CATEGORICAL)
+    return values.value_prompts(found, model_categories(M.targets(spark)), 2)
+
+
+# Case folding
+
+
+@query
+def folded_scores(spark, d):
+    """Targets that differ in case only are right, also where the other case of a letter is two letters."""
+    rows = frame(spark, d, "cased_targets")
+    key = rows.select("source_system", "local_column_name", F.col("expected").alias("expected_global_column_name"))
+    proposals = rows.select(
+        "source_system", "local_column_name", F.col("proposed").alias("proposed_global_column_name"),
+        F.lit("HIGH").alias("confidence"), F.lit(None).cast("string").alias("ai_error_status"),
+    )
+    return E.score_proposals(key, proposals).select("source_system", "local_column_name", "correct")
+
+
+# Flows
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _proposed(spark, d) -> DataFrame:
+    """Both feeds proposed, one run each, into the candidates of all other sources."""
+    candidates = conform(frame(spark, d, "candidates"), COLUMN_MAPPING_CANDIDATES)
+    for code in M.FEEDS:
+        candidates = _written(
+            flows.propose(
+                _feed(spark, d, code), M.SYSTEMS[code], f"feed_{code.lower()}", targets=M.targets(spark),
+                glossary=M.glossary(spark), dictionary=empty_table(spark, "column_mapping_dictionary"),
+                candidates=candidates, mandatory=M.MANDATORY[code],
+            ),
+            "proposed",
+        )
+    return candidates
+
+
+def _dictionary(spark, d) -> DataFrame:
+    """Proposals of both feeds, a reviewer with the answer key, the gate, and the dictionary of each feed merged."""
+    candidates = _proposed(spark, d)
+    known = conform(frame(spark, d, "mapping_dictionary"), COLUMN_MAPPING_DICTIONARY)
+    for code in M.FEEDS:
+        system = M.SYSTEMS[code]
+        own = candidates.filter(F.col("source_system") == system)
+        reviewed = review.apply_decisions(own, review.decide_from_key(own, M.answer_key(spark), "reader"))
+        candidates = _written(merge.sync_decisions(candidates, reviewed), "reviewed")
+        known = _written(flows.build_dictionary(candidates, M.mandatory(spark), known, system, VERSION), "dictionary")
+    return known
+
+
+@query
+def propose_run(spark, d):
+    return _proposed(spark, d).select(
+        "source_system", "local_column_name", "proposed_global_column_name", "proposed_match_type", "confidence",
+        "mandatory_flag", "review_status",
+    )
+
+
+@query
+def dictionary_run(spark, d):
+    return _dictionary(spark, d).select(
+        "source_system", "local_column_name", "global_column_name", "approved_by", "mapping_version", "active_flag"
+    )
+
+
+def _published(spark, d) -> flows.Published:
+    return flows.publish(
+        {code: _feed(spark, d, code) for code in M.FEEDS}, M.SYSTEMS, model=M.MODEL, dictionary=_dictionary(spark, d),
+        mandatory=M.mandatory(spark), allowed=model_categories(M.targets(spark)), allow_lists=M.ALLOWED,
+        value_glossary=M.value_glossary(spark), value_dictionary=empty_table(spark, "value_mapping_dictionary"),
+        required=M.REQUIRED, rules=M.RULES, mapping_version=VERSION, run_id="run",
+    )
+
+
+@query
+def publish_run(spark, d):
+    """From the feeds to the shared table, through proposals, review, gate, dictionary and value translation."""
+    return _published(spark, d).rows.drop("harmonization_timestamp")
+
+
+@query
+def publish_checks(spark, d):
+    """The checks of such a run."""
+    return _published(spark, d).checks.select("source_system", "check_name", "check_status", "metric_value", "details")
