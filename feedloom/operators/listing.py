@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import scratch_dir
@@ -53,3 +53,22 @@ def listed_slice(listing: DataFrame, groups: Sequence[str], name: str, first: in
     )
     parts = F.array_sort(F.collect_list(F.struct("position", F.array_repeat(name, F.col("_copies").cast("int")).alias("_names"))))
     return shown.groupBy(*groups).agg(F.flatten(F.transform(parts, lambda p: p["_names"])).alias(f"{name}s"))
+
+
+def numbered_rows(df: DataFrame, order: Sequence[Column], position: str = "position") -> DataFrame:
+    """The rows with their place in a total order, from 1; rows equal in ``order`` take their places in any way.
+
+    The rows are range-partitioned and written once; a range starts after the rows of
+    the ranges before it, so only one count per range meets in one task.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    path = scratch_dir(spark, "numbered")
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).select(
+        "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+    )
+    inside = rows.withColumn("_inside", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return inside.join(starts, "_range").select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + F.col("_inside")).alias(position))

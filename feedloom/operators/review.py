@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import folded, holds
 from ..schemas import REVIEW_ACTIONS
+from .listing import numbered_rows
 
 KEYS = ["source_system", "local_column_name"]
 SEQUENCE_WIDTH = 10_000
@@ -375,8 +376,20 @@ VIEW_ORDERS = {
 
 def in_view_order(df: DataFrame, view: str) -> DataFrame:
     """Sort a listing the way it is shown to reviewers."""
+    return df.orderBy(*_view_order(view))
+
+
+def _view_order(view: str) -> list[Column]:
     spec: Sequence = VIEW_ORDERS[view]
-    return df.orderBy(*[direction(name) for direction, name in zip(spec[::2], spec[1::2])])
+    return [direction(name) for direction, name in zip(spec[::2], spec[1::2])]
+
+
+def with_view_position(df: DataFrame, view: str, ties: Sequence[str] = ("source_system",)) -> DataFrame:
+    """A listing with the place of each row in its order as a column, which stays when the rows are written or joined.
+
+    Rows that the order leaves equal go by ``ties``.
+    """
+    return numbered_rows(df, [*_view_order(view), *[F.asc(c) for c in ties]], "view_position")
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
@@ -438,7 +451,3 @@ def latest_mapping_summary(candidates: DataFrame, dictionary: DataFrame) -> Data
         F.coalesce("_in", F.lit(False)).alias("in_active_dictionary"),
         "mapping_version",
     )
-
-
-
-

@@ -1154,6 +1154,18 @@ oracle(
     GROUP BY f.source_field, part""",
 )
 
+_SHOWN = "mandatory_flag DESC NULLS LAST, confidence DESC NULLS LAST, local_column_name NULLS FIRST, source_system NULLS FIRST"
+oracle(
+    "view_positions", "candidates",
+    f"""SELECT source_system, local_column_name, mandatory_flag, confidence, ROW_NUMBER() OVER (ORDER BY {_SHOWN}) AS view_position
+    FROM candidates WHERE review_status = 'PENDING'""",
+)
+oracle(
+    "preview_rejected", "candidates",
+    """SELECT source_system, local_column_name FROM candidates WHERE review_status = 'REJECTED'
+    ORDER BY local_column_name LIMIT 5""",
+)
+
 # Case folding
 oracle(
     "folded_scores", "cased_targets",

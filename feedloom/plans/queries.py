@@ -1120,6 +1120,21 @@ def value_prompts(spark, d):
     return values.value_prompts(found, model_categories(M.targets(spark)), 2)
 
 
+@query
+def view_positions(spark, d):
+    """The order in which reviewers see the open columns, as a column."""
+    listed = frame(spark, d, "candidates").withColumn("local_sample_values", F.array("local_data_type"))
+    placed = review.with_view_position(review.pending_view(listed), "pending_view")
+    return placed.select("source_system", "local_column_name", "mandatory_flag", "confidence", "view_position")
+
+
+@query
+def preview_rejected(spark, d):
+    """The first five rejected columns in the order of their view."""
+    shown = review.in_view_order(review.rejected_report(frame(spark, d, "candidates")), "rejected_report")
+    return review.preview(shown).select("source_system", "local_column_name")
+
+
 # Case folding
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,14 +58,27 @@ def month_key(year: Column | str, month: Column | str) -> Column:
 
 
 def written_months(spark: SparkSession, path: str) -> list[str]:
-    """Months that already have files under ``path``."""
-    try:
-        files = spark.read.text(path).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return []
-        raise
-    return sorted({m.group(1) for m in (re.search(r"/yyyymm=(\d{6})/", f) for f in files) if m})
+    """Months that already have files under ``path``: the names of its folders, and one entry of each."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(root):
+        return []
+    months = []
+    entries = files.listStatusIterator(root)
+    while entries.hasNext():
+        folder = entries.next().getPath()
+        named = re.fullmatch(r"yyyymm=(\d{6})", folder.getName())
+        if named and _has_file(files.listStatusIterator(folder)):
+            months.append(named.group(1))
+    return sorted(months)
+
+
+def _has_file(entries) -> bool:
+    """TRUE at the first entry that a reader would see."""
+    while entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def write_monthly(df: DataFrame, path: str, year: str, month: str) -> None:

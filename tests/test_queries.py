@@ -13,7 +13,7 @@ WRITERS = {
     "stream_ingest", "rescue_rows", "provenance", "write_monthly", "append_rows", "overwrite_slice", "read_answer_key",
     "log_run", "stream_counts", "header_drift", "distinct_sketches", "merge_candidates_buckets", "sync_decisions_buckets",
     "status_listing", "value_prompts", "propose_run", "dictionary_run", "publish_run", "publish_checks", "parts_by_source",
-    "parts_all_dimensions", "parts_loss_ratio_last3m", "parts_top_channel",
+    "parts_all_dimensions", "parts_loss_ratio_last3m", "parts_top_channel", "view_positions",
 }
 
 

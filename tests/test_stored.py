@@ -140,6 +140,15 @@ def test_positions_of_an_ordered_listing(spark):
     assert listing.ordered_listing(frame(spark, "g string, name string"), ["g"], "name").count() == 0
 
 
+def test_rows_are_numbered_in_their_order(spark):
+    data = [(i * 7919 % 5000, "x" if i % 3 else None) for i in range(5000)]
+    df = frame(spark, "k int, v string", *data).repartition(16)
+    found = listing.numbered_rows(df, [F.desc("v"), F.asc("k")])
+    wanted = sorted(data, key=lambda r: (r[1] is None, r[0]))
+    assert [tuple(r) for r in found.orderBy("position").collect()] == [(*r, i) for i, r in enumerate(wanted, 1)]
+    assert listing.numbered_rows(df.limit(0), [F.asc("k")]).count() == 0
+
+
 def test_prompts_hold_each_value_once(spark):
     local = frame(spark, "source_field string, raw_value string", *[("f", f"v{i:03}") for i in range(25)], ("f", "v001"))
     allowed = frame(spark, "source_field string, allowed_value string", ("f", "x"))
