@@ -7,6 +7,7 @@ table names in braces, so the same rows can be read by both engines.
 from __future__ import annotations
 
 import string
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -362,12 +363,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or a derived input as a DataFrame."""
+def frame(spark: SparkSession, sf_dir: str, name: str, *, spread: Mapping[str, str] = {}) -> DataFrame:
+    """A driver table or a derived input as a DataFrame.
+
+    ``spread`` names tables of few bytes that become many rows, with a column by which they are spread over all tasks first.
+    """
     if name in TABLES:
         return read(spark, sf_dir, name)
     text = SQL[name].replace('"group"', "`group`")
-    return spark.sql(text, **{t: read(spark, sf_dir, t) for t in tables_of(text)})
+    tables = {t: read(spark, sf_dir, t) for t in tables_of(text)}
+    # With a number of their own, as partitions of few bytes would be put together again.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.sql(text, **{t: df.repartition(tasks, spread[t]) if t in spread else df for t, df in tables.items()})
 
 
 def ansi(name: str) -> str:

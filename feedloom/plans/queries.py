@@ -413,7 +413,7 @@ def propose_mappings(spark, d):
 
 
 def _styled(spark, d) -> DataFrame:
-    return frame(spark, d, "styled_columns").withColumn("sample_values", F.array("sample_value"))
+    return frame(spark, d, "styled_columns", spread={"customer": "c_custkey"}).withColumn("sample_values", F.array("sample_value"))
 
 
 @query

@@ -3,6 +3,7 @@
 import pytest
 from helpers import frame, rows
 
+from feedloom.operators import learned
 from feedloom.operators.learned import NO_MATCH, held_out_accuracy, learned_matches, name_features, shape_features
 from feedloom.plans import property_model as M
 
@@ -66,3 +67,16 @@ def test_a_source_in_a_language_that_no_pair_knows(spark, code, other, plain, ba
     short = frame(spark, PAIRS, *((no_vowels(n), kind.lower(), [], t) for n, kind, t in M.FEEDS[code]))
     for columns, least in ((pairs_of(spark, code), plain), (short, bare)):
         assert sum(r["proposed"] == (r["global_column_name"] or NO_MATCH) for r in learned_matches(columns, pairs).collect()) >= least
+
+
+def test_features_are_taken_of_different_names_only(spark, monkeypatch):
+    """Rows that repeat a name, family and set of shapes reach the features as one."""
+    seen = []
+    described = learned._described
+    monkeypatch.setattr(learned, "_described", lambda names: seen.append(names) or described(names))
+    many = spark.range(400).selectExpr("concat('name_', id % 4) AS local_column_name", "'int' AS local_data_type", "array(cast(id AS string)) AS sample_values", "'t' AS global_column_name", "cast(id % 2 AS string) AS g")
+    assert learned_matches(many, many).filter("proposed = 't'").count() == 400
+    assert [(r["n_columns"], r["n_right"]) for r in held_out_accuracy(many, "g").collect()] == [(200, 200)] * 2
+    assert [n.count() for n in seen] == [4, 4, 4, 4]
+    # The features of a row's name are nowhere below a shuffle of rows: the plans read written names.
+    assert all("Range" not in n._jdf.queryExecution().executedPlan().toString() for n in seen)
