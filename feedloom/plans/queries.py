@@ -872,7 +872,7 @@ def read_answer_key(spark, d):
 
 
 def _write_csv(spark, d) -> str:
-    """Both dirty feeds as CSV files per month below one folder, with ``n/a`` for some premiums.
+    """Both dirty feeds as gzipped CSV files per month below one folder, with ``n/a`` for some premiums.
 
     Headers drift: every third month has its columns in reverse, every third one lacks the currency and has a new column in front.
     """
@@ -892,7 +892,7 @@ def _write_csv(spark, d) -> str:
             damaged.filter(turn == 0).select(F.concat(F.lit("n"), F.col(ids)).alias("note"), *[c for c in damaged.columns if c != currency]),
         )
         for shape in shapes:
-            sinks.write_monthly(shape, f"{root}/{code.lower()}", year, month)
+            sinks.write_monthly(shape, f"{root}/{code.lower()}", year, month, compression="gzip")
     return root
 
 

@@ -81,11 +81,12 @@ def _has_file(entries) -> bool:
     return False
 
 
-def write_monthly(df: DataFrame, path: str, year: str, month: str) -> None:
+def write_monthly(df: DataFrame, path: str, year: str, month: str, compression: str = "none") -> None:
     """Write one CSV folder ``yyyymm=YYYYMM`` per month with a header row; months already there are skipped.
 
     Rows are gathered by month with a rebalance, so a month with most of the
-    rows is split over several tasks and files.
+    rows is split over several tasks and files, which also keeps files small
+    enough to be read whole by one task under a ``compression`` that cannot be cut.
     """
     done = written_months(df.sparkSession, path)
     keyed = df.withColumn("yyyymm", month_key(year, month))
@@ -95,5 +96,6 @@ def write_monthly(df: DataFrame, path: str, year: str, month: str) -> None:
         .write.mode("append")
         .partitionBy("yyyymm")
         .option("header", True)
+        .option("compression", compression)
         .csv(path)
     )

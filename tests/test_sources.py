@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from feedloom.operators.expectations import expect_rows, expectation_metrics
 from feedloom.schemas import conform, struct
 from feedloom.sources import feeds, keys, sinks
-from feedloom.sources.headers import header_drift
+from feedloom.sources.headers import feed_files, file_headers, header_drift
 from feedloom.streaming.ingest import ingest_feed, ingest_feeds, ingested_counts, read_dropped, read_ingested
 
 SCHEMA = struct("id bigint, month int, premium double, name string")
@@ -223,3 +223,13 @@ def test_replace_by_key(spark):
 def test_read_answer_key(spark, tmp_path):
     put(tmp_path, "k.json", json.dumps({"source_system": "S", "mappings": {"a": "x", "b": None}}, indent=2))
     assert rows(keys.read_answer_key(spark, str(tmp_path / "k.json"))) == [("S", "a", "x"), ("S", "b", None)]
+
+
+def test_compressed_months_read_back_by_their_headers(spark, tmp_path):
+    schema = "y int, m int, v string"
+    path = str(tmp_path / "landing")
+    sinks.write_monthly(frame(spark, schema, (2025, 1, "a"), (2025, 2, None)), path, "y", "m", compression="gzip")
+    files = feed_files(spark, path)
+    assert len(files) == 2 and all(f.endswith(".csv.gz") for f in files)
+    assert set(map(tuple, file_headers(spark, files).values())) == {("y", "m", "v")}
+    assert rows(feeds.read_feed(spark, path, struct(schema)), "y", "m", "v") == [(2025, 1, "a"), (2025, 2, None)]
