@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.local import local_frame
+from ..functions.scratch import written
 from ..operators import dictionary as D
 from ..operators import gate, quality
 from ..operators.harmonize import harmonize
@@ -83,8 +84,9 @@ def publish(
     """Feeds to the shared table: projection, value translation, checks per source in one pass.
 
     ``feeds`` and ``systems`` are keyed by source code. The value dictionary is
-    merged from proposals for the distinct values; persist it before the result
-    is used more than once.
+    merged from proposals for the distinct values and written, so that the feeds
+    are read for it once, and rows are moved by their few category values only if
+    it is too large to be broadcast.
     """
     by = ["source_system"]
     shared = reduce(
@@ -100,7 +102,7 @@ def publish(
     fields = sorted(allow_lists)
     proposals = propose_values(distinct_values(shared, fields, by), allowed, value_glossary)
     candidates = stage_value_candidates(proposals)
-    merged = merge_value_dictionary(value_dictionary, stage_value_dictionary(candidates, mapping_version))
+    merged = written(merge_value_dictionary(value_dictionary, stage_value_dictionary(candidates, mapping_version)), "values")
     rows = translate_values(shared, merged, fields)
     raw = reduce(
         DataFrame.unionByName, [feed.select(F.lit(systems[code]).alias("source_system")) for code, feed in feeds.items()]

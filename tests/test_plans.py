@@ -4,9 +4,11 @@ from helpers import frame
 from pyspark.sql import functions as F
 
 from feedloom.operators import match, metrics, profile, quality, review, security, values
+from feedloom.plans import flows
 from feedloom.plans import property_model as M
 from feedloom.plans.fixtures import frame as derived
 from feedloom.plans.queries import shared
+from feedloom.schemas import empty_table
 from feedloom.sources import sinks
 
 
@@ -78,3 +80,28 @@ def test_checks_read_each_feed_once(spark, sf):
     rows = shared(spark, sf)
     checks = quality.quality_checks(rows, required=M.REQUIRED, allowed=M.ALLOWED, rules=M.RULES, by=["source_system"])
     assert plan(checks).count("lineitem") == 2
+
+
+def test_published_rows_are_not_moved_by_their_category_values(spark):
+    feed = spark.range(200000).select(F.col("id").cast("string").alias("nr"), F.concat(F.lit("Zona "), F.col("id") % 3).alias("zona"))
+    known = frame(spark, "source_system string, local_column_name string, global_column_name string, active_flag boolean",
+                  ("S", "nr", "id", True), ("S", "zona", "risk_zone", True))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "256k")
+    try:
+        found = flows.publish(
+            {"ES": feed}, {"ES": "S"}, model={"id": "STRING", "risk_zone": "STRING"}, dictionary=known,
+            mandatory=frame(spark, "source_system string, local_column_name string", ("S", "nr")),
+            allowed=frame(spark, "source_field string, allowed_value string", ("risk_zone", "Zone 0")),
+            allow_lists={"risk_zone": ["Zone 0"]},
+            value_glossary=frame(spark, "source_field string, raw_value string, code string", ("risk_zone", "zona 0", "Zone 0")),
+            value_dictionary=empty_table(spark, "value_mapping_dictionary"), required=["id"], rules=[],
+            mapping_version="v1", run_id="r",
+        ).rows
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        counts = {tuple(r) for r in found.groupBy("risk_zone").count().collect()}
+        assert counts == {("Zone 0", 66667), ("Zona 1", 66667), ("Zona 2", 66666)}
+    finally:
+        spark.conf.set(limit, before)
