@@ -44,6 +44,11 @@ def _task_samples(df: DataFrame, k: int) -> DataFrame:
             if held is None:
                 held = [c.slice(0, 0) for c in batch.columns]
             for i, cells in enumerate(batch.columns):
+                if 0 < k == len(held[i]) and held[i][-1].as_py() == held[i][-1].as_py():
+                    # Only what is smaller than the largest that is held; NaN, which comes last, compares with nothing.
+                    cells = cells.filter(pc.less(cells, held[i][-1]))
+                    if not len(cells):
+                        continue
                 seen = pc.unique(pa.concat_arrays([held[i], pc.unique(cells)])).drop_null()
                 held[i] = seen.take(pc.array_sort_indices(seen).slice(0, k))
         if held is not None:

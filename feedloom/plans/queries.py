@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.local import local_frame
-from ..functions.scratch import scratch_dir
+from ..functions.scratch import scratch_dir, written
 from ..operators import dictionary as D
 from ..operators import evaluate as E
 from ..operators import gate as G
@@ -1153,24 +1153,25 @@ def folded_scores(spark, d):
 # Flows
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _with_slice(table: DataFrame, system: str, merge: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """The table with the rows of one source merged. Only these are joined and written, as all that comes in is of this source."""
+    own = F.coalesce(F.col("source_system") == system, F.lit(False))
+    return table.filter(~own).unionByName(written(merge(table.filter(own)), name))
 
 
 def _proposed(spark, d) -> DataFrame:
     """Both feeds proposed, one run each, into the candidates of all other sources."""
     candidates = conform(frame(spark, d, "candidates"), COLUMN_MAPPING_CANDIDATES)
     for code in M.FEEDS:
-        candidates = _written(
-            flows.propose(
+
+        def propose(own: DataFrame, code: str = code) -> DataFrame:
+            return flows.propose(
                 _feed(spark, d, code), M.SYSTEMS[code], f"feed_{code.lower()}", targets=M.targets(spark),
                 glossary=M.glossary(spark), dictionary=empty_table(spark, "column_mapping_dictionary"),
-                candidates=candidates, mandatory=M.MANDATORY[code],
-            ),
-            "proposed",
-        )
+                candidates=own, mandatory=M.MANDATORY[code],
+            )
+
+        candidates = _with_slice(candidates, M.SYSTEMS[code], propose, "proposed")
     return candidates
 
 
@@ -1180,10 +1181,17 @@ def _dictionary(spark, d) -> DataFrame:
     known = conform(frame(spark, d, "mapping_dictionary"), COLUMN_MAPPING_DICTIONARY)
     for code in M.FEEDS:
         system = M.SYSTEMS[code]
-        own = candidates.filter(F.col("source_system") == system)
-        reviewed = review.apply_decisions(own, review.decide_from_key(own, M.answer_key(spark), "reader"))
-        candidates = _written(merge.sync_decisions(candidates, reviewed), "reviewed")
-        known = _written(flows.build_dictionary(candidates, M.mandatory(spark), known, system, VERSION), "dictionary")
+
+        def review_own(own: DataFrame) -> DataFrame:
+            reviewed = review.apply_decisions(own, review.decide_from_key(own, M.answer_key(spark), "reader"))
+            return merge.sync_decisions(own, reviewed)
+
+        def build(own: DataFrame, candidates: DataFrame, system: str = system) -> DataFrame:
+            return flows.build_dictionary(candidates, M.mandatory(spark), own, system, VERSION)
+
+        candidates = _with_slice(candidates, system, review_own, "reviewed")
+        decided = candidates
+        known = _with_slice(known, system, lambda own: build(own, decided), "dictionary")
     return known
 
 

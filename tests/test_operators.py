@@ -511,3 +511,20 @@ def test_flows_from_feed_to_checked_table(spark, sf):
     assert len(checks) == 62
     failed = {name for (_, name), status in checks.items() if status != "PASSED"}
     assert failed == {"numeric_claims_paid_lte_reported"}
+
+
+def test_samples_of_later_batches_and_of_nan(spark):
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "3")
+    try:
+        df = spark.range(20, 0, -1, 1).select(
+            "id", F.when(F.col("id") > 3, F.lit(float("nan"))).otherwise(F.col("id").cast("double")).alias("d"),
+            F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("s"), (F.col("id") == 2).alias("b"),
+        )
+        found = profile.sample_values(df, 2)
+        assert rows(found, "column_name", "sample_values") == [
+            ("b", ["false", "true"]), ("d", ["1.0", "2.0"]), ("id", ["1", "2"]), ("s", ["10", "12"]),
+        ]
+    finally:
+        spark.conf.set(limit, before)

@@ -4,7 +4,7 @@ from helpers import frame
 from pyspark.sql import functions as F
 
 from feedloom.operators import match, metrics, profile, quality, review, security, values
-from feedloom.plans import flows
+from feedloom.plans import flows, queries
 from feedloom.plans import property_model as M
 from feedloom.plans.fixtures import frame as derived
 from feedloom.plans.queries import shared
@@ -105,3 +105,16 @@ def test_published_rows_are_not_moved_by_their_category_values(spark):
         assert counts == {("Zone 0", 66667), ("Zona 1", 66667), ("Zona 2", 66666)}
     finally:
         spark.conf.set(limit, before)
+
+
+def test_only_the_rows_of_the_source_are_merged(spark):
+    table = frame(spark, "source_system string, n int", ("A", 1), ("B", 2), (None, 3))
+    seen = []
+
+    def merge(own):
+        seen.append(sorted(tuple(r) for r in own.collect()))
+        return own.withColumn("n", F.col("n") + 10)
+
+    found = queries._with_slice(table, "A", merge, "slice")
+    assert seen == [[("A", 1)]]
+    assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[1]) == [("B", 2), (None, 3), ("A", 11)]
