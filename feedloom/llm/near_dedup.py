@@ -7,7 +7,7 @@ of lower variance. Bands of ``rows`` values become bucket keys. With the default
 pair at similarity 0.8 misses all bands with probability 6e-7, a pair at 0.9 with 1e-14.
 
 * Documents with the same set (128-bit sum over it, and its size) are one class from the start; only the smallest id goes on.
-* A wide signature keeps one bit of every minimum and maximum of many more hash functions. A pair goes on to the full sets only if
+* A wide signature keeps one bit of every minimum and maximum of many more hash functions, two from each product. A pair goes on to the full sets only if
   its bits agree as those of a link would (five standard deviations), so few texts are moved.
 * Each bucket links its members to its smallest one, so it costs one pair per member and not one per pair of members.
 * Members of one bucket that this leaves in different components are compared by their wide signatures inside the join, and a pair
@@ -36,7 +36,7 @@ from .shared import picked, stored
 WIDTH = 5
 EVALUATIONS = 90
 BAND_ROWS = 5
-#: Evaluations of the wide signature, the ones of the bands among them; two bits of each are kept. A multiple of 32.
+#: Half the bits of the wide signature, four of them from an evaluation, those of the bands among them. A multiple of 32.
 WIDE = 1024
 #: Places of the table that texts are looked up by before they are shuffled: what is broadcast has at most so many rows.
 SLOTS = 1 << 20
@@ -52,9 +52,11 @@ def sets_of(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.
 
 
 def signature(values: np.ndarray, edge: np.ndarray, evaluations: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each set: min and max of the first ``evaluations`` hash functions, and one bit of min and max of all ``wide`` ones.
+    """Of each set: min and max of the first ``evaluations`` hash functions, and ``2 * wide`` bits of minima and maxima.
 
-    The empty set has zeros. The bits are packed into 64-bit words from the start.
+    An evaluation gives four bits: one of min and max of the whole value, one of min and max of its lower half, which is a hash of
+    its own. Values are scrambled already, so what only gives bits takes one product. The empty set has zeros. The bits are packed
+    into 64-bit words from the start.
     """
     n = len(edge) - 1
     out, bits = np.zeros((n, 2 * evaluations), np.uint64), np.zeros((n, 2 * wide // 64), np.uint64)
@@ -63,16 +65,20 @@ def signature(values: np.ndarray, edge: np.ndarray, evaluations: int, wide: int)
         return out, bits
     at = edge[some]
     odd, add = blocks.stream(11, wide + 1) | np.uint64(1), blocks.stream(12, wide)
-    for k in range(wide):
-        hashed = values * odd[k] + add[k]
-        hashed ^= hashed >> np.uint64(32)
-        hashed *= odd[k + 1]
-        for side, kind in enumerate((np.minimum, np.maximum)):
-            found = kind.reduceat(hashed, at)
-            if k < evaluations:
-                out[some, 2 * k + side] = found
-            word, place = divmod(2 * k + side, 64)
-            bits[some, word] |= (blocks.mix(found) & np.uint64(1)) << np.uint64(place)
+    for k in range(max(evaluations, wide // 2)):
+        hashed = values * odd[k]
+        if k < evaluations:
+            hashed += add[k]
+            hashed ^= hashed >> np.uint64(32)
+            hashed *= odd[k + 1]
+        low = hashed.astype(np.uint32) if k < wide // 2 else hashed[:0]
+        sides = [kind.reduceat(half, at) for half in (hashed, low) if len(half) for kind in (np.minimum, np.maximum)]
+        if k < evaluations:
+            out[some, 2 * k], out[some, 2 * k + 1] = sides[:2]
+        if k < wide // 2:
+            for side, found in enumerate(sides):
+                word, place = divmod(4 * k + side, 64)
+                bits[some, word] |= (blocks.mix(found) & np.uint64(1)) << np.uint64(place)
     return out, bits
 
 

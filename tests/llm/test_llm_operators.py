@@ -539,3 +539,17 @@ def test_index_tables_take_in_and_forget(spark, docs):
     gone = index.limit(5).select("digest").collect()
     kept = exact_dedup.delete(index, spark.createDataFrame([(r["digest"],) for r in gone] + [(b"?",), (None,)], "digest binary"), 3)
     assert kept.count() == texts - 5
+
+
+def test_wide_signature_takes_four_bits_of_an_evaluation():
+    values = near_dedup.blocks.stream(5, 40)
+    whole, bits = near_dedup.signature(values, near_dedup.np.array([0, 15, 15, 40]), 2, 64)
+    assert bits.shape == (3, 2) and not bits[1].any() and not whole[1].any()
+    odd = near_dedup.blocks.stream(11, 65) | near_dedup.np.uint64(1)
+    for row, part in ((0, values[:15]), (2, values[15:])):
+        for k in (2, 31):
+            hashed = part * odd[k]
+            low = hashed.astype(near_dedup.np.uint32)
+            wanted = [int(near_dedup.blocks.mix(x)) & 1 for x in (hashed.min(), hashed.max(), low.min(), low.max())]
+            place = 4 * k
+            assert [int(bits[row, place // 64]) >> (place % 64 + i) & 1 for i in range(4)] == wanted
