@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -109,6 +110,14 @@ def distinct_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     return pairs.distinct()
 
 
+#: Columns of real numbers whose distinct values are counted in one read.
+TOGETHER = 2
+
+
+def _counted_as(kind: T.DataType) -> str:
+    return "bigint" if isinstance(kind, _WHOLE) else "double" if isinstance(kind, _REAL) else "string"
+
+
 def required_profile(
     df: DataFrame,
     required: Sequence[str],
@@ -117,12 +126,14 @@ def required_profile(
     timestamp: str = "harmonization_timestamp",
     approximate: float | None = None,
 ) -> DataFrame:
-    """Row count, distinct count per required column and newest timestamp, from one read.
-
-    Exact counts unpivot the columns to narrow (column, value) rows, which combine
-    before the shuffle and carry their number and newest timestamp along, so the
-    row count falls out of any one column. ``approximate`` gives the relative error
-    of a sketch that needs no such rows.
+    """Row count, distinct count per required column and newest timestamp.
+
+    Exact counts take the columns of one kind at a time, a read each: they become narrow
+    (place of the column, value) rows that combine before the shuffle, real numbers only
+    ``TOGETHER`` columns at once, as they seldom repeat and all their values are held while
+    a task combines them. The rows of the first read carry their number and newest timestamp
+    along, so the row count falls out of its first column. ``approximate`` gives the relative
+    error of a sketch that needs no such rows, from one read.
     """
     present = [c for c in required if c in df.columns]
     stamped = timestamp in df.columns
@@ -131,20 +142,33 @@ def required_profile(
         sketches = [F.approx_count_distinct(c, approximate).alias(f"distinct_{c}") for c in present]
         return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *sketches, *newest)
 
-    def cell(c: str) -> Column:
-        kind, value = df.schema[c].dataType, F.col(f"`{c}`")
-        family = "n" if isinstance(kind, _WHOLE) else "d" if isinstance(kind, _REAL) else "s"
-        parts = {"n": "bigint", "d": "double", "s": "string"}
-        return F.struct(F.lit(c).alias("_c"), *[(value if f == family else F.lit(None)).cast(t).alias(f"_{f}") for f, t in parts.items()])
-
-    stamp = [F.col(timestamp).alias("_t")] if stamped else []
-    cells = df.select(*by, *stamp, F.inline(F.array(*map(cell, present))))
-    latest = [F.max("_t").alias("_t")] if stamped else []
-    values = cells.groupBy(*by, "_c", "_n", "_d", "_s").agg(F.count(F.lit(1)).alias("_rows"), *latest)
-    known = F.coalesce(F.col("_n").isNotNull() | F.col("_d").isNotNull() | F.col("_s").isNotNull(), F.lit(False))
-    return values.groupBy(*by).agg(
-        F.sum(F.when(F.col("_c") == present[0], F.col("_rows")).otherwise(0)).alias("row_count"),
-        *[F.count_if((F.col("_c") == c) & known).alias(f"distinct_{c}") for c in present],
+    def counts(places: Sequence[int], kind: str) -> DataFrame:
+        """The known values and, for the first column's read, the rows per column and group."""
+        first = 0 in places
+        cells = F.array(*[F.col(f"`{present[i]}`").cast(kind) for i in places])
+        stamp = [F.col(timestamp).alias("_t")] if stamped and first else []
+        pairs = df.select(*by, *stamp, F.posexplode(cells).alias("_p", "_v"))
+        if first:
+            latest = [F.max("_t").alias("_t")] if stamped else []
+            values = pairs.groupBy(*by, "_p", "_v").agg(F.count(F.lit(1)).alias("_rows"), *latest)
+            found = values.groupBy(*by, "_p").agg(F.count("_v").alias("_known"), F.sum("_rows").alias("_rows"), *latest)
+        else:
+            known = pairs.filter(F.col("_v").isNotNull()).distinct().groupBy(*by, "_p").agg(F.count("_v").alias("_known"))
+            found = known.withColumn("_rows", F.lit(None).cast("bigint"))
+            if stamped:
+                found = found.withColumn("_t", F.lit(None).cast(df.schema[timestamp].dataType))
+        place = F.element_at(F.array(*map(F.lit, places)), F.col("_p") + 1)
+        return found.select(*by, place.alias("_c"), "_known", "_rows", *(["_t"] if stamped else []))
+
+    kinds = [_counted_as(df.schema[c].dataType) for c in present]
+    reads = []
+    for kind in dict.fromkeys(kinds):
+        places = [i for i, k in enumerate(kinds) if k == kind]
+        size = TOGETHER if kind == "double" else len(places)
+        reads += [counts(places[i : i + size], kind) for i in range(0, len(places), size)]
+    return reduce(DataFrame.unionByName, reads).groupBy(*by).agg(
+        F.sum(F.when(F.col("_c") == 0, F.col("_rows")).otherwise(0)).alias("row_count"),
+        *[F.coalesce(F.sum(F.when(F.col("_c") == i, F.col("_known"))), F.lit(0)).alias(f"distinct_{c}") for i, c in enumerate(present)],
         *([F.max("_t").alias("latest_harmonization")] if stamped else []),
     )
 

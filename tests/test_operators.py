@@ -1,6 +1,7 @@
 """Matching, values, projection, quality, evaluation, metrics, security: the cases that are easy to get wrong."""
 
 import datetime as dt
+import re
 
 import pytest
 from helpers import frame, rows
@@ -58,6 +59,39 @@ def test_required_profile_exact_and_sketch(spark):
     assert rows(near, "g", "row_count", "distinct_b") == [("x", 2, 2), ("y", 1, 1)]
 
 
+def test_required_profile_counts_few_columns_at_once(spark):
+    df = frame(
+        spark,
+        "g string, b string, n int, c double, d double, e double, f boolean, harmonization_timestamp timestamp",
+        ("x", None, 1, 0.0, float("nan"), 1.5, True, dt.datetime(2030, 1, 1)),
+        ("x", None, 1, -0.0, float("nan"), None, False, dt.datetime(2030, 1, 3)),
+        (None, "p", None, None, 2.0, None, None, None),
+        ("y", None, None, None, None, None, None, dt.datetime(2030, 1, 2)),
+    ).withColumn("e", F.col("e").cast("float"))
+    columns = ["b", "n", "c", "d", "e", "f"]
+    found = profile.required_profile(df, columns, by=["g"])
+    assert rows(found, "g", "row_count", *[f"distinct_{c}" for c in columns], "latest_harmonization") == sorted(
+        [
+            ("x", 2, 0, 1, 1, 1, 1, 2, dt.datetime(2030, 1, 3)),
+            (None, 1, 1, 0, 0, 1, 0, 0, None),
+            ("y", 1, 0, 0, 0, 0, 0, 0, dt.datetime(2030, 1, 2)),
+        ],
+        key=repr,
+    )
+    whole = profile.required_profile(df, columns)
+    assert rows(whole, "row_count", *[f"distinct_{c}" for c in columns]) == [(4, 1, 1, 1, 2, 1, 2)]
+    # A shuffled row holds one value and its column's place, and real numbers are shuffled two columns at a time.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    arrays = re.findall(r"Generate posexplode\(array\((.*)\)\)", plan)
+    assert len(arrays) == 4 and "inline" not in plan
+
+
+def test_required_profile_without_rows(spark):
+    empty = frame(spark, "g string, a int, b double")
+    assert rows(profile.required_profile(empty, ["a", "b"], by=["g"])) == []
+    assert rows(profile.required_profile(empty, ["a", "b"])) == [(None, 0, 0)]
+
+
 # Matching
 
 
