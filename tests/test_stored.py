@@ -172,6 +172,23 @@ def test_sketches_of_slices_merge_within_their_bound(spark, tmp_path):
         assert abs(row[f"distinct_{column}"] - exact) <= exact * sketches.error_bound()
 
 
+def test_sketches_take_hashes_of_texts_and_real_numbers(spark):
+    df = spark.range(3000).select(
+        F.lit("a").alias("s"), (F.col("id") % 700 / 8).alias("real"), (F.col("id") % 5).cast("string").alias("text"),
+        F.when(F.col("id") % 2 == 0, F.lit("")).alias("blank"), F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.lit(-0.0)).alias("zero"),
+        F.lit(float("nan")).alias("nan"), F.create_map(F.lit("k"), F.col("id") % 3).alias("map"), F.lit(None).cast("date").alias("none"),
+    )
+    columns = ["real", "text", "blank", "zero", "nan", "map", "none"]
+    found = sketches.column_sketches(df, columns, ["s"])
+    row = sketches.merged_counts(found, columns).first()
+    assert abs(row["distinct_real"] - 700) <= 700 * sketches.error_bound()
+    # Both zeros are one value, as in exact counts, and an empty text is one.
+    assert [row[f"distinct_{c}"] for c in columns[1:]] == [5, 1, 1, 1, 3, 0]
+    # The hashes are worked out before the aggregate, and no real number is written as text.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(real" in plan and "cast(real" not in plan
+
+
 def test_folding_equals_full_case_folding_of_all_characters(spark):
     # Letters that have got another case after the tables of this Python, and the stand-in of the dotless i.
     newer = {"ƛ", "ɤ", DOTLESS_I, KEPT_I}
